@@ -29,6 +29,13 @@ def op5_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nnls_packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheetgraph.llm import simhash
+
+    found = simhash.cluster(table(spark, sf_dir, "documents"), words=3, radius=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op9_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sheetgraph.llm import rendezvous
 
@@ -46,7 +53,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bfd_packing, op5_nnls_packing, op9_rendezvous, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_bfd_packing, op5_nnls_packing, op8_simhash, op9_rendezvous, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
