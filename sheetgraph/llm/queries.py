@@ -29,6 +29,12 @@ def op5_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nnls_packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op6_collision_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheetgraph.llm import collision_join
+
+    return collision_join.near_duplicates(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", threshold=0.9)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sheetgraph.llm import simhash
 
@@ -53,7 +59,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bfd_packing, op5_nnls_packing, op8_simhash, op9_rendezvous, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_bfd_packing, op5_nnls_packing, op6_collision_join, op8_simhash, op9_rendezvous, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
