@@ -23,6 +23,12 @@ def op1_bfd_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bfd_packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op2_vamana(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheetgraph.llm import vamana
+
+    return vamana.nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 100 == 0, k=10)
+
+
 def op5_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sheetgraph.llm import nnls_packing
 
@@ -59,7 +65,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bfd_packing, op5_nnls_packing, op6_collision_join, op8_simhash, op9_rendezvous, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_bfd_packing, op2_vamana, op5_nnls_packing, op6_collision_join, op8_simhash, op9_rendezvous, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
