@@ -9,6 +9,7 @@ parts beyond it are encoded anew each time, so memory is bounded and ids never d
 from __future__ import annotations
 
 import re
+from itertools import repeat
 
 import numpy as np
 
@@ -25,7 +26,7 @@ def worker_encoder(path: str) -> "WordEncoder":
 
 
 class WordEncoder:
-    def __init__(self, path: str, limit: int = 700_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -33,6 +34,8 @@ class WordEncoder:
 
         self._t = Tokenizer.from_file(path)
         self._t.encode_special_tokens = True
+        self._last = np.zeros(self._t.get_vocab_size(), bool)
+        self._last[[k for t, k in self._t.get_vocab().items() if t.endswith("</w>")]] = True
         self._limit = limit
         self._at: dict[bytes, int] = {}
         self._ids = np.zeros(1 << 16, np.uint16)
@@ -40,15 +43,30 @@ class WordEncoder:
         self._n = 0
 
     def _add(self, words: list[bytes]) -> None:
-        encoded = [x.ids for x in self._t.encode_batch([w.decode("utf-8") for w in words], add_special_tokens=False)]
-        flat = np.fromiter((i for x in encoded for i in x), np.uint16)
+        texts = [w.decode("utf-8") for w in words]
+        plain = [k for k, t in enumerate(texts) if t.isalpha() and t.lower().isalpha()]
+        counts = np.zeros(len(words), np.int64)
+        parts: list[np.ndarray] = []
+        if plain:  # letters alone are one word, whose last id marks a word's end
+            ids = np.array(self._t.encode(" ".join([texts[k] for k in plain]), add_special_tokens=False).ids, np.uint16)
+            ends = np.flatnonzero(self._last[ids])
+            counts[plain] = np.diff(ends, prepend=-1)
+            parts.append(ids)
+        other = sorted(set(range(len(words))).difference(plain))
+        if other:
+            encoded = [x.ids for x in self._t.encode_batch([texts[k] for k in other], add_special_tokens=False)]
+            counts[other] = [len(x) for x in encoded]
+            parts.append(np.fromiter((i for x in encoded for i in x), np.uint16))
+        words = [words[k] for k in (*plain, *other)]
+        counts = counts[[*plain, *other]]
+        flat = np.concatenate(parts)
         used = int(self._start[self._n])
         while used + len(flat) > len(self._ids):
             self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
         while self._n + len(words) + 1 > len(self._start):
             self._start = np.concatenate([self._start, np.zeros_like(self._start)])
         self._ids[used : used + len(flat)] = flat
-        self._start[self._n + 1 : self._n + len(words) + 1] = used + np.cumsum([len(x) for x in encoded])
+        self._start[self._n + 1 : self._n + len(words) + 1] = used + np.cumsum(counts)
         self._at.update(zip(words, range(self._n, self._n + len(words)), strict=True))
         self._n += len(words)
 
@@ -62,18 +80,21 @@ class WordEncoder:
             counts.append(len(own))
             words += own
         at, kept = self._at, self._n
-        new = [w for w in dict.fromkeys(words) if w not in at]
+        k = np.fromiter(map(at.get, words, repeat(-1)), np.int32, len(words))
+        missed = np.flatnonzero(k < 0).tolist()
+        new = list(dict.fromkeys(words[i] for i in missed))
         if new:
             self._add(new)
-        k = np.fromiter(map(at.__getitem__, words), np.int32, len(words))
+            k[missed] = [at[words[i]] for i in missed]
         start = self._start[k].astype(np.int64)
         n = self._start[k + 1] - start
         total = int(n.sum())
         ids = self._ids[np.arange(total) + np.repeat(start - (np.cumsum(n) - n), n)]
         ends = np.concatenate([[0], np.cumsum(n)])[np.cumsum([0, *counts])]
-        if self._n > self._limit and new:
-            for w in new[max(0, self._limit - kept) :]:
-                del at[w]
+        if self._n > self._limit:
+            for w in new:
+                if at[w] >= max(kept, self._limit):
+                    del at[w]
             self._n = max(kept, self._limit)
         return ids, np.diff(ends)
 
