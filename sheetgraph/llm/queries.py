@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetgraph.llm.common import table
+from sheetgraph.llm.common import fold, table
 
 
 def vocabulary(name: str) -> str:
@@ -29,6 +29,15 @@ def op2_vamana(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vamana.nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 100 == 0, k=10)
 
 
+def op4_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheetgraph.llm import mil_quality
+
+    docs = table(spark, sf_dir, "documents")
+    model = mil_quality.train(docs, table(spark, sf_dir, "labels"), fold("_id", 4, 2))
+    scored = mil_quality.score(docs, model, threshold=0.7)
+    return scored.select(F.col("doc_id").cast("long").alias("doc_id"), fold("doc_id", 4, 2).alias("held_out"), F.col("_score").alias("score"), F.col("_predicted").alias("predicted"))
+
+
 def op5_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sheetgraph.llm import nnls_packing
 
@@ -41,6 +50,15 @@ def op6_collision_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collision_join.near_duplicates(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", threshold=0.9)
 
 
+def op7_toxic_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheetgraph.llm import toxic_grammar
+
+    docs = table(spark, sf_dir, "documents")
+    model = toxic_grammar.train(docs, table(spark, sf_dir, "labels"), fold("_id", 5, 0))
+    scored = toxic_grammar.score(docs, model, threshold=0.5)
+    return scored.select(F.col("doc_id").cast("long").alias("doc_id"), fold("doc_id", 5, 0).alias("held_out"), F.col("_score").alias("score"), F.col("_predicted").alias("predicted"), F.col("_clauses").alias("matched_clauses"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sheetgraph.llm import simhash
 
@@ -65,7 +83,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bfd_packing, op2_vamana, op5_nnls_packing, op6_collision_join, op8_simhash, op9_rendezvous, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_bfd_packing, op2_vamana, op4_mil_quality, op5_nnls_packing, op6_collision_join, op7_toxic_grammar, op8_simhash, op9_rendezvous, op10_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:

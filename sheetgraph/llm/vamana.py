@@ -152,7 +152,7 @@ def build(distinct: DataFrame, shard: int, degree: int, beam: int) -> DataFrame:
     """One row per shard and length of vector: the ids, the points and the graph."""
     shards = max(1, -(-distinct.count() // shard))
 
-    def one(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("id", kind="stable")
         x = np.array(rows["vec"].tolist(), np.float64)
         g = Graph(x, degree, beam)
@@ -162,7 +162,7 @@ def build(distinct: DataFrame, shard: int, degree: int, beam: int) -> DataFrame:
     return dealt.groupBy("dim", "shard").applyInPandas(one, SHARD)
 
 
-def _load(row: dict, degree_beam: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, Graph]:
+def _load(row: dict) -> tuple[np.ndarray, np.ndarray, Graph]:
     ids = np.frombuffer(row["ids"], np.int64)
     x = np.frombuffer(row["points"], np.float64).reshape(len(ids), -1)
     g = Graph.__new__(Graph)
@@ -172,7 +172,7 @@ def _load(row: dict, degree_beam: tuple[int, int]) -> tuple[np.ndarray, np.ndarr
     return ids, x, g
 
 
-def nearest(rows: DataFrame, id_col: str, vector: str, is_query: Column, k: int = 10, shard: int = 4096, degree: int = 32, beam: int = 64, search_beam: int = 128, block: int = 1024) -> DataFrame:
+def nearest(rows: DataFrame, id_col: str, vector: str, is_query: Column, k: int = 10, shard: int = 4096, degree: int = 32, beam: int = 64, search_beam: int = 192, block: int = 1024) -> DataFrame:
     """query_id, rank (from 1), id_col and score (Euclidean distance): the k nearest found of each query row, itself left out."""
     good = rows.where(usable(F.col(vector)) & F.col(id_col).isNotNull())
     distinct = stash(classes(rows, id_col, vector).select("id", "vec"), "points")
@@ -187,13 +187,15 @@ def nearest(rows: DataFrame, id_col: str, vector: str, is_query: Column, k: int
         for batch in batches:
             for at in range(batch.num_rows):
                 row = batch.slice(at, 1).to_pydict()
-                ids, x, g = _load({c: v[0] for c, v in row.items()}, (degree, beam))
+                ids, x, g = _load({c: v[0] for c, v in row.items()})
                 q = np.array([r["q"] for r in row["queries"][0]], np.int64)
                 y = np.array([r["vec"] for r in row["queries"][0]], np.float64)
                 for lo in range(0, len(q), 256):
                     found, _, _ = g.search(y[lo : lo + 256], search_beam)
-                    found = found[:, : k + 6]
                     exact = np.sqrt(((x[found] - y[lo : lo + 256, None, :]) ** 2).sum(axis=2))
+                    exact[found < 0] = np.inf
+                    best = np.lexsort((ids[found], exact), axis=1)[:, : k + 1]
+                    found, exact = np.take_along_axis(found, best, axis=1), np.take_along_axis(exact, best, axis=1)
                     line, col = np.nonzero(found >= 0)
                     yield pa.RecordBatch.from_pydict({"q": pa.array(q[lo : lo + 256][line]), "id": pa.array(ids[found[line, col]]), "score": pa.array(exact[line, col])})
 
