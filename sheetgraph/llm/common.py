@@ -86,3 +86,17 @@ def split_batches(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterato
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; null counts as empty."""
     return [x if x is not None else b"" for x in column.cast(pa.binary()).to_pylist()]
+
+
+def keep_where(docs: DataFrame, judge: Callable[[], Callable[[pa.Array], "object"]], column: str = "text") -> DataFrame:
+    """docs, with all its columns, without the rows that judge()'s function of a batch's `column` calls false.
+
+    judge is called once per task, so that what it builds is built on the executor.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        good = judge()
+        for b in split_batches(batches):
+            yield b.filter(pa.array(good(b.column(column)), pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheetgraph.llm.common import split_batches, text_bytes
+from sheetgraph.llm.common import keep_where, split_batches, text_bytes
 from sheetgraph.llm.labelled import sample
 
 PASSAGE = 64
@@ -150,19 +150,24 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "qu
     return AttentionMIL().fit(np.concatenate(rows).astype(float), counts, y)
 
 
-def score(docs: DataFrame, model: AttentionMIL | float, threshold: float = 0.7, keep: list[str] | None = None) -> DataFrame:
-    """doc_id (or the columns `keep`), score and predicted of every row."""
-    columns = keep or ["doc_id"]
+def rate(model: AttentionMIL | float, texts: list[bytes]) -> np.ndarray:
+    """The score of each text."""
+    if isinstance(model, float):
+        return np.full(len(texts), model)
+    return _sigmoid(model.logits(*bags(texts))) if texts else np.zeros(0)
+
+
+def score(docs: DataFrame, model: AttentionMIL | float, threshold: float = 0.7) -> DataFrame:
+    """doc_id, score and predicted of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in split_batches(batches, 512):
-            if isinstance(model, float):
-                s = np.full(b.num_rows, model)
-            else:
-                x, counts = bags(text_bytes(b.column("_text")))
-                s = _sigmoid(model.logits(x, counts))
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in columns], pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32))], [*columns, "_score", "_predicted"])
-
-    rows = docs.select(*[F.col(c) for c in columns], F.col("text").alias("_text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema) + ", _score double, _predicted int"
-    return rows.mapInArrow(run, schema)
+            s = rate(model, text_bytes(b.column("text")))
+            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "score": pa.array(s, pa.float64()), "predicted": pa.array((s >= threshold).astype(np.int32))})
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double, predicted int")
+
+
+def keep_good(docs: DataFrame, model: AttentionMIL | float, threshold: float = 0.7) -> DataFrame:
+    """docs without the rows whose score is below the threshold."""
+    return keep_where(docs, lambda: lambda column: rate(model, text_bytes(column)) >= threshold)

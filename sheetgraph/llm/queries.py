@@ -35,7 +35,7 @@ def op4_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = mil_quality.train(docs, table(spark, sf_dir, "labels"), fold("_id", 4, 2))
     scored = mil_quality.score(docs, model, threshold=0.7)
-    return scored.select(F.col("doc_id").cast("long").alias("doc_id"), fold("doc_id", 4, 2).alias("held_out"), F.col("_score").alias("score"), F.col("_predicted").alias("predicted"))
+    return scored.select("doc_id", fold("doc_id", 4, 2).alias("held_out"), "score", "predicted")
 
 
 def op5_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +56,7 @@ def op7_toxic_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxic_grammar.train(docs, table(spark, sf_dir, "labels"), fold("_id", 5, 0))
     scored = toxic_grammar.score(docs, model, threshold=0.5)
-    return scored.select(F.col("doc_id").cast("long").alias("doc_id"), fold("doc_id", 5, 0).alias("held_out"), F.col("_score").alias("score"), F.col("_predicted").alias("predicted"), F.col("_clauses").alias("matched_clauses"))
+    return scored.select("doc_id", fold("doc_id", 5, 0).alias("held_out"), "score", "predicted", "matched_clauses")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,8 +82,14 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, digests=True)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bfd_packing, op2_vamana, op4_mil_quality, op5_nnls_packing, op6_collision_join, op7_toxic_grammar, op8_simhash, op9_rendezvous, op10_byte_bpe)}
+    return {f.__name__: f for f in (op1_bfd_packing, op2_vamana, op4_mil_quality, op5_nnls_packing, op6_collision_join, op7_toxic_grammar, op8_simhash, op9_rendezvous, op10_byte_bpe, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

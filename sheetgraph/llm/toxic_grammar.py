@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheetgraph.llm.common import split_batches, stash
+from sheetgraph.llm.common import keep_where, split_batches, stash
 from sheetgraph.llm.labelled import sample
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = "I", "H", "T", "N", "R", "o"
@@ -168,7 +168,7 @@ def _features(words: set[str]) -> set[str]:
     return out
 
 
-def train(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxic", most: int = 5000, least: int = 3, purity: float = 0.97, candidates: int = 20_000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxic", most: int = 5000, least: int = 3, purity: float = 0.97, candidates: int = 40_000) -> Model:
     """Insults by a greedy cover of the toxic documents with words and stems that clean ones hardly hold; then the symbols' weights."""
     labelled = stash(sample(docs, labels, label, held_out, most), "labelled")
 
@@ -192,24 +192,30 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "to
         return Model({})
     # rates, not counts: the two classes are sampled to different shares
     pure = (F.col("toxic") / n_toxic) / (F.col("toxic") / n_toxic + F.col("clean") / max(n_clean, 1)) >= purity
-    counted = labelled.mapInArrow(count, "f string, clean long, toxic long").groupBy("f").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where((F.col("toxic") >= least) & pure).orderBy(F.desc("toxic"), "f").limit(candidates).collect()
+    counted = labelled.mapInArrow(count, "f string, clean long, toxic long").groupBy("f").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where((F.col("toxic") >= 2) & pure).orderBy(F.desc("toxic"), "f").limit(candidates).collect()
     weight = {r["f"]: min(12.0, math.log((r["toxic"] + 0.5) / n_toxic) - math.log((r["clean"] + 0.5) / max(n_clean, 1)) + math.log1p(r["toxic"])) for r in counted}
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in split_batches(batches, 512):
-            own = [sorted(_features(set(_WORD.findall((t or "").lower()))) & weight.keys()) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict({"f": pa.array(own, pa.list_(pa.string()))})
-
-    toxic = [set(r["f"]) for r in labelled.where("y = 1").mapInArrow(held, "f array<string>").collect()]
+            words = [_WORD.findall((t or "").lower()) for t in b.column("text").to_pylist()]
+            own = [sorted(_features(set(w)) & weight.keys()) for w in words]
+            after = [sorted({f"{y} {x}" for x, y in zip(["", *w], w, strict=False) if f"={y}" in weight}) for w in words]
+            yield pa.RecordBatch.from_pydict({"f": pa.array(own, pa.list_(pa.string())), "after": pa.array(after, pa.list_(pa.string()))})
+
+    rows = labelled.where("y = 1").mapInArrow(held, "f array<string>, after array<string>").collect()
+    toxic = [set(r["f"]) for r in rows]
+    contexts = Counter(f"={x.split(' ')[0]}" for x in {x for r in rows for x in r["after"]})  # different words before each word
     gain, where = Counter(), {}
     for k, own in enumerate(toxic):
         gain.update(own)
         for f in own:
             where.setdefault(f, []).append(k)
+    words_of = Counter(f[1 : n + 1] for f in weight if f[0] == "=" for n in STEMS if len(f) > n)
+    clean = {r["f"]: r["clean"] * n_toxic / max(n_clean, 1) for r in counted}
     insults, covered = {}, set()
-    while gain:
-        best = max(gain, key=lambda f: (gain[f], f[0] == "=", len(f), f))
-        if gain[best] < least:
+    while gain:  # a clean document costs as much as ten toxic ones gain; whole words go before stems, long stems before short ones
+        best = max(gain, key=lambda f: (gain[f] - 10 * clean[f], f[0] == "=", len(f), f))
+        if gain[best] - 10 * clean[best] < (least if best[0] == "=" or words_of[best] < 2 else 2):
             break
         insults[best] = weight[best]
         for k in where[best]:
@@ -217,6 +223,12 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "to
                 covered.add(k)
                 gain.subtract(toxic[k])
         gain = +gain
+    # more that no clean document holds, though their documents are covered by now: stems of several words and words
+    # after many different words (what copies of one document share has neither)
+    for r in counted:
+        f = r["f"]
+        if not r["clean"] and r["toxic"] >= 5 * least and (contexts[f] >= 0.4 * r["toxic"] if f[0] == "=" else words_of[f] >= 4):
+            insults.setdefault(f, weight[f])
     model = Model(insults)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,17 +252,24 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "to
     return Model(insults, dict(zip(PRIOR, s.tolist(), strict=True)), float(b))
 
 
-def score(docs: DataFrame, model: Model, threshold: float = 0.5, keep: list[str] | None = None) -> DataFrame:
-    """doc_id (or the columns `keep`), _score, _predicted and _clauses (matched clauses) of every row."""
-    columns = keep or ["doc_id"]
+def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """doc_id, score, predicted and matched_clauses of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, fst = Lexicon(model.insults), grammar()
         for b in split_batches(batches, 512):
-            found = [matches(t or "", lexicon, fst) for t in b.column("_text").to_pylist()]
+            found = [matches(t or "", lexicon, fst) for t in b.column("text").to_pylist()]
             s = np.array([model.score(f) for f in found], float)
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in columns], pa.array(s, pa.float64()), pa.array((s >= threshold).astype(np.int32)), pa.array([len(f) for f in found], pa.int32())], [*columns, "_score", "_predicted", "_clauses"])
+            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "score": pa.array(s, pa.float64()), "predicted": pa.array((s >= threshold).astype(np.int32)), "matched_clauses": pa.array([len(f) for f in found], pa.int32())})
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double, predicted int, matched_clauses int")
+
+
+def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """docs without the rows whose score reaches the threshold."""
+
+    def judge():
+        lexicon, fst = Lexicon(model.insults), grammar()
+        return lambda column: [model.score(matches(t or "", lexicon, fst)) < threshold for t in column.to_pylist()]
 
-    rows = docs.select(*[F.col(c) for c in columns], F.col("text").alias("_text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema) + ", _score double, _predicted int, _clauses int"
-    return rows.mapInArrow(run, schema)
+    return keep_where(docs, judge)
