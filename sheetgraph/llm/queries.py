@@ -29,6 +29,12 @@ def op2_vamana(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vamana.nearest(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 100 == 0, k=10)
 
 
+def op3_lbl_nce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sheetgraph.llm import lbl
+
+    return lbl.score(table(spark, sf_dir, "documents"), fold("doc_id", 5, 1))
+
+
 def op4_mil_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sheetgraph.llm import mil_quality
 
@@ -89,7 +95,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bfd_packing, op2_vamana, op4_mil_quality, op5_nnls_packing, op6_collision_join, op7_toxic_grammar, op8_simhash, op9_rendezvous, op10_byte_bpe, pipeline)}
+    return {f.__name__: f for f in (op1_bfd_packing, op2_vamana, op3_lbl_nce, op4_mil_quality, op5_nnls_packing, op6_collision_join, op7_toxic_grammar, op8_simhash, op9_rendezvous, op10_byte_bpe, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
