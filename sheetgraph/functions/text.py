@@ -126,7 +126,7 @@ def node_key(node: Column) -> Column:
 
 def listed(text: Column) -> Column:
     """The parts of a comma list, trimmed, without empty ones, each once."""
-    return F.array_distinct(F.filter(F.transform(F.split(text, ","), F.trim), lambda x: x != ""))
+    return F.array_distinct(F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != ""))
 
 
 def appended(existing: Column, text: Column) -> Column:
