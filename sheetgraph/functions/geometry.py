@@ -275,11 +275,22 @@ def segment_segment(a: Box, b: Box) -> Column:
     return F.when(segments_cross(a, b), zero()).otherwise(ends)
 
 
+def segment_meets_box(s: Box, b: Box) -> Column:
+    """The segment has a point in the box: its part within both slabs is not empty."""
+    enter, leave = [F.lit(0.0)], [F.lit(1.0)]
+    missed = F.lit(False)
+    for p, q, lo, hi in ((s.x1, s.x2, b.x1, b.x2), (s.y1, s.y2, b.y1, b.y2)):
+        missed = missed | ((p == q) & ((p < lo) | (p > hi)))
+        t = [F.try_divide(edge - p, q - p) for edge in (lo, hi)]
+        enter.append(F.coalesce(F.least(*t), F.lit(0.0)))
+        leave.append(F.coalesce(F.greatest(*t), F.lit(1.0)))
+    return ~missed & (F.greatest(*enter) <= F.least(*leave))
+
+
 def segment_box(s: Box, b: Box) -> Column:
-    """Distance of a segment and a filled box."""
-    within = inside(Box(s.x1, s.y1, s.x1, s.y1), b) | inside(Box(s.x2, s.y2, s.x2, s.y2), b)
-    edge = [Box(b.x1, b.y1, b.x2, b.y1), Box(b.x2, b.y1, b.x2, b.y2), Box(b.x1, b.y2, b.x2, b.y2), Box(b.x1, b.y1, b.x1, b.y2)]
-    return F.when(within, zero()).otherwise(F.least(*[segment_segment(s, e) for e in edge]))
+    """Distance of a segment and a filled box: from an end to the box or from a corner to the segment, unless they meet."""
+    ends = [point_box(s.x1, s.y1, b), point_box(s.x2, s.y2, b)]
+    return F.when(segment_meets_box(s, b), zero()).otherwise(F.least(*ends, *[point_segment(x, y, s) for x in (b.x1, b.x2) for y in (b.y1, b.y2)]))
 
 
 def ray_box(px: Column, py: Column, ux: Column, uy: Column, b: Box) -> Column:

@@ -156,7 +156,8 @@ def points_of(runs: DataFrame, symbols: DataFrame, tol: float = 4.0, corner: flo
     kept = runs.where(F.col("hi") - F.col("lo") >= least)
     x = crossings(kept.where("axis = 'h'"), kept.where("axis = 'v'"), KEY, tol, corner).select(*KEY, F.lit("junction").alias("kind"), F.col("x").cast("double"), F.col("y").cast("double"), F.lit(None).cast("long").alias("symbol_id"), F.array(F.struct(F.lit("h").alias("axis"), F.col("h_id").alias("run_id"), F.col("x").cast("double").alias("at")), F.struct(F.lit("v").alias("axis"), F.col("v_id").alias("run_id"), F.col("y").cast("double").alias("at"))).alias("on"))
     c = contacts(kept, symbols, KEY, touch, reach).select(*KEY, F.lit("symbol").alias("kind"), F.col("x").cast("double"), F.col("y").cast("double"), "symbol_id", F.array(F.struct("axis", "run_id", F.col("at").cast("double").alias("at"))).alias("on"))
-    every = x.unionByName(c).withColumn("point_id", (F.row_number().over(Window.partitionBy(*KEY).orderBy("kind", "y", "x", F.col("on")[0]["run_id"], F.col("on")[0]["axis"], "symbol_id")) - 1).cast("long"))
+    every = stash(x.unionByName(c), "met").withColumn("point_id", (F.row_number().over(Window.partitionBy(*KEY).orderBy("kind", "y", "x", F.col("on")[0]["run_id"], F.col("on")[0]["axis"], "symbol_id")) - 1).cast("long"))
+    every = stash(every, "numbered")
     points = every.select(*KEY, "point_id", "kind", "x", "y", F.when(F.col("symbol_id").isNull(), F.array().cast("array<long>")).otherwise(F.array("symbol_id")).alias("symbols"))
     entries = every.select(*KEY, "point_id", F.explode("on").alias("e")).select(*KEY, "e.axis", "e.run_id", "e.at", "point_id")
     return points, entries
