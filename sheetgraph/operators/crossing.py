@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -174,19 +176,31 @@ def merge_points(points: DataFrame, entries: DataFrame, tol: float = 3.0) -> tup
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("point_id").reset_index(drop=True)
-        x, y = pdf["x"].to_numpy(), pdf["y"].to_numpy()
+        x, y = pdf["x"].tolist(), pdf["y"].tolist()
         contact = [(r, s[0]) if len(s) else None for r, s in zip(pdf["run"], pdf["symbols"], strict=True)]
-        grid: dict[tuple[int, int], list[int]] = {}
-        for k in range(len(pdf)):
-            grid.setdefault((int(x[k] // tol), int(y[k] // tol)), []).append(k)
-        into = np.arange(len(pdf))
+        cell = [(int(u // tol), int(v // tol)) for u, v in zip(x, y, strict=True)]
+        free: dict[tuple[int, int], list[int]] = {}  # points that are neither done nor absorbed
+        for k, c in enumerate(cell):
+            free.setdefault(c, []).append(k)
+        into = list(range(len(pdf)))
         for a in range(len(pdf)):
             if into[a] != a:
                 continue
-            cx, cy = int(x[a] // tol), int(y[a] // tol)
-            for b in sorted(k for i in (-1, 0, 1) for j in (-1, 0, 1) for k in grid.get((cx + i, cy + j), ())):
-                if b > a and into[b] == b and np.hypot(x[a] - x[b], y[a] - y[b]) <= tol and not (contact[a] is not None and contact[a] == contact[b]):
-                    into[b] = a
+            cx, cy = cell[a]
+            for c in [(cx + i, cy + j) for i in (-1, 0, 1) for j in (-1, 0, 1)]:
+                near = free.get(c)
+                if not near:
+                    continue
+                rest = []
+                for b in near:
+                    if b == a:
+                        continue
+                    if math.dist((x[a], y[a]), (x[b], y[b])) <= tol and not (contact[a] is not None and contact[a] == contact[b]):
+                        into[b] = a
+                    else:
+                        rest.append(b)
+                free[c] = rest
+        into = np.array(into, dtype=int)
         return pd.DataFrame({"sheet_id": pdf["sheet_id"], "point_id": pdf["point_id"], "into": pdf["point_id"].to_numpy()[into]})
 
     moved = own.groupBy(*KEY).applyInPandas(fold, "sheet_id long, point_id long, into long")
