@@ -74,7 +74,7 @@ def ag05(spark, sf):
     return la.rejoined(layered(spark, sf), KEY, 2.5, 25.0).groupBy("sheet_id", "layer").agg(F.count("*").alias("n"), F.count_if("dashed").alias("dashed"))
 
 
-_ENT = "ent as (select sheet_id, axis || pos as run_id, lo as at, line_ix as point_id, case when line_ix % 4 = 0 then line_ix end as sym from segments)"
+_ENT = "ent as (select sheet_id, axis || pos as run_id, lo as at_, line_ix as point_id, case when line_ix % 4 = 0 then line_ix end as sym from segments)"
 
 
 def line_entries(spark, sf):
@@ -82,7 +82,7 @@ def line_entries(spark, sf):
     return d.segments(spark, sf).select("sheet_id", F.concat("axis", F.col("pos").cast("string")).alias("run_id"), F.col("lo").alias("at"), F.col("line_ix").alias("point_id"), sym.alias("symbols"))
 
 
-@query("w07_neighbours_along", f", {_ENT} select sheet_id, run_id, point_id, last_value(sym ignore nulls) over (partition by sheet_id, run_id order by at, point_id rows between unbounded preceding and 1 preceding) as before, first_value(sym ignore nulls) over (partition by sheet_id, run_id order by at, point_id rows between 1 following and unbounded following) as after from ent")
+@query("w07_neighbours_along", f", {_ENT} select sheet_id, run_id, point_id, last_value(sym ignore nulls) over (partition by sheet_id, run_id order by at_, point_id rows between unbounded preceding and 1 preceding) as before, first_value(sym ignore nulls) over (partition by sheet_id, run_id order by at_, point_id rows between 1 following and unbounded following) as after from ent")
 def w07(spark, sf):
     n = la.neighbours_along(line_entries(spark, sf), KEY)
     return n.select("sheet_id", "run_id", "point_id", F.col("before")[0].alias("before"), F.col("after")[0].alias("after"))
@@ -151,7 +151,7 @@ def ag10(spark, sf):
     return d.segments(spark, sf).groupBy("sheet_id", "axis").agg(F.round(ln.variation(F.col("hi") - F.col("lo")), 6).alias("cv"))
 
 
-_PROFILE = """prof as (select sheet_id, axis || pos as run_id, line_ix, lo + 7*k as at, case when k % 5 in (0,1) or line_ix % 11 = 0 then true else false end as ink from segments, (select unnest(range(0,40)) as k) where line_ix % 40 = 0)"""
+_PROFILE = """prof as (select sheet_id, axis || pos as run_id, line_ix, lo + 7*k as at_, case when k % 5 in (0,1) or line_ix % 11 = 0 then true else false end as ink from segments, (select unnest(range(0,40)) as k) where line_ix % 40 = 0)"""
 
 
 def profiles(spark, sf):
@@ -160,7 +160,7 @@ def profiles(spark, sf):
     return s.select("sheet_id", F.concat("axis", F.col("pos").cast("string")).alias("run_id"), "line_ix", (F.col("lo") + 7 * F.col("k")).alias("at"), ((F.col("k") % 5).isin(0, 1) | (F.col("line_ix") % 11 == 0)).alias("ink"))
 
 
-_RLE = f", {_PROFILE}, ch as (select *, case when ink = lag(ink) over (partition by sheet_id, line_ix order by at) then 0 else 1 end as c from prof), rl as (select sheet_id, line_ix, r, ink, min(at) as first, count(*) as length from (select *, sum(c) over (partition by sheet_id, line_ix order by at rows unbounded preceding) as r from ch) group by all)"
+_RLE = f", {_PROFILE}, ch as (select *, case when ink = lag(ink) over (partition by sheet_id, line_ix order by at_) then 0 else 1 end as c from prof), rl as (select sheet_id, line_ix, r, ink, min(at_) as first, count(*) as length from (select *, sum(c) over (partition by sheet_id, line_ix order by at_ rows unbounded preceding) as r from ch) group by all)"
 
 
 @query("w05_stroke_runs", f"{_RLE} select sheet_id, line_ix, ink, first, length from rl")
