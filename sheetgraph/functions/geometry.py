@@ -26,6 +26,21 @@ def box(prefix: str = "") -> Box:
     return Box(*[F.col(f"{prefix}{c}") for c in ("x1", "y1", "x2", "y2")])
 
 
+class NamedBox:
+    """A box of columns by prefix that is looked up when used, so it can be named before a session exists."""
+
+    def __init__(self, prefix: str = ""):
+        self._prefix = prefix
+
+    def __getattr__(self, name: str) -> Column:
+        if name not in Box._fields:
+            raise AttributeError(name)
+        return F.col(f"{self._prefix}{name}")
+
+    def __iter__(self):
+        return iter(box(self._prefix))
+
+
 def zero() -> Column:
     return F.lit(0.0)
 

@@ -9,7 +9,7 @@ from sheetgraph.plans.registry import query
 from sheetgraph.sources import derived as d
 
 W, H = float(d.WIDTH), float(d.HEIGHT)
-A, B = g.box("a"), g.box("b")
+A, B = g.NamedBox("a"), g.NamedBox("b")
 
 
 def r(c, digits: int = 6):

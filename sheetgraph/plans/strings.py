@@ -9,13 +9,12 @@ from sheetgraph.operators import tags as tg
 from sheetgraph.plans.registry import query
 from sheetgraph.sources import derived as d
 
-T = F.col("text")
 
 
 def _flag(name: str, sql: str, column):
     @query(name, f"select sheet_id, ix, {sql} as hit from tags")
     def run(spark, sf):
-        return d.tags(spark, sf).select("sheet_id", "ix", column(T).alias("hit"))
+        return d.tags(spark, sf).select("sheet_id", "ix", column(F.col("text")).alias("hit"))
 
     return run
 
@@ -30,7 +29,7 @@ _flag("t04_equipment_tag", f"regexp_matches({_SQ}, '{_Q(t.EQUIPMENT_TAG)}')", t.
 
 @query("t05_tag_parts", f"select sheet_id, ix, regexp_extract({_SQ}, '{t.TAG_PARTS}', 1) as head, regexp_extract({_SQ}, '{t.TAG_PARTS}', 2) as sep, regexp_extract({_SQ}, '{t.TAG_PARTS}', 3) as digits, regexp_extract({_SQ}, '{t.TAG_PARTS}', 4) as suffix from tags where regexp_matches({_SQ}, '{t.TAG_PARTS}')")
 def t05(spark, sf):
-    return d.tags(spark, sf).withColumn("p", t.tag_parts(T)).where("p is not null").select("sheet_id", "ix", "p.*")
+    return d.tags(spark, sf).withColumn("p", t.tag_parts(F.col("text"))).where("p is not null").select("sheet_id", "ix", "p.*")
 
 
 _GRAMMAR = f"""parts as (select sheet_id, ix, {_SQ} as clean, regexp_extract({_SQ}, '{t.TAG_PARTS}', 1) as head, regexp_extract({_SQ}, '{t.TAG_PARTS}', 2) as sep, regexp_extract({_SQ}, '{t.TAG_PARTS}', 3) as digits, regexp_extract({_SQ}, '{t.TAG_PARTS}', 4) as suffix, regexp_matches({_SQ}, '{t.TAG_PARTS}') as ok from tags),
@@ -62,12 +61,12 @@ def t07(spark, sf):
 
 @query("t08_prose", "select sheet_id, ix, (len(list_filter(string_split_regex(trim(text), '\\s+'), lambda x: x <> '')) >= 4 or (regexp_matches(regexp_replace(trim(substr(trim(text),1,3)), '\\.+$', ''), '^[0-9]+$') and contains(substr(trim(text),1,4), '.'))) and (ix % 100) > 40 as prose from tags")
 def t08(spark, sf):
-    return d.tags(spark, sf).select("sheet_id", "ix", t.is_prose(T, F.col("ix") % 100).alias("prose"))
+    return d.tags(spark, sf).select("sheet_id", "ix", t.is_prose(F.col("text"), F.col("ix") % 100).alias("prose"))
 
 
 @query("t09_normalized", f"select sheet_id, ix, nullif(regexp_replace(upper(text), '[^A-Z0-9]', '', 'g'), '') as tag, upper({_SQ}) as text from tags")
 def t09(spark, sf):
-    return d.tags(spark, sf).select("sheet_id", "ix", t.compared_tag(T).alias("tag"), F.upper(t.squeezed(T)).alias("text"))
+    return d.tags(spark, sf).select("sheet_id", "ix", t.compared_tag(F.col("text")).alias("tag"), F.upper(t.squeezed(F.col("text"))).alias("text"))
 
 
 @query("t10_class_label", "select p_partkey, case split_part(p_name,' ',1) when 'x' then null else case p_size % 4 when 0 then 'Instrument/Valve/Ball valve NO' when 1 then 'Piping/Fittings/Reducer' when 2 then 'Instrument/Indicator/Panel box' end end as label from part", views=False)
@@ -122,4 +121,4 @@ def t18(spark, sf):
 
 @query("t19_restricted", "select sheet_id, ix, regexp_replace(text, '[^A-Z0-9 .,:;_/()%+*=<>#&@''\"-]', '', 'g') as text from tags")
 def t19(spark, sf):
-    return d.tags(spark, sf).select("sheet_id", "ix", t.restricted(T).alias("text"))
+    return d.tags(spark, sf).select("sheet_id", "ix", t.restricted(F.col("text")).alias("text"))
