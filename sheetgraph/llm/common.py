@@ -2,80 +2,26 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Folders this driver process has written and not yet removed.
-_LIVE: dict[str, SparkSession] = {}
+from sheetgraph.plans.stages import drop_stash, stash
+
+__all__ = ["drop_stash", "fold", "keep_where", "split_batches", "stash", "table", "text_bytes"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or (in tests, where it is unset) a temporary one."""
-    set_to = spark.conf.get("spark.checkpoint.dir", None)
-    if set_to:
-        return set_to
-    own = os.path.join(tempfile.gettempdir(), "checkpoints")
-    os.makedirs(own, exist_ok=True)
-    return f"file://{own}"
-
-
-def stash(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write df to the shared folder and read it back: cuts the lineage and survives a lost executor.
-
-    The folder is removed by drop_stash(), or when the driver process ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _LIVE[path] = spark
-    out = spark.read.schema(df.schema).parquet(path)
-    out._stash_path = path
-    return out
-
-
-def drop_stash(df: DataFrame | None) -> None:
-    """Remove a table that stash() wrote; nothing may read it any more."""
-    path = getattr(df, "_stash_path", None)
-    if path in _LIVE:
-        _remove(_LIVE.pop(path), path)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-@atexit.register
-def _clean() -> None:
-    for path, spark in list(_LIVE.items()):
-        try:
-            _remove(spark, path)
-        except Exception:  # noqa: BLE001  the JVM may have ended already
-            return
-
-
 def fold(column: str, modulus: int, remainder: int):
     """True for rows whose crc32(column as text) leaves that remainder; false for a null."""
     return F.coalesce(F.crc32(F.col(column).cast("string")) % modulus == remainder, F.lit(False))
 
 
-def map_batches(df: DataFrame, each: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
-    """mapInArrow; texts can be long, so batches should be few rows (see small_batches)."""
-    return df.mapInArrow(each, schema)
-
-
 def split_batches(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """Slices of at most `rows` rows, so that Python objects of only that many rows live at once."""
     for b in batches:

@@ -6,8 +6,8 @@ functions are used; slots are numbered by counting salted buckets first, so that
 holds a shard and no task holds a hot key.
 
 Edge cases: a null key counts as one key of its own; equal keys always share a shard; repeated
-rows keep a slot each; an empty table gives an empty result; other columns are ignored by
-assign() and kept.
+rows keep a slot each; an empty table gives an empty result; other columns are kept,
+but shard, grown_shard and slot are replaced (names with two leading underscores are reserved).
 """
 
 from __future__ import annotations
@@ -42,8 +42,8 @@ def number(df: DataFrame, key: str, buckets: int = 2048) -> DataFrame:
     Rows are dealt to `buckets` buckets a shard by key and place in the input, so that even one
     hot key is spread; a table of shards x buckets counts, of bounded size, gives each bucket's first slot.
     """
-    rows = stash(df.withColumn("_row", F.monotonically_increasing_id()).withColumn("_bucket", F.pmod(F.xxhash64(F.col(key), "_row"), F.lit(buckets)).cast("int")), "slots")
-    before = Window.partitionBy("shard").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    first = rows.groupBy("shard", "_bucket").agg(F.count("*").alias("_n")).select("shard", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
-    within = Window.partitionBy("shard", "_bucket").orderBy(key, "_row")
-    return rows.withColumn("_k", F.row_number().over(within) - 1).join(first, ["shard", "_bucket"]).withColumn("slot", (F.col("_first") + F.col("_k")).cast("long")).drop("_row", "_bucket", "_k", "_first")
+    rows = stash(df.withColumn("__row", F.monotonically_increasing_id()).withColumn("__bucket", F.pmod(F.xxhash64(F.col(key), "__row"), F.lit(buckets)).cast("int")), "slots")
+    before = Window.partitionBy("shard").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    first = rows.groupBy("shard", "__bucket").agg(F.count("*").alias("__n")).select("shard", "__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__first"))
+    within = Window.partitionBy("shard", "__bucket").orderBy(key, "__row")
+    return rows.withColumn("__k", F.row_number().over(within) - 1).join(first, ["shard", "__bucket"]).withColumn("slot", (F.col("__first") + F.col("__k")).cast("long")).drop("__row", "__bucket", "__k", "__first")

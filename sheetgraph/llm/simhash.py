@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from sheetgraph.llm.blocks import block_tasks, deal
 from sheetgraph.llm.common import split_batches, stash, text_bytes
-from sheetgraph.llm.components import connected_components
+from sheetgraph.operators.components import connected_components
 
 
 def fingerprint(text: bytes, words: int = 3) -> int:
@@ -185,7 +185,7 @@ def keep_one(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
     from pyspark.sql import Window
 
     classes = cluster(docs, words, radius)
-    kept = classes.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    one = docs.join(kept, F.col("doc_id").cast("long") == F.col("_kept"), "left_semi").withColumn("_k", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))).where("_k = 1").drop("_k")
+    kept = classes.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
+    one = docs.join(kept, F.col("doc_id").cast("long") == F.col("__kept"), "left_semi").withColumn("__k", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))).where("__k = 1").drop("__k")
     nameless = classes.where("component_id is null").select("fp").limit(1).count()
     return one.unionByName(docs.where("doc_id is null")) if nameless else one

@@ -66,13 +66,17 @@ def scope(opener: str, rewrite: dict[str, str], reach: int) -> Transducer:
 
 
 def aimed(reach: int) -> Transducer:
-    """Insults and threats after a target are aimed at it; a target soon after an insult adds '+'. States below 0 follow an insult."""
+    """Insults and threats after a target are aimed at it. A target soon after adds '+' to an insult and 'h' to a threat.
+
+    States below 0 count down the words after an insult, those below `-reach` after a threat.
+    """
     t = scope(TARGET, {"I": "t", "H": "h"}, reach)
-    t.arcs[0, "I"] = (-reach, "I")
-    for s in range(-reach, 0):
-        t.otherwise[s] = s + 1
-        t.arcs[s, TARGET] = (reach, "+")
-        t.arcs[s, "I"] = (-reach, "I")
+    after_insult, after_threat = -reach, -2 * reach
+    for s in range(after_threat, 1):
+        t.arcs[s, "I"], t.arcs[s, "H"] = (after_insult, "I"), (after_threat, "H")
+        if s < 0:
+            t.otherwise[s] = 0 if s + 1 == after_insult else s + 1
+            t.arcs[s, TARGET] = (reach, "h" if s < after_insult else "+")
     return t
 
 
