@@ -297,13 +297,23 @@ def _nms(name, metric, least, sql):
     return run
 
 
-_nms("g01_kept_segments", g.contained_share, 0.5, None)
-_nms("g03_kept_symbols", g.iou, 0.5, None)
-_nms("g04_no_overlap", g.iou, 0.0, None)
-_nms("g05_kept_of_tiles", g.overlap_of_smaller, 0.5, None)
+def _scan(test: str) -> str:
+    """SQL of the sequential scan: each item is kept unless it conflicts with one kept before."""
+    return f""", {_BIG}, conf as (select a.sheet_id, b.id as later, list(a.id) as es from big a join big b on a.sheet_id=b.sheet_id and a.id<b.id where {test} group by a.sheet_id, b.id),
+it as (select sheet_id, id, row_number() over (partition by sheet_id order by id) as k from big),
+scan_ as (select distinct sheet_id, cast(0 as bigint) as k, cast([] as bigint[]) as kept from big union all select s.sheet_id, i.k, case when c.es is not null and list_has_any(c.es, s.kept) then s.kept else list_append(s.kept, i.id) end from scan_ s join it i on i.sheet_id=s.sheet_id and i.k=s.k+1 left join conf c on c.sheet_id=i.sheet_id and c.later=i.id)
+select sheet_id, unnest(kept) as symbol_id from scan_ qualify row_number() over (partition by sheet_id order by k desc) = 1"""
 
 
-@query("g02_matched")
+_nms("g01_kept_segments", g.contained_share, 0.5, _scan(f"{_OV}/25600.0 > 0.5"))
+_nms("g03_kept_symbols", g.iou, 0.5, _scan(f"{_OV}/(51200.0-{_OV}) > 0.5"))
+_nms("g04_no_overlap", g.iou, 0.0, _scan(f"{_OV} > 0"))
+_nms("g05_kept_of_tiles", g.overlap_of_smaller, 0.5, _scan(f"{_OV}/25600.0 > 0.5"))
+
+
+@query("g02_matched", f""", {_BIG}, pr as (select a.sheet_id, a.id as a_id, b.id as b_id, {_OV}/(51200.0-{_OV}) as iou, row_number() over (partition by a.sheet_id order by {_OV}/(51200.0-{_OV}) desc, a.id, b.id) as k from big a join big b on a.sheet_id=b.sheet_id and a.id%2=0 and b.id%2=1 where {_OV}/(51200.0-{_OV}) > 0.05),
+scan_ as (select distinct sheet_id, cast(0 as bigint) as k, cast([] as bigint[]) as used, false as took, cast(null as bigint) as a_id, cast(null as bigint) as b_id, cast(null as double) as iou from pr union all select s.sheet_id, p.k, case when list_contains(s.used,p.a_id) or list_contains(s.used,p.b_id) then s.used else list_concat(s.used,[p.a_id,p.b_id]) end, not (list_contains(s.used,p.a_id) or list_contains(s.used,p.b_id)), p.a_id, p.b_id, p.iou from scan_ s join pr p on p.sheet_id=s.sheet_id and p.k=s.k+1)
+select sheet_id, a_id, b_id, round(iou,6) as iou from scan_ where took""")
 def g02(spark, sf):
     b = _enlarged(spark, sf, 60)
     p = overlaps(b.where("symbol_id % 2 = 0"), b.where("symbol_id % 2 = 1"), g.iou, 0.05)
@@ -383,12 +393,16 @@ def claimed_texts(spark, sf):
     return gd.claim_nearest(p, ["sheet_id", "tag"], "symbol_id", "text_ix", "distance")
 
 
-@query("j05_claimed_texts")
+_CLAIM = """, cand as (select s.sheet_id, s.text_associated as tag, s.symbol_id, list(struct_pack(d := sqrt(pow(greatest(s.x1-t.x2,t.x1-s.x2,0),2)+pow(greatest(s.y1-t.y2,t.y1-s.y2,0),2)), t := t.text_ix) order by sqrt(pow(greatest(s.x1-t.x2,t.x1-s.x2,0),2)+pow(greatest(s.y1-t.y2,t.y1-s.y2,0),2)), t.text_ix) as near_, row_number() over (partition by s.sheet_id, s.text_associated order by s.symbol_id) as k from symbols s join texts t on s.sheet_id=t.sheet_id and s.text_associated=t.text group by s.sheet_id, s.text_associated, s.symbol_id),
+claim as (select distinct sheet_id, tag, cast(0 as bigint) as k, cast([] as bigint[]) as used, cast(null as bigint) as symbol_id, cast(null as struct(d double, t bigint)) as got from cand union all select sheet_id, tag, k, case when got is null then used else list_append(used, got.t) end, symbol_id, got from (select c.sheet_id, c.tag, c.k, m.used, c.symbol_id, list_filter(c.near_, lambda x: not list_contains(m.used, x.t))[1] as got from claim m join cand c on c.sheet_id=m.sheet_id and c.tag=m.tag and c.k=m.k+1))"""
+
+
+@query("j05_claimed_texts", f"{_CLAIM} select sheet_id, tag, symbol_id, got.t as text_ix, round(got.d,6) as distance from claim where got is not null")
 def j05(spark, sf):
     return claimed_texts(spark, sf).withColumn("distance", F.round("distance", 6))
 
 
-@query("f13_leftover_texts")
+@query("f13_leftover_texts", f"{_CLAIM} select sheet_id, text_ix from texts t where not exists (select 1 from claim c where c.sheet_id=t.sheet_id and c.got is not null and c.got.t=t.text_ix)")
 def f13(spark, sf):
     return d.texts(spark, sf).join(claimed_texts(spark, sf), ["sheet_id", "text_ix"], "left_anti").select("sheet_id", "text_ix")
 

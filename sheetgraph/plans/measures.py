@@ -236,7 +236,7 @@ def ag19(spark, sf):
 # --- windows, order, sets
 
 
-@query("w04_anchored_clusters")
+@query("w04_anchored_clusters", ", ps as (select sheet_id, axis, list(distinct cast(pos as double) order by cast(pos as double)) as p from segments group by all), cl as (select sheet_id, axis, 0 as cluster, p[1] as anchor, p from ps union all select sheet_id, axis, cluster + 1, q[1], p from (select *, list_filter(p, lambda x: x > anchor + 45) as q from cl) where len(q) > 0) select sheet_id, axis, cluster, anchor from cl")
 def w04(spark, sf):
     a = d.segments(spark, sf).groupBy("sheet_id", "axis").agg(F.collect_set(F.col("pos").cast("double")).alias("p"))
     return a.select("sheet_id", "axis", F.posexplode(ln.anchored_clusters(F.col("p"), 45.0)).alias("cluster", "anchor"))
@@ -247,7 +247,10 @@ def w08(spark, sf):
     return d.symbols(spark, sf).select("sheet_id", "symbol_id", (F.row_number().over(Window.partitionBy("sheet_id").orderBy("y1", "x1", "symbol_id")) - 1).alias("new_id"))
 
 
-@query("w09_bridged_chains")
+@query("w09_bridged_chains", """, ps as (select sheet_id, pos, cast(lo as double) as lo, cast(hi as double) as hi, line_ix%3<>0 as evidence, cast(line_ix%4 as int) as crossings, row_number() over (partition by sheet_id, pos order by lo, hi, line_ix%3<>0, line_ix%4) as k from segments where axis='h'),
+f as (select sheet_id, pos, k, lo, hi, 1 as pieces, 1 as chain from ps where k=1 union all select p.sheet_id, p.pos, p.k, case when ok then f_lo else p.lo end, case when ok then greatest(f_hi, p.hi) else p.hi end, case when ok then f_pieces + 1 else 1 end, case when ok then f_chain else f_chain + 1 end
+ from (select p.*, f.lo as f_lo, f.hi as f_hi, f.pieces as f_pieces, f.chain as f_chain, p.lo - f.hi <= 0 or (p.lo - f.hi <= 600 and p.evidence and p.crossings <= 2) as ok from f join ps p on p.sheet_id=f.sheet_id and p.pos=f.pos and p.k=f.k+1) p)
+select sheet_id, pos, lo, hi, pieces from f qualify row_number() over (partition by sheet_id, pos, chain order by k desc) = 1""")
 def w09(spark, sf):
     s = d.segments(spark, sf).where("axis = 'h'").select("sheet_id", "pos", "lo", "hi", (F.col("line_ix") % 3 != 0).alias("evidence"), (F.col("line_ix") % 4).cast("int").alias("crossings"))
     return ln.bridged(s, ["sheet_id", "pos"])
