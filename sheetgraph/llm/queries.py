@@ -99,4 +99,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB SQL of op6, by comparing all pairs; the others need hashes, tokenizers or models that SQL lacks, or are approximate."""
+    return {
+        "op6_collision_join": """with recursive v as (select vec_id, cast(embedding as double[]) as e from embeddings where embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l as (select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e) where list_cosine_similarity(a.e, b.e) >= 0.9),
+r(n, m) as (select vec_id, vec_id from embeddings union select l.b, r.m from r join l on r.n = l.a where r.m < l.b),
+c as (select n, min(m) as component_id from r group by n), k as (select a, count(*) as n from l group by a)
+select e.vec_id, coalesce(k.n, 0) as n_links, c.component_id, e.vec_id = c.component_id as kept from embeddings e join c on c.n = e.vec_id left join k on k.a = e.vec_id"""
+    }
