@@ -6,21 +6,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheetgraph.functions import geometry as g
+from sheetgraph.operators.spatial import box_join
 
 
-def nearest_symbol(texts: DataFrame, symbols: DataFrame, key: list[str], default: float = 1e9) -> DataFrame:
-    """texts with `symbol_distance`. All symbols of the sheet count, so the sheet is the only key; the minimum is a partial aggregate."""
-    s = symbols.select(*key, *[F.col(c).alias(f"_s{c}") for c in ("x1", "y1", "x2", "y2")])
-    d = texts.select(*key, "text_ix", *[F.col(c).alias(f"_t{c}") for c in ("x1", "y1", "x2", "y2")]).join(s, key).groupBy(*key, "text_ix").agg(F.min(g.gap(g.box("_t"), g.box("_s"))).alias("symbol_distance"))
-    return texts.join(d, [*key, "text_ix"], "left").withColumn("symbol_distance", F.coalesce("symbol_distance", F.lit(default)))
+def nearest_symbol(texts: DataFrame, symbols: DataFrame, key: list[str], default: float = 1e9, rings: tuple[float, ...] = (100.0, 500.0)) -> DataFrame:
+    """texts with `symbol_distance`.
+
+    Rings of growing reach are searched by cells; a text is done with the first ring that
+    holds a symbol within its reach. Only texts that no ring serves meet all symbols of
+    their sheet. Each minimum is a partial aggregate.
+    """
+    s = symbols.select(*key, *[F.col(c).cast("double").alias(f"_s{c}") for c in ("x1", "y1", "x2", "y2")])
+    left = texts.select(*key, "text_ix", *[F.col(c).cast("double").alias(f"_t{c}") for c in ("x1", "y1", "x2", "y2")])
+    t, q = g.box("_t"), g.box("_s")
+    least = lambda pairs: pairs.groupBy(*key, "text_ix").agg(F.min(g.gap(t, q)).alias("symbol_distance"))
+    found = None
+    for reach in rings:
+        near = least(box_join(left, s, key, tuple(t), tuple(q), reach, reach)).where(F.col("symbol_distance") <= reach)
+        found = near if found is None else found.unionByName(near)
+        left = left.join(near.select(*key, "text_ix"), [*key, "text_ix"], "left_anti")
+    found = found.unionByName(least(left.join(s, key)))
+    return texts.join(found, [*key, "text_ix"], "left").withColumn("symbol_distance", F.coalesce("symbol_distance", F.lit(default)))
 
 
 def sides(texts: DataFrame, lines: DataFrame, key: list[str]) -> DataFrame:
     """texts with above, below, left and right: struct(line_ix, level, mid_x, mid_y) of the nearest line beyond that edge.
 
-    lines are (line_ix, axis, pos, lo, hi). Nearness is the true distance; ties go to the
-    first line. For uprights only the far end of their extent counts, as in the figures this
-    must give.
+    lines are (line_ix, axis, pos, lo, hi). Nearness is the true distance from the box, not
+    the offset of the line's level alone; ties go to the first line.
     """
     b = g.box("_t")
     l = lines.select(*key, "line_ix", "axis", F.col("pos").cast("double").alias("level"), F.col("lo").cast("double").alias("lo"), F.col("hi").cast("double").alias("hi"))
