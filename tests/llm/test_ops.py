@@ -369,3 +369,11 @@ def test_grammar_scopes():
         state, w = loop.step(state, c)
         out += w
     assert out == "Nnxo"
+
+
+def test_packed_files(docs, tmp_path, spark):
+    packed = bfd_packing.pack(docs, WORDS, window=256, cell_tokens=2000)
+    bfd_packing.write_packed(packed, f"file://{tmp_path}/packed")
+    back = bfd_packing.read_packed(spark, f"file://{tmp_path}/packed").collect()
+    assert [r.sequence_id for r in back] == sorted(r.sequence_id for r in back)
+    assert {r.sequence_id: bytes(r.ids) for r in back} == {r.sequence_id: bytes(r.ids) for r in packed.collect()}
