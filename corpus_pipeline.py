@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sheetgraph.llm import mil_quality, nnls_packing, simhash, toxic_grammar
+from sheetgraph.llm import mil_quality, near_copies, nnls_packing, toxic_grammar
 from sheetgraph.llm.common import drop_stash, fold, stash, table
 from sheetgraph.llm.queries import vocabulary
 
@@ -22,8 +22,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the least doc_id of each group of linked SimHash fingerprints."""
-    return simhash.keep_one(docs, words=3, radius=2)
+    """The document of the least doc_id of each class of texts linked by a five-word Jaccard similarity of 0.8 or more."""
+    return near_copies.keep_one(docs, words=5, similarity=0.8)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
