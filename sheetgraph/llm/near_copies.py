@@ -89,7 +89,7 @@ def spread(signs: np.ndarray, radius: int = RADIUS) -> tuple[list[int], list[int
 
 
 def proposed(nodes: DataFrame, bits: np.ndarray) -> DataFrame:
-    """Edges (a, b) that connect all nodes that meet within the radius."""
+    """Edges (a, b) that connect all nodes that meet within the radius; b is the least of its links in the block, so the tables repeat edges."""
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         power = 1 << np.arange(bits.shape[1], dtype=np.int64)
@@ -135,7 +135,23 @@ def proposed(nodes: DataFrame, bits: np.ndarray) -> DataFrame:
         return pa.RecordBatch.from_pydict({"a": pa.array(rows[k, 1]), "b": pa.array(rows[low[k], 1])})
 
     keyed = nodes.where("__size > 0").select("__node", *SIGNS).mapInArrow(key, "k long, node long, s0 long, s1 long")
-    return keyed.repartition("k").sortWithinPartitions("k").mapInArrow(meet, "a long, b long")
+    met = keyed.repartition("k").sortWithinPartitions("k", "node").mapInArrow(meet, "a long, b long")
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A node's links (its b in order) as links to the least: each table has found much the same ones."""
+        now, low, seen = None, None, set()
+        for batch in batches:
+            out = []
+            for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+                if a != now:
+                    now, low = a, b
+                    out.append((a, b))
+                elif b != low and (b, low) not in seen:
+                    seen.add((b, low))
+                    out.append((b, low))
+            yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
+
+    return met.repartition("a").sortWithinPartitions("a", "b").mapInArrow(least, "a long, b long")
 
 
 def classes(sets: list[np.ndarray], similarity: float = 0.8) -> np.ndarray:
