@@ -156,7 +156,7 @@ _PROFILE = """prof as (select sheet_id, axis || pos as run_id, line_ix, lo + 7*k
 
 def profiles(spark, sf):
     """Made-up stroke profiles: 2 of 5 samples are ink, or all."""
-    s = d.segments(spark, sf).where("line_ix % 40 = 0").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(39))))
+    s = d.segments(spark, sf).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(39))))
     return s.select("sheet_id", F.concat("axis", F.col("pos").cast("string")).alias("run_id"), "line_ix", (F.col("lo") + 7 * F.col("k")).alias("at"), ((F.col("k") % 5).isin(0, 1) | (F.col("line_ix") % 11 == 0)).alias("ink"))
 
 
@@ -178,8 +178,7 @@ def w06(spark, sf):
 def ag11(spark, sf):
     runs = ln.stroke_runs(profiles(spark, sf), ["sheet_id", "line_ix"], "at", "ink")
     v = ln.dash_verdicts(ln.dash_chunks(runs, ["sheet_id", "line_ix"]), ["sheet_id", "line_ix"])
-    wide = F.col("dash").between(2, 60) & (F.col("gap_cv") < 0.45) & (F.col("dash_cv") < 0.45) & (F.col("gaps") >= 2) & F.col("gap").between(2, 25)
-    return v.select("sheet_id", "line_ix", "dash", "gap", wide.alias("dashed"))
+    return v.select("sheet_id", "line_ix", "dash", "gap", "dashed")
 
 
 _CMP = "cmp as (select a.sheet_id, a.symbol_id as a_id, b.symbol_id as b_id, a.label as la, b.label as lb, a.text_associated as ta, b.text_associated as tb from symbols a join symbols b on a.sheet_id=b.sheet_id and b.symbol_id=a.symbol_id+3)"
