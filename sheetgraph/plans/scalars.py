@@ -306,7 +306,7 @@ def f16(spark, sf):
 @query("l01_extended", "select sheet_id, line_ix, x1=x2 as upright, round_even(case when x1=x2 then x1 else greatest(x1-0.2,0) end,5) as x1, round_even(case when x1=x2 then x2 else least(x2+0.2,1) end,5) as x2, round_even(case when x1=x2 then greatest(y1-0.2,0) else y1+coalesce((y2-y1)/nullif(x2-x1,0),0)*(greatest(x1-0.2,0)-x1) end,5) as y1 from (select sheet_id, line_ix, x1/4000.0 as x1, y1/3000.0 as y1, x2/4000.0 as x2, y2/3000.0 as y2 from lines where line_ix % 7 <> 0)")
 def l01(spark, sf):
     e = g.extended(g.box(), 0.2)
-    return d.normalized(d.lines(spark, sf).where("line_ix % 7 <> 0")).select("sheet_id", "line_ix", (F.col("x1") == F.col("x2")).alias("upright"), e.x1.alias("x1"), e.x2.alias("x2"), e.y1.alias("y1"))
+    return d.normalized(d.lines(spark, sf)).select("sheet_id", "line_ix", (F.col("x1") == F.col("x2")).alias("upright"), e.x1.alias("x1"), e.x2.alias("x2"), e.y1.alias("y1"))
 
 
 @query("l02_ordered_ends", "select sheet_id, line_ix, case when t then x2 else x1 end as x1, case when t then y2 else y1 end as y1, case when t then x1 else x2 end as x2, case when t then y1 else y2 end as y2 from (select *, x1>x2 or (x1=x2 and y1>y2) as t from (select sheet_id, line_ix, case when line_ix%2=0 then x2 else x1 end as x1, case when line_ix%2=0 then y2 else y1 end as y1, case when line_ix%2=0 then x1 else x2 end as x2, case when line_ix%2=0 then y1 else y2 end as y2 from lines))")
