@@ -45,3 +45,10 @@ def test_small_table(spark):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     out = near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(r.doc_id for r in out) == sorted(_brute(rows)[1])
+
+
+def test_one_row_of_each_class(spark):
+    a, b, c = "first text of two rows and more", "second text under an id in use", "third text that has no id at all"
+    rows = [(3, a), (5, a), (5, b), (None, a), (None, c), (None, c)]
+    got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert {(r.doc_id, r.text) for r in got} == {(3, a), (5, b), (None, c)} and len(got) == 3
