@@ -26,7 +26,7 @@ SCHEMA = "doc_id long, text string, lang string, `_k` int, shard string, vec str
 
 def texts():
     rng = random.Random(7)
-    words = ["the", "Straße", "x.", "año,", "don't", "日本", "42", "\x1c", "é", "foo-bar", "🙂", "H̱"] + [f"w{k}" for k in range(300)]
+    words = ["the", "Straße", "x.", "año,", "don't", "日本", "42", "\x1c", "é", "foo-bar", "🙂", "H̱", "क़िला", "בּ", "<|endoftext|>", "a<|startoftext|>B", "<|ENDOFTEXT|>"] + [f"w{k}" for k in range(300)]
     say = lambda n: " ".join(rng.choice(words) for _ in range(n))
     base = [say(rng.randrange(1, 300)) for _ in range(30)]
     return [None, "", "   \n\t ", "one", "one two", say(9000), "a" * 5000, *base, base[0], base[0], base[1] + " tail", base[2].upper()]
@@ -52,19 +52,29 @@ def no_docs(spark):
 @pytest.fixture(scope="module")
 def ids(rows):
     t = Tokenizer.from_file(WORDS)
-    t.encode_special_tokens = True
     return Counter((i, tuple(t.encode(x or "", add_special_tokens=False).ids + [1])) for i, x in rows)
 
 
 def test_word_encoder_with_a_small_cache(rows):
     t = Tokenizer.from_file(WORDS)
-    t.encode_special_tokens = True
     e = WordEncoder(WORDS, limit=20)
     for _, x in rows:
         assert e.encode((x or "").encode()).tolist() == t.encode(x or "", add_special_tokens=False).ids
     assert len(e._at) == 20
 
 
+def test_word_encoder_on_every_letter():
+    t, e = Tokenizer.from_file(WORDS), WordEncoder(WORDS)
+    letters = [c for c in map(chr, range(0x110000)) if c.isalpha()]
+    for form in ("{0}", "ab{0}", "{0}ab", "X{0}{0}."):
+        said = [form.format(c) for c in letters]
+        want = t.encode_batch(said, add_special_tokens=False)
+        ids, n = e.encode_many([x.encode() for x in said])
+        ends = np.cumsum(n)
+        assert [x.ids for x in want] == [ids[b - k : b].tolist() for b, k in zip(ends, n, strict=True)]
+    assert e.encode(" ".join(["abc", *letters, "xyz"]).encode()).tolist() == t.encode(" ".join(["abc", *letters, "xyz"]), add_special_tokens=False).ids
+
+
 def test_best_fit_decreasing():
     rng = np.random.default_rng(1)
     for _ in range(30):
@@ -85,6 +95,18 @@ def _rebuilt(pieces):
     return Counter((d, i) for d, _, own in pieces for i in own)
 
 
+def _in_order(pieces, ids):
+    """Each document that occurs once is its pieces in order, without a gap or an overlap."""
+    for d, own in ids:
+        if d in (None, 5):
+            continue
+        joined = []
+        for _, start, part in sorted((p for p in pieces if p[0] == d), key=lambda p: p[1]):
+            assert start == len(joined)
+            joined += part
+        assert tuple(joined) == own
+
+
 def test_bfd_packing(docs, no_docs, ids):
     rows = bfd_packing.pack(docs, WORDS, window=256, cell_tokens=2000).collect()
     pieces = []
@@ -95,6 +117,7 @@ def test_bfd_packing(docs, no_docs, ids):
             assert b - a == s.length and (p[a:b] == np.arange(b - a)).all()
             pieces.append((s.doc_id, s.start, m[a:b].tolist()))
     assert _rebuilt(pieces) == Counter((d, i) for (d, own), n in ids.items() for i in own for _ in range(n))
+    _in_order(pieces, ids)
     assert len({r.sequence_id for r in rows}) == len(rows)
     assert bfd_packing.pack(no_docs, WORDS).count() == 0
 
@@ -125,10 +148,8 @@ def test_nnls_packing(docs, no_docs, ids):
         total += at
         padding += 0 if at & (at - 1) == 0 else 256 - at
     assert padding < 0.04 * total
-    once = {r.doc_id: [x for x in rows if x.doc_id == r.doc_id] for r in rows if r.doc_id not in (None, 5)}
-    for d, own in once.items():
-        joined = [i for r in sorted(own, key=lambda r: r.start) for i in r.ids]
-        assert (d, tuple(joined)) in ids and {r.doc_tokens for r in own} == {len(joined)}
+    _in_order([(r.doc_id, r.start, r.ids) for r in rows], ids)
+    assert all(r.doc_tokens == len(next(own for (d, own) in ids if d == r.doc_id)) for r in rows if r.doc_id not in (None, 5))
     assert nnls_packing.pack(no_docs, WORDS).count() == 0
 
 
