@@ -311,19 +311,53 @@ def test_language_model(spark, docs, no_docs, rows):
     assert len(everything_held) == len(rows) and all(r.n_known == 0 and r.train_tokens == 0 for r in everything_held)
 
 
+def _plain_score(m, s, text):
+    """log10 of the product of p(w | h), each as a sum over all items, in double precision."""
+    rank = {w: k for k, w in enumerate(s.words)}
+    share = lambda w: s.prefixes.get(w.decode()[:2], s.shared - 1)
+    item = lambda w: s.own + s.shared if w is None else rank[w] if rank.get(w, s.own) < s.own else s.own + share(w)
+    q, b, r, c, u, a = (x.astype(float) for x in m._all())
+    one = two = s.start
+    gain = 0.0
+    for w in [*lbl.words_of(text.encode()), None]:
+        i, h = item(w), r[one] * c[0] + r[two] * c[1]
+        k, same = m.class_of[i], np.flatnonzero(m.class_of == m.class_of[i])
+        p = math.exp(b[k] + h @ q[k]) / sum(math.exp(x + h @ y) for x, y in zip(b, q, strict=True))
+        p *= math.exp(a[i] + h @ u[i]) / sum(math.exp(a[x] + h @ u[x]) for x in same)
+        gain += math.log10(p) - math.log10(s.weight[i] / s.total)
+        one, two = i, one
+    return gain
+
+
+def test_language_model_score(spark, docs, rows, monkeypatch):
+    """Scores are those of plain sums, and the same however the rows are split."""
+    from sheetgraph.llm.common import fold
+
+    real, seen = lbl.train, []
+    monkeypatch.setattr(lbl, "train", lambda coded, s, dim: seen.append((real(coded, s, dim, share=4000), s)) or seen[-1][0])
+    got = [lbl.score(docs.repartition(k), fold("doc_id", 5, 1), head=50).where("doc_id is not null").collect() for k in (1, 7)]
+    assert [Counter((r.doc_id, round(r.score, 4)) for r in x) for x in got][0] == Counter((r.doc_id, round(r.score, 4)) for r in got[1])
+    m, s = seen[0]
+    assert np.isclose(s.weight.sum(), s.total + 0.5 * (s.shared - 1)) and (m.params() != lbl.LogBilinear(s.weight, s.class_of_item()).params()).any()
+    want = {(i, x): _plain_score(m, s, x or "") for i, x in rows if i is not None and len(x or "") < 2000}
+    mine = {i: r.score - r.base_score for r in got[0] for i in [r.doc_id]}
+    assert len(want) > 30 and all(abs(mine[i] - w) < 1e-3 * max(1, abs(w)) for (i, _), w in want.items())
+
+
 def test_language_model_is_normalised_and_learns():
-    rng = np.random.default_rng(6)
-    mass = np.array([0.4, 0.3, 0.2, 0.1])
-    m = lbl.LogBilinear(mass, 5, 6)
+    weight, class_of = np.array([4.0, 3.0, 2.0, 1.0]), np.array([0, 1, 1, 1], np.int32)
+    m = lbl.LogBilinear(weight, class_of, 6)
     y = np.tile([0, 1, 2, 3], 5000)
     one, two = np.roll(y, 1), np.roll(y, 2)
     before = m.log_probs(one, two, y).mean()
-    t = lbl.Trainer(m, mass, noise=20)
+    t = lbl.Trainer(m, (20, 20))
     for _ in range(8):
         t.feed(one, two, y, 256)
     assert m.log_probs(one, two, y).mean() > before + 0.5
     every = np.exp(np.stack([m.log_probs(one[:50], two[:50], np.full(50, k)) for k in range(4)]))
-    assert np.allclose(every.sum(axis=0), 1, atol=1e-5) and rng is not None
+    assert np.allclose(every.sum(axis=0), 1, atol=1e-5)
+    again = lbl.LogBilinear(weight, class_of, 6).load(m.params())
+    assert (again.log_probs(one[:50], two[:50], y[:50]) == m.log_probs(one[:50], two[:50], y[:50])).all()
 
 
 def _labels(spark, rows):
