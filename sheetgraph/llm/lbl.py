@@ -22,18 +22,17 @@ are ignored.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheetgraph.llm.common import split_batches, stash, text_bytes
+from sheetgraph.llm.common import split_batches, stash
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -41,21 +40,33 @@ def words_of(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
+def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, one after another, and the number of each, as words_of() has them; null counts as empty."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat = lists.flatten()
+    some = pc.not_equal(flat, "")  # white space at an end leaves an empty part
+    before = np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))])
+    offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    return flat.filter(some), np.diff(before[offsets])
+
+
 def count_words(docs: DataFrame, flush: int = 300_000) -> DataFrame:
     """word and c over all rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-        for b in split_batches(batches, 256):
-            for t in text_bytes(b.column("text")):
-                seen.update(words_of(t))
-            if len(seen) > flush:
-                yield rows(seen)
-                seen = Counter()
-        yield rows(seen)
-
-    def rows(seen: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"word": pa.array(list(seen), pa.binary()).cast(pa.string()), "c": pa.array(list(seen.values()), pa.int64())})
+        held, size = [], 0
+        for b in split_batches(batches, 512):
+            flat = pc.value_counts(split(b.column("text"))[0])
+            held.append(pa.table([flat.field("values"), flat.field("counts")], ["word", "c"]))
+            size += len(flat)
+            if size > 2 * flush:
+                held = [pa.concat_tables(held).group_by("word").aggregate([("c", "sum")]).rename_columns(["word", "c"])]
+                size = held[0].num_rows
+                if size > flush:
+                    yield from held.pop().to_batches()
+                    size = 0
+        if held:
+            yield from pa.concat_tables(held).group_by("word").aggregate([("c", "sum")]).rename_columns(["word", "c"]).to_batches()
 
     return docs.select("text").mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
@@ -120,26 +131,20 @@ def shape(counts: DataFrame, n_docs: int, head: int = 65_000, single: int = 64,
     return out
 
 
-class Coder(dict):
-    """word -> code; codes of rare words are kept for the first `limit`."""
+class Coder:
+    """Codes of words."""
 
-    def __init__(self, s: Shape, limit: int = 400_000):
-        super().__init__(zip(s.words, range(len(s.words)), strict=True))
-        self._base, self._prefixes, self._other, self._limit = len(s.words) + 1, s.prefixes, s.shared - 1, limit + len(s.words)
+    def __init__(self, s: Shape):
+        self._words, self._prefixes = pa.array([w.decode() for w in s.words], pa.string()), pa.array(list(s.prefixes), pa.string())
+        self._base, self._other = len(s.words) + 1, s.shared - 1
 
-    def __missing__(self, word: bytes) -> int:
-        code = self._base + self._prefixes.get(word[:8].decode("utf-8", "ignore")[:2], self._other)
-        if len(self) < self._limit:
-            self[word] = code
-        return code
-
-
-def encode(texts: list[bytes], coder: Coder, end: int) -> tuple[np.ndarray, np.ndarray, list[list[bytes]]]:
-    """Codes of all texts one after another, each with its end; the token count of each; the words."""
-    split = [words_of(t) for t in texts]
-    n = np.fromiter(map(len, split), np.int64, len(split))
-    codes = np.fromiter(map(coder.__getitem__, chain.from_iterable(split)), np.int32, int(n.sum()))
-    return np.insert(codes, np.cumsum(n), end), n + 1, split
+    def __call__(self, flat: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        """The code of each word, and the words beyond the head."""
+        found = pc.index_in(flat, value_set=self._words)
+        codes = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).copy()
+        rare = flat.filter(pc.is_null(found))
+        codes[codes < 0] = self._base + pc.fill_null(pc.index_in(pc.utf8_slice_codeunits(rare, 0, 2), value_set=self._prefixes), self._other).to_numpy(zero_copy_only=False)
+        return codes, rare
 
 
 def contexts(ids: np.ndarray, counts: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
@@ -193,12 +198,12 @@ class LogBilinear:
     def context(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         return self.r.take(one, 0) * self.c[0] + self.r.take(two, 0) * self.c[1]
 
-    def log_probs(self, one: np.ndarray, two: np.ndarray, item: np.ndarray, batch: int = 1024, chunk: int = 65_536) -> np.ndarray:
+    def log_probs(self, one: np.ndarray, two: np.ndarray, item: np.ndarray, batch: int = 1024, chunk: int = 32_768) -> np.ndarray:
         """Normalised natural log p(item | one, two)."""
         out, qt, ut = np.empty(len(item)), np.ascontiguousarray(self.q.T), [np.ascontiguousarray(self.u[m].T) for m in self.members]
         for at in range(0, len(item), chunk):
             own = item[at : at + chunk]
-            h, y = self.context(one[at : at + chunk], two[at : at + chunk]), self.class_of[own]
+            h, y = self.context(one[at : at + chunk], two[at : at + chunk]), self.class_of[own].astype(np.int16)
             got = np.empty(len(own))
             for lo in range(0, len(own), batch):
                 got[lo : lo + batch] = _log_softmax(h[lo : lo + batch], qt, self.b, y[lo : lo + batch])
@@ -355,23 +360,19 @@ def train(coded: DataFrame, s: Shape, dim: int = 24, rounds: int = 4, share: int
 
 
 def codes_of(rows: DataFrame, s: Shape) -> DataFrame:
-    """Each row's codes, and its words beyond the head with their counts; the text is split into words once for training and scoring."""
+    """Each row's codes, and its words beyond the head; the text is split into words once for training and scoring."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, at, end = Coder(s), TaskContext.get().partitionId() << 33, len(s.words)
         log_p = np.concatenate([s.log_p, np.zeros(s.shared)])
-        for b in split_batches(batches, 256):
-            codes, n, split = encode(text_bytes(b.column("text")), coder, end)
+        for b in split_batches(batches, 512):
+            flat, n = split(b.column("text"))
+            codes, rare = coder(flat)
+            ends = np.concatenate([[0], np.cumsum(n)])
+            offsets = np.concatenate([[0], np.cumsum(codes > end)])[ends]
+            codes, n = np.insert(codes, ends[1:], end), n + 1
             edge = np.cumsum(n) - n
-            rare = codes > end
-            tails = []
-            for k in range(len(split)):
-                own = rare[edge[k] : edge[k] + n[k] - 1]
-                tails.append(Counter([split[k][j] for j in np.flatnonzero(own).tolist()]))
-            offsets = np.cumsum([0, *map(len, tails)]).astype(np.int32)
-            words = pa.array([w for t in tails for w in t], pa.binary()).cast(pa.string())
-            times = pa.array([c for t in tails for c in t.values()], pa.int32())
-            flat = codes.astype("<u2")
+            wide = codes.astype("<u2")
             yield pa.RecordBatch.from_pydict(
                 {
                     "row": pa.array(at + np.arange(len(n))),
@@ -380,13 +381,13 @@ def codes_of(rows: DataFrame, s: Shape) -> DataFrame:
                     "deal": b.column("deal"),
                     "n_tokens": pa.array(n),
                     "base_part": pa.array(np.add.reduceat(log_p[codes], edge)),
-                    "codes": pa.array([flat[e : e + k].tobytes() for e, k in zip(edge.tolist(), n.tolist(), strict=True)], pa.binary()),
-                    "tail": pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([words, times], ["word", "tf"])),
+                    "codes": pa.array([wide[e : e + k].tobytes() for e, k in zip(edge.tolist(), n.tolist(), strict=True)], pa.binary()),
+                    "tail": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rare),
                 }
             )
             at += len(n)
 
-    return rows.mapInArrow(run, "row long, doc_id long, held_out boolean, deal long, n_tokens long, base_part double, codes binary, tail array<struct<word:string,tf:int>>")
+    return rows.mapInArrow(run, "row long, doc_id long, held_out boolean, deal long, n_tokens long, base_part double, codes binary, tail array<string>")
 
 
 def score(docs: DataFrame, held_out: Column, head: int = 65_000, dim: int = 24) -> DataFrame:
@@ -410,9 +411,9 @@ def score(docs: DataFrame, held_out: Column, head: int = 65_000, dim: int = 24)
 
     names = ["row", "doc_id", "held_out", "n_tokens", "base_part"]
     scored = coded.select(*names, "codes").mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, base_part double, gain double")
-    tail = coded.select("row", F.explode("tail").alias("t")).select("row", "t.word", "t.tf").join(counts, "word", "left")
+    tail = coded.select("row", F.explode("tail").alias("word")).join(counts, "word", "left")
     log_c = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / s.total)
-    sums = tail.groupBy("row").agg(F.sum(F.col("tf") * log_c).alias("tail_score"), F.sum(F.when(F.col("c").isNull(), F.col("tf")).otherwise(0)).alias("unseen"))
+    sums = tail.groupBy("row").agg(F.sum(log_c).alias("tail_score"), F.count_if(F.col("c").isNull()).alias("unseen"))
     out = scored.join(sums, "row", "left").withColumn("unseen", F.coalesce("unseen", F.lit(0)))
     end_unseen = 0 if s.n else 1  # without training rows the end is unseen as well
     out = out.withColumn("base_score", F.col("base_part") + F.coalesce("tail_score", F.lit(0.0)))
