@@ -1,11 +1,12 @@
 """Approximate nearest neighbours with a robust-pruned directed graph per shard.
 
-Exact copies are one point. Points are dealt to shards of about `shard` points by a hash of
-their id; in each shard a graph is built: greedy searches from the entry point propose
-neighbours, and relaxed distance pruning keeps those that no kept neighbour makes redundant.
-Each block of queries is searched in each shard with a beam, many queries at a time, and the
-best of all shards are kept. Squared distances come from single-precision products; those
-that reach the result are computed again in double precision from the original vectors.
+Exact copies are one point. Points are dealt to shards by a hash of their id; in each shard a
+graph is built: greedy searches from the entry point propose neighbours, and relaxed distance
+pruning keeps those that no kept neighbour makes redundant; points that no walk reaches then
+get an edge of their own. Each block of queries is searched in each shard with a beam, many
+queries at a time, and the best of all shards are kept. The search works on vectors centred
+and scaled for each shard; distances that reach the result are computed in double precision
+from the original vectors.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components take no
 part; a query gets no neighbour of another length; ties go to the smaller id; of a class of
@@ -24,19 +25,70 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheetgraph.llm.common import stash
-from sheetgraph.llm.vectors import classes, plain, usable
+from sheetgraph.llm.vectors import matrix, plain, usable
+
+
+class Frame:
+    """How a shard's vectors are moved and scaled, in double precision, before the search.
+
+    The centre is the median of each component, so a few far points do not hide the others; the
+    unit is the largest distance of a component from it. Single precision is used only where its
+    rounding is far below the distances between neighbours (of a sample of points), else double.
+    """
+
+    def __init__(self, x: np.ndarray, sample: int = 64):
+        self.most = float(np.abs(x).max(initial=0)) or 1.0
+        self.centre = np.median(x / self.most, axis=0) if len(x) else np.zeros(x.shape[1])
+        self.unit, self.kind = 1.0, np.float64
+        z = self(x)
+        self.unit = float(np.abs(z).max(initial=0)) or 1.0
+        z /= self.unit
+        own = np.random.default_rng(len(x)).permutation(len(x))[:sample]
+        near = np.concatenate([_gaps(z, z[k : k + 1]) for k in own]) if len(x) else np.zeros((0, 0))
+        near = np.where(near > 0, near, np.inf).min(axis=1, initial=np.inf)
+        near = near[np.isfinite(near)]
+        if not len(near) or np.quantile(near, 0.05) > 1e-10:
+            self.kind = np.float32
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        """x in this frame; a vector too far out to be squared there is drawn in along its line."""
+        far, most = (1e15 if self.kind is np.float32 else 1e140), max(self.most, 1e-300)
+        with np.errstate(over="ignore"):
+            z = np.clip(x / most, -1e300, 1e300)
+            z = np.clip((z - self.centre) / self.unit, -1e300, 1e300)
+        out = np.abs(z).max(axis=1, keepdims=True, initial=0)
+        return np.where(out > far, z / np.maximum(out / far, 1), z).astype(self.kind)
+
+
+def _gaps(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Squared distances of each row of q to all rows of x."""
+    return np.stack([np.einsum("ij,ij->i", d, d) for d in (x - y for y in q)])
+
+
+def euclidean(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Distances along the last axis; squares that would leave double precision's range are scaled."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        d = x - y
+        most = np.abs(d).max(axis=-1, initial=0)
+        out = np.sqrt((d * d).sum(axis=-1))
+        odd = (most > 1e150) | ((most < 1e-150) & (most > 0))
+        if odd.any():
+            half = np.ldexp(x[odd], -2) - np.ldexp(np.broadcast_to(y, x.shape)[odd], -2)
+            top = np.abs(half).max(axis=-1, keepdims=True)
+            out[odd] = 4 * top[..., 0] * np.sqrt(((half / np.maximum(top, 5e-324)) ** 2).sum(axis=-1))
+    return out
 
 
 class Graph:
-    """A directed graph over the rows of `points` (single precision)."""
+    """A directed graph over the rows of `points`, each within reach of the entry."""
 
     def __init__(self, points: np.ndarray, degree: int = 32, beam: int = 64, relax: float = 1.2, batch: int = 512, seed: int = 5):
-        self.points = np.ascontiguousarray(points, np.float32)
-        self._norm = (self.points * self.points).sum(axis=1)
+        self.frame = Frame(points)
+        self.points = np.ascontiguousarray(self.frame(points))
         n = len(points)
         self.degree = min(degree, max(1, n - 1))
         self.relax2 = relax * relax
-        self.entry = int(np.argmin(((self.points - self.points.mean(axis=0)) ** 2).sum(axis=1))) if n else 0
+        self.entry = int(np.argmin(np.einsum("ij,ij->i", self.points, self.points))) if n else 0
         rng = np.random.default_rng([seed, n])
         self.edges = np.full((n, self.degree), -1, np.int32)
         if n < 2:
@@ -49,20 +101,48 @@ class Graph:
                 own = order[lo : lo + batch]
                 found, _, seen = self.search(self.points[own], beam, trace=True)
                 self._link(own, np.concatenate([seen, found, self.edges[own]], axis=1))
+        self._bridge(beam)
+
+    def _bridge(self, beam: int) -> None:
+        """One more edge a point, from the nearest reached point that has none yet to one that no walk from the entry reaches."""
+        n = len(self.points)
+        self.edges = np.concatenate([self.edges, np.full((n, 1), -1, np.int32)], axis=1)
+        reached = np.zeros(n, bool)
+
+        def walk(at: np.ndarray) -> None:
+            while len(at):
+                reached[at] = True
+                to = np.unique(self.edges[at])
+                to = to[to >= 0]
+                at = to[~reached[to]]
+
+        walk(np.array([self.entry]))
+        for u in range(n):
+            if not reached[u]:
+                found, _, _ = self.search(self.points[u : u + 1], beam)
+                free = [v for v in found[0].tolist() if v >= 0 and self.edges[v, -1] < 0]
+                if not free:
+                    free = [int(x) for x in np.flatnonzero(reached & (self.edges[:, -1] < 0))]
+                    free = [free[int(np.argmin(_gaps(self.points[free], self.points[u : u + 1])[0]))]]
+                self.edges[free[0], -1] = u
+                walk(np.array([u]))
 
-    def _distances(self, rows: np.ndarray, q: np.ndarray, q_norm: np.ndarray) -> np.ndarray:
-        """Squared distances of each query to its row of candidates; those below 0 are missing."""
-        d = self._norm[rows] + q_norm[:, None] - 2 * np.matmul(self.points[rows], q[:, :, None])[:, :, 0]
-        return np.where(rows < 0, np.inf, np.maximum(d, 0))
+    def _distances(self, rows: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Squared distances of each query to its row of candidates; those below 0 are missing. Differences are taken first: nothing cancels."""
+        d = self.points[rows]
+        d -= q[:, None, :]
+        return np.where(rows < 0, np.inf, np.einsum("ijk,ijk->ij", d, d))
 
     def search(self, q: np.ndarray, beam: int, wide: int = 4, trace: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(rows, squared distances) of each query's beam, nearest first, -1 where it is short, and the rows expanded if traced."""
-        q = np.ascontiguousarray(q, np.float32)
-        q_norm, n = (q * q).sum(axis=1), len(q)
+        """(rows, squared distances) of each query's beam, nearest first, -1 where it is short, and the rows expanded if traced.
+
+        q is in the graph's frame.
+        """
+        n = len(q)
         rows = np.full((n, beam), -1, np.int32)
         rows[:, 0] = self.entry
-        dist = np.full((n, beam), np.inf, np.float32)
-        dist[:, 0] = self._distances(rows[:, :1], q, q_norm)[:, 0]
+        dist = np.full((n, beam), np.inf, self.points.dtype)
+        dist[:, 0] = self._distances(rows[:, :1], q)[:, 0]
         done = np.zeros((n, beam), bool)
         met = np.zeros((n, len(self.points)), bool)
         met[:, self.entry] = True
@@ -91,7 +171,7 @@ class Graph:
             r, c = np.nonzero(new >= 0)
             met[live[r], new[r, c]] = True
             every = np.concatenate([rows[live], new], axis=1)
-            d = np.concatenate([dist[live], self._distances(new, q[live], q_norm[live])], axis=1)
+            d = np.concatenate([dist[live], self._distances(new, q[live])], axis=1)
             flag = np.concatenate([done[live], np.zeros(new.shape, bool)], axis=1)
             best = np.argpartition(d, beam - 1, axis=1)[:, :beam]
             rows[live], dist[live], done[live] = (np.take_along_axis(x, best, axis=1) for x in (every, d, flag))
@@ -105,12 +185,13 @@ class Graph:
         candidates = np.sort(candidates, axis=1)
         candidates[:, 1:][candidates[:, 1:] == candidates[:, :-1]] = -1
         q = self.points[own]
-        d = self._distances(candidates, q, self._norm[own])
+        d = self._distances(candidates, q)
         width = min(candidates.shape[1], 3 * self.degree)
         order = np.argsort(d, axis=1)[:, :width]
         candidates, d = np.take_along_axis(candidates, order, axis=1), np.take_along_axis(d, order, axis=1)
-        x = self.points[candidates]
-        between = self._norm[candidates][:, :, None] + self._norm[candidates][:, None, :] - 2 * np.matmul(x, x.transpose(0, 2, 1))
+        x = self.points[candidates] - q[:, None, :]  # seen from their own point, near candidates have small norms
+        norm = np.einsum("ijk,ijk->ij", x, x)
+        between = norm[:, :, None] + norm[:, None, :] - 2 * np.matmul(x, x.transpose(0, 2, 1))
         alive = np.isfinite(d)
         out = np.full((len(own), self.degree), -1, np.int32)
         line = np.arange(len(own))
@@ -148,9 +229,8 @@ class Graph:
 SHARD = "dim int, shard int, ids binary, points binary, entry int, edges binary"
 
 
-def build(distinct: DataFrame, shard: int, degree: int, beam: int) -> DataFrame:
+def build(distinct: DataFrame, shards: int, degree: int, beam: int) -> DataFrame:
     """One row per shard and length of vector: the ids, the points and the graph."""
-    shards = max(1, -(-distinct.count() // shard))
 
     def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("id", kind="stable")
@@ -159,53 +239,60 @@ def build(distinct: DataFrame, shard: int, degree: int, beam: int) -> DataFrame:
         return pd.DataFrame({"dim": [x.shape[1]], "shard": [int(key[1])], "ids": [rows["id"].to_numpy(np.int64).tobytes()], "points": [x.tobytes()], "entry": [g.entry], "edges": [g.edges.tobytes()]})
 
     dealt = distinct.select("id", "vec", F.size("vec").alias("dim"), F.pmod(F.xxhash64("id", F.lit(3)), F.lit(shards)).cast("int").alias("shard"))
-    return dealt.groupBy("dim", "shard").applyInPandas(one, SHARD)
+    return dealt.repartition(4 * shards, "dim", "shard").groupBy("dim", "shard").applyInPandas(one, SHARD)  # few bytes, much work: as many partitions as that asks for
 
 
-def _load(row: dict) -> tuple[np.ndarray, np.ndarray, Graph]:
-    ids = np.frombuffer(row["ids"], np.int64)
-    x = np.frombuffer(row["points"], np.float64).reshape(len(ids), -1)
+def _load(ids: bytes, points: bytes, entry: int, edges: bytes) -> tuple[np.ndarray, np.ndarray, Graph]:
+    own = np.frombuffer(ids, np.int64)
+    x = np.frombuffer(points, np.float64).reshape(len(own), -1)
     g = Graph.__new__(Graph)
-    g.points, g.entry = x.astype(np.float32), row["entry"]
-    g._norm = (g.points * g.points).sum(axis=1)
-    g.edges = np.frombuffer(row["edges"], np.int32).reshape(len(ids), -1)
-    return ids, x, g
-
-
-def nearest(rows: DataFrame, id_col: str, vector: str, is_query: Column, k: int = 10, shard: int = 4096, degree: int = 32, beam: int = 64, search_beam: int = 192, block: int = 1024) -> DataFrame:
-    """query_id, rank (from 1), id_col and score (Euclidean distance): the k nearest found of each query row, itself left out."""
-    good = rows.where(usable(F.col(vector)) & F.col(id_col).isNotNull())
-    distinct = stash(classes(rows, id_col, vector).select("id", "vec"), "points")
-    graphs = stash(build(distinct, shard, degree, beam), "graphs")
-    asked = good.where(is_query).select(F.col(id_col).cast("long").alias("query_id"), plain(F.col(vector)).alias("vec"))
+    g.frame = Frame(x)
+    g.points, g.entry = np.ascontiguousarray(g.frame(x)), entry
+    g.edges = np.frombuffer(edges, np.int32).reshape(len(own), -1)
+    return own, x, g
+
+
+def nearest(rows: DataFrame, id_col: str, vector: str, is_query: Column, k: int = 10, shard: int | None = None, degree: int = 32, beam: int = 64, search_beam: int = 192, block: int = 8192) -> DataFrame:
+    """query_id, rank (from 1), id_col and score (Euclidean distance): the k nearest found of each query row, itself left out.
+
+    A shard holds 4096 points, more (up to 65,536) as their number grows: n / 64. A graph is sent
+    to as many tasks as there are blocks of queries, so what is shuffled grows with n times the
+    number of queries over `block`.
+    """
+    good = rows.where(usable(F.col(vector)) & F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), plain(F.col(vector)).alias("vec"), is_query.alias("asked"))
+    first = Window.partitionBy("vec").orderBy("id")  # of a class of copies only so many members can be in a result; each task drops the others before the shuffle
+    members = good.select("id", "vec", F.row_number().over(first).alias("_k")).where(F.col("_k") <= k + 1)
+    members = stash(members.select("id", "vec", "_k", F.first("id").over(first).alias("class_id")), "members")
+    distinct = members.where("_k = 1").select("id", "vec")
+    n = distinct.count()
+    shards = max(1, -(-n // (shard or min(65_536, max(4096, n // 64)))))
+    graphs = stash(build(distinct, shards, degree, beam), "graphs")
+    asked = good.where("asked").select(F.col("id").alias("query_id"), "vec")
     queries = asked.groupBy("vec").agg(F.min("query_id").alias("q"))  # copies among the queries are searched once
     n_blocks = max(1, -(-queries.count() // block))
     blocks = queries.withColumn("dim", F.size("vec")).withColumn("b", F.pmod(F.xxhash64("q"), F.lit(n_blocks)).cast("int")).groupBy("dim", "b").agg(F.collect_list(F.struct("q", "vec")).alias("queries"))
-    work = graphs.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).join(blocks, ["dim", "b"])
+    work = graphs.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).join(blocks, ["dim", "b"]).repartition(min(4 * shards * n_blocks, 20_000), "dim", "shard", "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                row = batch.slice(at, 1).to_pydict()
-                ids, x, g = _load({c: v[0] for c, v in row.items()})
-                q = np.array([r["q"] for r in row["queries"][0]], np.int64)
-                y = np.array([r["vec"] for r in row["queries"][0]], np.float64)
+                ids, x, g = _load(*(batch.column(c)[at].as_py() for c in ("ids", "points", "entry", "edges")))
+                own = batch.column("queries").slice(at, 1).flatten()
+                q, every = own.field("q").to_numpy(), matrix(own.field("vec"))
                 for lo in range(0, len(q), 256):
-                    found, _, _ = g.search(y[lo : lo + 256], search_beam)
-                    exact = np.sqrt(((x[found] - y[lo : lo + 256, None, :]) ** 2).sum(axis=2))
+                    y = every[lo : lo + 256]
+                    found, _, _ = g.search(g.frame(y), search_beam)
+                    exact = euclidean(x[found], y[:, None, :])
                     exact[found < 0] = np.inf
-                    best = np.lexsort((ids[found], exact), axis=1)[:, : k + 1]
+                    best = np.lexsort((ids[found], exact, found < 0), axis=1)[:, : k + 1]
                     found, exact = np.take_along_axis(found, best, axis=1), np.take_along_axis(exact, best, axis=1)
                     line, col = np.nonzero(found >= 0)
                     yield pa.RecordBatch.from_pydict({"q": pa.array(q[lo : lo + 256][line]), "id": pa.array(ids[found[line, col]]), "score": pa.array(exact[line, col])})
 
     near = work.select("ids", "points", "entry", "edges", "queries").mapInArrow(run, "q long, id long, score double")
     # a class counts once here, its members follow; the query's own class can take one place
-    best = stash(near.withColumn("_k", F.row_number().over(Window.partitionBy("q").orderBy("score", "id"))).where(F.col("_k") <= k + 1).drop("_k"), "near")
-    wanted = best.select("id").distinct().join(distinct, "id").select(F.col("id").alias("class_id"), "vec")
-    member = good.select(F.col(id_col).cast("long").alias("member"), plain(F.col(vector)).alias("vec")).join(wanted, "vec").select("class_id", "member")
-    members = member.withColumn("_k", F.row_number().over(Window.partitionBy("class_id").orderBy("member"))).where(F.col("_k") <= k + 1).drop("_k")
+    best = near.withColumn("_k", F.row_number().over(Window.partitionBy("q").orderBy("score", "id"))).where(F.col("_k") <= k + 1).drop("_k")
     every = asked.join(queries, "vec").select("query_id", "q")
-    pairs = every.join(best, "q").join(members, F.col("id") == F.col("class_id")).where("member <> query_id").select("query_id", F.col("member").alias(id_col), "score")
+    pairs = every.join(best, "q").join(members.select("class_id", F.col("id").alias("member")), F.col("id") == F.col("class_id")).where("member <> query_id").select("query_id", F.col("member").alias(id_col), "score")
     ranked = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", id_col)))
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", id_col, "score")

@@ -311,6 +311,52 @@ def test_language_model(spark, docs, no_docs, rows):
     assert len(everything_held) == len(rows) and all(r.n_known == 0 and r.train_tokens == 0 for r in everything_held)
 
 
+def _nearest(own, q, k=10):
+    """The k nearest of all, ties to the smaller id."""
+    x = next(y for i, y in own if i == q)
+    return sorted((float(vamana.euclidean(y[None], x)[0]), i) for i, y in own if i != q)[:k]
+
+
+@pytest.mark.parametrize("name", ["large", "far", "beside", "spread", "few", "huge"])
+def test_vamana_on_odd_places(spark, name):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((600, 24))
+    if name == "large":
+        x *= 1e20
+    elif name == "far":  # a small cloud away from the origin
+        x = 100 + 1e-3 * x
+    elif name == "beside":  # one vector far from all others
+        x[17] = 1e25
+    elif name == "spread":
+        x = rng.standard_normal((12, 24))[rng.integers(0, 12, 600)] * 1e7 + x
+    elif name == "few":
+        x = x[:5]
+        x[3] = 1e25
+    elif name == "huge":
+        x *= 1e306
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    got = vamana.nearest(df, "vec_id", "embedding", F.col("vec_id") % 20 == 0, shard=300).orderBy("query_id", "rank").collect()
+    own = list(enumerate(x))
+    hit = total = 0
+    for q in range(0, len(x), 20):
+        true, mine = _nearest(own, q), [(r.score, r.vec_id) for r in got if r.query_id == q]
+        assert len(mine) == len(true) and mine == sorted(mine)
+        hit, total = hit + len({i for _, i in mine} & {i for _, i in true}), total + len(true)
+    assert hit >= 0.95 * total
+
+
+def test_vamana_ties(spark):
+    """A ring of equal distances: the smaller ids come first, copies included; all rows may be copies."""
+    rows = [(k, [float(k % 4 == 0), float(k % 4 == 1), -float(k % 4 == 2), -float(k % 4 == 3)]) for k in range(40)] + [(100, [0.25] * 4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = vamana.nearest(df, "vec_id", "embedding", F.col("vec_id") % 10 == 0, shard=30).orderBy("query_id", "rank").collect()
+    own = [(i, np.array(v)) for i, v in rows]
+    for q in (0, 10, 20, 30, 100):
+        assert [(r.vec_id, r.score) for r in got if r.query_id == q] == [(i, d) for d, i in _nearest(own, q)]
+    same = spark.createDataFrame([(k, [1.0, 2.0]) for k in range(30)], "vec_id long, embedding array<double>")
+    assert [r.vec_id for r in vamana.nearest(same, "vec_id", "embedding", F.col("vec_id") == 3).orderBy("rank").collect()] == [0, 1, 2, 4, 5, 6, 7, 8, 9, 10]
+
+
 def _plain_score(m, s, text):
     """log10 of the product of p(w | h), each as a sum over all items, in double precision."""
     rank = {w: k for k, w in enumerate(s.words)}
