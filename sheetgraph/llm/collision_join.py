@@ -1,13 +1,15 @@
 """Embedding near-dedup by collision-counting projections.
 
-Unit vectors are projected onto many random lines. `gates` of them at a time give a cell, by
-which vectors are sorted; in a cell, every vector is the centre of a window on each of
-`counted` further lines, and the windows that another vector falls into are counted. Pairs
-with enough collisions are verified by cosine in double precision. The number of gates grows
-with the logarithm of the number of vectors, so that cells keep their size; the number of
-tables then follows from the recall asked for at the threshold (where it is least), and so
-does the count that a pair must reach. A pair is taken in the first table in which it meets,
-so it is counted once; a task yields link counts per vector and a spanning forest, no pairs.
+Unit vectors are projected onto many random lines. Each vector is the centre of a window on each
+of `counted` lines, the windows that another vector falls into are counted, and pairs with at
+least the calibrated count are verified by cosine in double precision. On its own that visits
+most pairs: a window wide enough for cosine 0.9 holds a third of all vectors on a line. So
+vectors are sorted by `gates` further lines into cells first, and windows are counted within a
+cell. The number of gates grows with the logarithm of the number of vectors, so that cells keep
+their size; the number of tables then follows from the recall asked for at the threshold (where
+it is least), and so does the count that a pair must reach. A pair is taken in the first table
+in which it meets, so it is counted once; a task yields link counts per vector and a spanning
+forest, no pairs. Vectors move once per table, in single precision where that holds them exactly.
 
 Edge cases: vectors that are null, empty, zero or hold null or non-finite components link
 with nothing and are their own component; exact copies are one class, whose members link with
@@ -52,7 +54,7 @@ class Plan:
     seed: int = 20_001
 
     @staticmethod
-    def of(n: int, threshold: float, recall: float = 0.98, counted: int = 32, cell: int = 500) -> "Plan":
+    def of(n: int, threshold: float, recall: float = 0.99, counted: int = 32, cell: int = 4000) -> "Plan":
         near, far = math.sqrt(2 - 2 * threshold), math.sqrt(2.0)
         width = 4 * near
 
@@ -72,7 +74,7 @@ class Plan:
 
     def lines(self, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         rng = np.random.default_rng([self.seed, dim])
-        return rng.standard_normal((dim, self.gates * self.tables)), rng.uniform(0, self.width, self.gates * self.tables), rng.standard_normal((dim, self.counted)).astype(np.float32)
+        return rng.standard_normal((dim, self.gates * self.tables)), rng.uniform(0, self.width, self.gates * self.tables), rng.standard_normal((dim, self.counted))
 
     def cells(self, unit: np.ndarray) -> np.ndarray:
         """A 64-bit key for each vector (row) and table (column)."""
@@ -92,6 +94,22 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return m / np.sqrt((m * m).sum(axis=1, keepdims=True))
 
 
+def _packed(m: np.ndarray) -> list[bytes]:
+    """Each row's bytes, in single precision where that holds it exactly."""
+    with np.errstate(over="ignore"):
+        single = m.astype("<f4")
+    exact = (single == m).all(axis=1)
+    return [(a if ok else b).tobytes() for a, b, ok in zip(single, m.astype("<f8"), exact.tolist(), strict=True)]
+
+
+def _unpacked(rows: list[bytes], dim: int) -> np.ndarray:
+    out = np.empty((len(rows), dim))
+    short = np.fromiter((len(r) == 4 * dim for r in rows), bool, len(rows))
+    out[short] = np.frombuffer(b"".join(r for r, k in zip(rows, short.tolist(), strict=True) if k), "<f4").reshape(-1, dim)
+    out[~short] = np.frombuffer(b"".join(r for r, k in zip(rows, short.tolist(), strict=True) if not k), "<f8").reshape(-1, dim)
+    return out
+
+
 def _cells(plan: Plan, distinct: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -100,11 +118,21 @@ def _cells(plan: Plan, distinct: DataFrame) -> DataFrame:
                 own = b.filter(pa.array(lengths == dim))
                 for lo in range(0, own.num_rows, 2048):
                     part = own.slice(lo, 2048)
-                    keys = plan.cells(_unit(matrix(part.column("vec"))))
+                    m = matrix(part.column("vec"))
+                    keys, packed = plan.cells(_unit(m)), pa.array(_packed(m), pa.binary())
                     for t in range(plan.tables):
-                        yield pa.RecordBatch.from_arrays([part.column("id"), part.column("vec"), part.column("n"), pa.array(np.full(part.num_rows, t, np.int32)), pa.array(keys[:, t])], ["id", "vec", "n", "t", "cell"])
+                        yield pa.RecordBatch.from_arrays([part.column("id"), packed, pa.array(np.full(part.num_rows, dim, np.int32)), part.column("n"), pa.array(np.full(part.num_rows, t, np.int32)), pa.array(keys[:, t])], ["id", "vec", "dim", "n", "t", "cell"])
+
+    return distinct.mapInArrow(run, "id long, vec binary, dim int, n long, t int, cell long")
+
+
+def _windows(p: np.ndarray, window: float) -> tuple[np.ndarray, np.uint16]:
+    """Projections as steps on a 16-bit ring, and the reach of a window there, rounded up.
 
-    return distinct.mapInArrow(run, "id long, vec array<double>, n long, t int, cell long")
+    A pair beyond the ring's end may seem to collide; a pair within the window always does.
+    """
+    step = window / 512
+    return np.floor(p / step).astype(np.int64).astype(np.uint16), np.uint16(513)
 
 
 def _links(plan: Plan, dealt: DataFrame, block: int = 512) -> DataFrame:
@@ -113,14 +141,15 @@ def _links(plan: Plan, dealt: DataFrame, block: int = 512) -> DataFrame:
     def compare(t: int, ids: np.ndarray, vecs: np.ndarray, n: np.ndarray, group: np.ndarray, first: np.ndarray, apart: bool):
         unit = _unit(vecs)
         _, _, lines = plan.lines(unit.shape[1])
-        p = unit.astype(np.float32) @ lines
+        steps, reach = _windows(unit @ lines, plan.window)
         keys = plan.cells(unit)[:, :t] if t else None
         found_i, found_j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for lo in range(0, len(ids), 256):
             q = slice(lo, lo + 256)
-            count = np.zeros((len(p[q]), len(p)), np.int8)
-            for line in range(plan.counted):
-                count += np.abs(p[q, line][:, None] - p[None, :, line]) <= plan.window
+            count = np.zeros((len(steps[q]), len(steps)), np.int8)
+            for line in range(plan.counted):  # each of q is the centre of a window
+                gap = np.subtract.outer(steps[q, line] + reach, steps[:, line])
+                count += gap <= 2 * reach
             ok = (count >= plan.least) & (group[q][:, None] == group[None, :])
             ok &= (first[q][:, None] & ~first[None, :]) if apart else (np.arange(len(ids))[q][:, None] < np.arange(len(ids))[None, :])
             i, j = np.nonzero(ok)
@@ -169,13 +198,12 @@ def _links(plan: Plan, dealt: DataFrame, block: int = 512) -> DataFrame:
             if hi - lo < 2:
                 return
             part = rows.slice(lo, hi - lo).combine_chunks()
-            vec = part.column("vec").chunk(0)
             group = np.cumsum(np.concatenate([[0], (key[:, lo + 1 : hi] != key[:, lo : hi - 1]).any(axis=0)]))
-            made = compare(int(key[0, lo]), part.column("id").to_numpy(), matrix(vec), part.column("n").to_numpy().astype(float), group, part.column("_first").to_numpy(zero_copy_only=False), bool(key[2, lo] != key[3, lo]))
+            made = compare(int(key[0, lo]), part.column("id").to_numpy(), _unpacked(part.column("vec").to_pylist(), int(dims[lo])), part.column("n").to_numpy().astype(float), group, part.column("_first").to_numpy(zero_copy_only=False), bool(key[2, lo] != key[3, lo]))
             if made is not None:
                 out.append(made)
 
-        dims = np.diff(rows.column("vec").combine_chunks().offsets.to_numpy()) if rows.num_rows else np.zeros(0)
+        dims = rows.column("dim").to_numpy()
         for lo, hi in zip(edge, edge[1:], strict=False):
             alone = key[2, lo] != key[3, lo] or hi - lo >= block
             if start < lo and (alone or hi - start > block or key[0, lo] != key[0, start] or dims[lo] != dims[start]):
@@ -190,10 +218,10 @@ def _links(plan: Plan, dealt: DataFrame, block: int = 512) -> DataFrame:
             start = end
         return rows.slice(start), out
 
-    return dealt.select("id", "vec", "n", "t", "cell", "_i", "_j", "_first").mapInArrow(run, "id long, n_links long, other long")
+    return dealt.select("id", "vec", "dim", "n", "t", "cell", "_i", "_j", "_first").mapInArrow(run, "id long, n_links long, other long")
 
 
-def near_duplicates(rows: DataFrame, id_col: str, vector: str, threshold: float = 0.9, recall: float = 0.98, most: int = 2048) -> DataFrame:
+def near_duplicates(rows: DataFrame, id_col: str, vector: str, threshold: float = 0.9, recall: float = 0.99, most: int = 2048) -> DataFrame:
     """id_col, n_links, component_id and kept, for every row."""
     distinct = stash(classes(rows, id_col, vector), "vectors")
     plan = Plan.of(distinct.count(), threshold, recall)

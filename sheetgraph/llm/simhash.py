@@ -178,14 +178,3 @@ def cluster(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
     classes = distinct.join(found, "fp", "left").select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
     lowest = classes.groupBy("component").agg(F.min("first_id").alias("component_id"))
     return marked.join(classes.join(lowest, "component").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
-
-
-def keep_one(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
-    """docs with one row of each class: that of the least doc_id. Rows of a class without any id all stay."""
-    from pyspark.sql import Window
-
-    classes = cluster(docs, words, radius)
-    kept = classes.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    one = docs.join(kept, F.col("doc_id").cast("long") == F.col("__kept"), "left_semi").withColumn("__k", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))).where("__k = 1").drop("__k")
-    nameless = classes.where("component_id is null").select("fp").limit(1).count()
-    return one.unionByName(docs.where("doc_id is null")) if nameless else one
