@@ -49,33 +49,45 @@ def fragment_groups(fragments: DataFrame, key: list[str], pos_tol: float, gap: f
     cut = banded.withColumn("_cut", F.when(F.col("lo") - reach > gap, 1).otherwise(0)).withColumn("_part", F.sum("_cut").over(v.rowsBetween(Window.unboundedPreceding, 0))).drop("_cut")
     group = [*key, "axis", "_band", "_part"]
 
-    def run(parts):
-        for pdf in parts:
-            sets = DisjointSets(len(pdf))
-            lo, hi, pos = pdf["lo"].to_numpy(), pdf["hi"].to_numpy(), pdf["pos"].to_numpy()
-            codes = pdf.groupby(group, sort=False).ngroup().to_numpy()
-            active: list[int] = []
-            for i in range(len(pdf)):
-                if i and codes[i] != codes[i - 1]:
-                    active = []
-                active = [j for j in active if lo[i] - hi[j] <= gap]
-                for j in active:
-                    if abs(pos[i] - pos[j]) <= pos_tol:
-                        sets.join(j, i)
-                active.append(i)
-            root = np.array([sets.find(i) for i in range(len(pdf))], dtype=int)
-            yield pdf.assign(piece_of=pd.Series(pdf[order].to_numpy()).groupby(root).transform("min").to_numpy()) if len(pdf) else pdf.assign(piece_of=pdf[order])
-
     ordered = cut.repartition(*group).sortWithinPartitions(*group, "lo", order)
     kinds = {f.name: f.dataType.simpleString() for f in ordered.schema}
     schema = ", ".join(f"{c} {kinds[c]}" for c in ordered.columns) + f", piece_of {kinds[order]}"
 
-    def whole(parts):
-        held = list(parts)
-        if held:
-            yield from run([pd.concat(held, ignore_index=True)])
+    def joined(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Whole clusters, one after another."""
+        sets = DisjointSets(len(pdf))
+        lo, hi, pos = pdf["lo"].to_numpy(), pdf["hi"].to_numpy(), pdf["pos"].to_numpy()
+        new = np.concatenate([[True], changes(pdf)])
+        active: list[int] = []
+        for i in range(len(pdf)):
+            active = [] if new[i] else [j for j in active if lo[i] - hi[j] <= gap]
+            for j in active:
+                if abs(pos[i] - pos[j]) <= pos_tol:
+                    sets.join(j, i)
+            active.append(i)
+        root = np.array([sets.find(i) for i in range(len(pdf))], dtype=int)
+        return pdf.assign(piece_of=pd.Series(pdf[order].to_numpy()).groupby(root).transform("min").to_numpy())
+
+    def changes(pdf: pd.DataFrame) -> np.ndarray:
+        values = [pdf[c].to_numpy() for c in group]
+        return np.any([v[1:] != v[:-1] for v in values], axis=0)
+
+    def run(parts):
+        """A batch is cut after its last whole cluster; the rest waits for the next batch."""
+        held = None
+        for pdf in parts:
+            held = pdf if held is None or not len(held) else pd.concat([held, pdf], ignore_index=True)
+            if len(held) < 2:
+                continue
+            edge = np.flatnonzero(changes(held))
+            if len(edge):
+                whole = int(edge[-1]) + 1
+                yield joined(held[:whole].reset_index(drop=True))
+                held = held[whole:].reset_index(drop=True)
+        if held is not None and len(held):
+            yield joined(held)
 
-    return ordered.mapInPandas(whole, schema).drop("_band", "_part")
+    return ordered.mapInPandas(run, schema).drop("_band", "_part")
 
 
 def runs_of(grouped: DataFrame, key: list[str], group: str = "piece_of") -> DataFrame:
@@ -169,15 +181,16 @@ def merge_points(points: DataFrame, entries: DataFrame, tol: float = 3.0) -> tup
     """Points that mean one place folded into the first of them, in order of point_id.
 
     A point absorbs the later ones within `tol` of it that no other has absorbed; the entry
-    and exit of one symbol on one run stay apart. An absorbed point absorbs nothing more.
+    and exit of one symbol on one run stay apart. A junction that absorbs a contact stands for
+    that contact from then on, on the first of all its runs. An absorbed point absorbs nothing more.
     """
     run_of = entries.groupBy(*KEY, "point_id").agg(F.min(F.struct("axis", "run_id")).alias("r"))
-    own = points.join(run_of, [*KEY, "point_id"]).select(*KEY, "point_id", "x", "y", "symbols", F.concat(F.col("r.axis"), F.col("r.run_id").cast("string")).alias("run"))
+    own = points.join(run_of, [*KEY, "point_id"]).select(*KEY, "point_id", "x", "y", "symbols", F.col("r.axis").alias("axis"), F.col("r.run_id").alias("run"))
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("point_id").reset_index(drop=True)
         x, y = pdf["x"].tolist(), pdf["y"].tolist()
-        contact = [(r, s[0]) if len(s) else None for r, s in zip(pdf["run"], pdf["symbols"], strict=True)]
+        run, symbol = list(zip(pdf["axis"], pdf["run"], strict=True)), [s[0] if len(s) else None for s in pdf["symbols"]]
         cell = [(int(u // tol), int(v // tol)) for u, v in zip(x, y, strict=True)]
         free: dict[tuple[int, int], list[int]] = {}  # points that are neither done nor absorbed
         for k, c in enumerate(cell):
@@ -195,8 +208,11 @@ def merge_points(points: DataFrame, entries: DataFrame, tol: float = 3.0) -> tup
                 for b in near:
                     if b == a:
                         continue
-                    if math.dist((x[a], y[a]), (x[b], y[b])) <= tol and not (contact[a] is not None and contact[a] == contact[b]):
+                    pair = symbol[a] is not None and (run[a], symbol[a]) == (run[b], symbol[b])
+                    if math.dist((x[a], y[a]), (x[b], y[b])) <= tol and not pair:
                         into[b] = a
+                        run[a] = min(run[a], run[b])
+                        symbol[a] = symbol[b] if symbol[a] is None else symbol[a]
                     else:
                         rest.append(b)
                 free[c] = rest
@@ -240,10 +256,10 @@ def symbol_links(points: DataFrame, edges: DataFrame) -> DataFrame:
     return met.union(rest).distinct()
 
 
-def prune(runs: DataFrame, symbols: DataFrame, rounds: int = 50, merge: float = 3.0, **params) -> DataFrame:
+def prune(runs: DataFrame, symbols: DataFrame, merge: float = 3.0, **params) -> DataFrame:
     """runs without those that hold fewer than two entries of points, again and again until none is left out."""
     now, n = stash(runs, "runs"), -1
-    for _ in range(rounds):
+    while True:  # each round leaves out a run or is the last
         points, entries = points_of(now, symbols, **params)
         _, entries = merge_points(points, entries, merge)
         good = entries.groupBy(*KEY, "axis", "run_id").agg(F.count("*").alias("_n")).where("_n >= 2").drop("_n")
@@ -253,4 +269,3 @@ def prune(runs: DataFrame, symbols: DataFrame, rounds: int = 50, merge: float =
             return nxt
         drop_stash(now)
         now = nxt
-    raise RuntimeError(f"pruning did not settle in {rounds} rounds")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheetgraph.functions import geometry as g
+from sheetgraph.operators.greedy import keep_greedily
 from sheetgraph.operators.spatial import box_join
 
 
@@ -29,6 +30,34 @@ def outside_texts(lines: DataFrame, texts: DataFrame, key: list[str], line: str
     return lines.join(met.select(*key, line).distinct(), [*key, line], "left_anti")
 
 
+def duplicate_pairs(lines: DataFrame, key: list[str], line: str = "line_ix", angle: float = 10.0, across: float = 5.0, share: float = 0.25, cell: float = 200.0) -> DataFrame:
+    """(earlier, later) of segments (x1, y1, x2, y2): the later one may lie on the earlier one's stroke.
+
+    Earlier is the longer, then the smaller `line`. The directions differ by at most `angle`
+    degrees, both ends of the later one lie within `across` of the earlier one's line, and their
+    extents along it share at least `share` of the shorter one. Lengths of zero have no stroke.
+    """
+    side = lambda p, n: lines.select(*key, F.col(line).alias(n), *[F.col(c).cast("double").alias(f"_{p}_{c}") for c in ("x1", "y1", "x2", "y2")])
+    k, c = g.box("_k_"), g.box("_c_")
+    met = box_join(side("k", "earlier"), side("c", "later"), key, tuple(g.bounds(k)), tuple(g.bounds(c)), 1.5 * across, cell)
+    met = met.withColumns({f"_{p}n": F.hypot(b.x2 - b.x1, b.y2 - b.y1) for p, b in (("k", k), ("c", c))})
+    first = (F.col("_kn") > F.col("_cn")) | ((F.col("_kn") == F.col("_cn")) & (F.col("earlier") < F.col("later")))
+    met = met.where(first & (F.col("_cn") > 0)).withColumns({"_ux": (k.x2 - k.x1) / F.col("_kn"), "_uy": (k.y2 - k.y1) / F.col("_kn")})
+    off = lambda x, y: F.abs((x - k.x1) * F.col("_uy") - (y - k.y1) * F.col("_ux"))
+    along = lambda x, y: (x - k.x1) * F.col("_ux") + (y - k.y1) * F.col("_uy")
+    a, b = along(c.x1, c.y1), along(c.x2, c.y2)
+    shared = F.least(F.col("_kn"), F.greatest(a, b)) - F.greatest(g.zero(), F.least(a, b))
+    turn = lambda s: F.pmod(F.degrees(F.atan2(s.y2 - s.y1, s.x2 - s.x1)), F.lit(180.0))
+    gap = F.abs(turn(k) - turn(c))
+    same = (F.least(gap, 180 - gap) <= angle) & (off(c.x1, c.y1) <= across) & (off(c.x2, c.y2) <= across) & (shared / F.col("_cn") >= share)
+    return met.where(same).select(*key, "earlier", "later")
+
+
+def deduplicated(lines: DataFrame, key: list[str], line: str = "line_ix", **tolerances) -> DataFrame:
+    """The longest segment of each stroke: a scan, longest first, leaves out what lies on a segment kept before."""
+    return keep_greedily(lines, duplicate_pairs(lines, key, line, **tolerances), key, line)
+
+
 def variation(values: Column) -> Column:
     """Population deviation over mean of a set of rows: 0 below two rows, infinite for mean 0."""
     return F.when(F.count(values) < 2, F.lit(0.0)).when(F.avg(values) == 0, F.lit(g.INF)).otherwise(F.try_divide(F.stddev_pop(values), F.avg(values)))

@@ -68,10 +68,10 @@ _LL = f"""{_LN.split(', sy as')[0].rstrip().rstrip(',')}, f0 as (select l.sheet_
  sqrt(pow(greatest(l.ex1-q.ex2,q.ex1-l.ex2,0),2)+pow(greatest(l.ey1-q.ey2,q.ey1-l.ey2,0),2)) as dx from lx l join lx q using (sheet_id) where l.line_ix <> q.line_ix and abs(least(abs(l.x1-q.x1),abs(l.x1-q.x2),abs(l.x2-q.x1),abs(l.x2-q.x2), case when (q.x1-0.0125<=l.x1 and l.x1<=q.x2+0.0125) or (q.x1-0.0125<=l.x2 and l.x2<=q.x2+0.0125) then 0 else 1 end)) <= 0.0126)"""
 
 
-@query("j03_line_line", f"{_LL} select sheet_id, count(*) as n, round(sum(sp),4) as sp, round(sum(el),4) as el from f0 where least(sl,el) < 50/4000.0 and dx <= 10/4000.0 group by sheet_id")
+@query("j03_line_line", f"{_LL} select sheet_id, line_ix, target, round(sp,6) as sp, round(ep,6) as ep, round(sl,6) as sl, round(el,6) as el from f0 where least(sl,el) < 50/4000.0 and dx <= 10/4000.0")
 def j03(spark, sf):
     n = c.near_lines(lines(spark, sf), 50 / UNIT, 5 / UNIT, 0.2, CELL)
-    return n.groupBy("sheet_id").agg(F.count("*").alias("n"), F.round(F.sum("sp"), 4).alias("sp"), F.round(F.sum("el"), 4).alias("el"))
+    return n.select("sheet_id", "line_ix", "target", *[F.round(x, 6).alias(x) for x in ("sp", "ep", "sl", "el")])
 
 
 @query("j04_ray_hits", """, e as (select sheet_id, line_ix, side, case when axis='h' then (case side when 'start' then lo else hi end) else pos end/4000.0 as px, case when axis='h' then pos else (case side when 'start' then lo else hi end) end/3000.0 as py, axis from segments, (select unnest(['start','end']) as side) where hi > lo),
@@ -285,30 +285,89 @@ def j16(spark, sf):
     return overlaps(b, b, g.iou, 0.2).where("a_id < b_id").select("sheet_id", "a_id", "b_id", F.round("value", 6).alias("iou"))
 
 
-def _nms(name, metric, least, sql):
-    """Greedy suppression by id order over enlarged symbols; SQL follows it by recursion over each sheet's conflicts."""
+def _scan(items: str, test: str, out: str) -> str:
+    """SQL of the sequential scan over items (sheet_id, id, k in the order of the scan): each is kept unless it conflicts with one kept before.
 
-    @query(name, sql)
-    def run(spark, sf):
-        b = _enlarged(spark, sf, 60)
-        conflicts = overlaps(b, b, metric, least).where("a_id < b_id").select("sheet_id", F.col("a_id").alias("earlier"), F.col("b_id").alias("later"))
-        return gd.keep_greedily(b, conflicts, KEY, "symbol_id").select("sheet_id", "symbol_id")
+    `test` tells of an earlier a and a later b; `out` selects from kept_ (sheet_id, id).
+    """
+    return f""", {items}, conf as materialized (select a.sheet_id, b.id as later, list(a.id) as es from it a join it b on a.sheet_id=b.sheet_id and a.k<b.k where {test} group by a.sheet_id, b.id),
+scan_ as (select distinct sheet_id, cast(0 as bigint) as k, cast([] as bigint[]) as kept from it union all select s.sheet_id, i.k, case when c.es is not null and list_has_any(c.es, s.kept) then s.kept else list_append(s.kept, i.id) end from scan_ s join it i on i.sheet_id=s.sheet_id and i.k=s.k+1 left join conf c on c.sheet_id=i.sheet_id and c.later=i.id),
+kept_ as (select sheet_id, unnest(kept) as id from scan_ qualify row_number() over (partition by sheet_id order by k desc) = 1)
+{out}"""
 
-    return run
 
+def stroke_copies(spark, sf):
+    """Segments, and for every fifth a shorter one three pixels beside it, as the two edges of a stroke give."""
+    l = d.lines(spark, sf).select("sheet_id", "line_ix", "x1", "y1", "x2", "y2")
+    part = lambda a, b: F.col(a) + 0.6 * (F.col(b) - F.col(a)) + 3
+    return l.unionByName(l.where("line_ix % 5 = 0").select("sheet_id", (F.col("line_ix") + 1_000_000).alias("line_ix"), (F.col("x1") + 3).alias("x1"), (F.col("y1") + 3).alias("y1"), part("x1", "x2").alias("x2"), part("y1", "y2").alias("y2")))
 
-def _scan(test: str) -> str:
-    """SQL of the sequential scan: each item is kept unless it conflicts with one kept before."""
-    return f""", {_BIG}, conf as (select a.sheet_id, b.id as later, list(a.id) as es from big a join big b on a.sheet_id=b.sheet_id and a.id<b.id where {test} group by a.sheet_id, b.id),
-it as (select sheet_id, id, row_number() over (partition by sheet_id order by id) as k from big),
-scan_ as (select distinct sheet_id, cast(0 as bigint) as k, cast([] as bigint[]) as kept from big union all select s.sheet_id, i.k, case when c.es is not null and list_has_any(c.es, s.kept) then s.kept else list_append(s.kept, i.id) end from scan_ s join it i on i.sheet_id=s.sheet_id and i.k=s.k+1 left join conf c on c.sheet_id=i.sheet_id and c.later=i.id)
-select sheet_id, unnest(kept) as symbol_id from scan_ qualify row_number() over (partition by sheet_id order by k desc) = 1"""
 
+_STROKES = """st as (select sheet_id, line_ix as id, x1, y1, x2, y2 from lines union all select sheet_id, line_ix + 1000000, x1+3, y1+3, x1+0.6*(x2-x1)+3, y1+0.6*(y2-y1)+3 from lines where line_ix % 5 = 0),
+it as materialized (select *, case when n > 0 then (x2-x1)/n else 0 end as ux, case when n > 0 then (y2-y1)/n else 0 end as uy, ((degrees(atan2(y2-y1,x2-x1)) % 180) + 180) % 180 as turn, row_number() over (partition by sheet_id order by n desc, id) as k from (select *, sqrt(pow(x2-x1,2)+pow(y2-y1,2)) as n from st))"""
+_ON = "(({x}-a.x1)*a.ux+({y}-a.y1)*a.uy)"
+_OFF = "abs(({x}-a.x1)*a.uy-({y}-a.y1)*a.ux) <= 5"
+_A, _B = _ON.format(x="b.x1", y="b.y1"), _ON.format(x="b.x2", y="b.y2")
+_DUPLICATE = f"b.n > 0 and least(abs(a.turn-b.turn), 180-abs(a.turn-b.turn)) <= 10 and {_OFF.format(x='b.x1', y='b.y1')} and {_OFF.format(x='b.x2', y='b.y2')} and (least(a.n, greatest({_A},{_B})) - greatest(0, least({_A},{_B}))) / b.n >= 0.25"
 
-_nms("g01_kept_segments", g.contained_share, 0.5, _scan(f"{_OV}/25600.0 > 0.5"))
-_nms("g03_kept_symbols", g.iou, 0.5, _scan(f"{_OV}/(51200.0-{_OV}) > 0.5"))
-_nms("g04_no_overlap", g.iou, 0.0, _scan(f"{_OV} > 0"))
-_nms("g05_kept_of_tiles", g.overlap_of_smaller, 0.5, _scan(f"{_OV}/25600.0 > 0.5"))
+
+@query("g01_kept_segments", _scan(_STROKES, _DUPLICATE, "select sheet_id, id as line_ix from kept_"))
+def g01(spark, sf):
+    from sheetgraph.operators import lines as ln
+
+    return ln.deduplicated(stroke_copies(spark, sf), KEY).select("sheet_id", "line_ix")
+
+
+def scored(spark, sf):
+    """Symbols with boxes of four sizes and a score."""
+    m = 40 + 20 * (F.col("symbol_id") % 4)
+    return d.symbols(spark, sf).select("sheet_id", "symbol_id", (0.5 + (F.col("symbol_id") * 7 % 10) / 20).alias("score"), *[(F.col(k) + (m if k[1] == "2" else -m)).cast("double").alias(k) for k in ("x1", "y1", "x2", "y2")])
+
+
+_SCORED = "it as materialized (select *, (x2-x1)*(y2-y1) as area, row_number() over (partition by sheet_id order by score desc, id) as k from (select sheet_id, symbol_id as id, 0.5 + (symbol_id*7 % 10)/20.0 as score, x1-(40+20*(symbol_id%4)) as x1, y1-(40+20*(symbol_id%4)) as y1, x2+(40+20*(symbol_id%4)) as x2, y2+(40+20*(symbol_id%4)) as y2 from symbols))"
+
+
+def best_of(items, item, metric, least, order):
+    """items kept by a scan in that order; a pair whose metric is over `least` keeps the earlier one only."""
+    pairs = overlaps(items.select("sheet_id", item, "x1", "y1", "x2", "y2"), items.select("sheet_id", item, "x1", "y1", "x2", "y2"), metric, least).where("a_id < b_id")
+    return gd.keep_best(items, pairs.withColumnsRenamed({"a_id": "one", "b_id": "other"}), KEY, item, order)
+
+
+def by_score(items, item):
+    return best_of(items.withColumn("_s", -F.col("score")), item, g.iou, 0.5, ["_s", item])
+
+
+@query("g03_kept_symbols", _scan(_SCORED, f"{_OV}/(a.area+b.area-{_OV}) > 0.5", "select sheet_id, id as symbol_id, row_number() over (partition by sheet_id order by y1, x1, k) - 1 as new_id from kept_ join it using (sheet_id, id)"))
+def g03(spark, sf):
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("sheet_id").orderBy("y1", "x1", F.desc("score"), "symbol_id")
+    return by_score(scored(spark, sf), "symbol_id").select("sheet_id", "symbol_id", (F.row_number().over(w) - 1).alias("new_id"))
+
+
+@query("g04_no_overlap", _scan(_SCORED, f"{_OV} > 0", "select sheet_id, id as symbol_id from kept_"))
+def g04(spark, sf):
+    return best_of(scored(spark, sf).withColumn("_s", -F.col("score")), "symbol_id", g.iou, 0.0, ["_s", "symbol_id"]).select("sheet_id", "symbol_id")
+
+
+def of_tiles(spark, sf):
+    """Symbols (odd ids) and texts (even ids) that tiles report, some twice."""
+    s = scored(spark, sf).select("sheet_id", (2 * F.col("symbol_id") + 1).alias("item_id"), "score", "x1", "y1", "x2", "y2")
+    x = d.texts(spark, sf).select("sheet_id", (4 * F.col("text_ix")).alias("item_id"), F.lit(None).cast("double").alias("score"), *[F.col(k).cast("double").alias(k) for k in ("x1", "y1", "x2", "y2")])
+    again = x.where("item_id % 12 = 0").select("sheet_id", (F.col("item_id") + 2).alias("item_id"), "score", (F.col("x1") + 9).alias("x1"), "y1", (F.col("x2") + 9).alias("x2"), "y2")
+    return s, x.unionByName(again)
+
+
+_TILES = """tl as (select sheet_id, 2*symbol_id+1 as id, 0.5 + (symbol_id*7 % 10)/20.0 as score, x1-(40+20*(symbol_id%4)) as x1, y1-(40+20*(symbol_id%4)) as y1, x2+(40+20*(symbol_id%4)) as x2, y2+(40+20*(symbol_id%4)) as y2 from symbols
+ union all select sheet_id, 4*text_ix, 0.5, x1, y1, x2, y2 from texts union all select sheet_id, 4*text_ix+2, 0.5, x1+9, y1, x2+9, y2 from texts where text_ix % 3 = 0),
+it as materialized (select *, (x2-x1)*(y2-y1) as area, row_number() over (partition by sheet_id order by id % 2 desc, score desc, id) as k from tl)"""
+
+
+@query("g05_kept_of_tiles", _scan(_TILES, f"a.id%2=b.id%2 and case when a.id%2=1 then {_OV}/least(a.area,b.area) > 0.5 else {_OV}/(a.area+b.area-{_OV}) > 0.4 end", "select sheet_id, case when id%2=1 then 'symbol' else 'text' end as kind, id as item_id from kept_"))
+def g05(spark, sf):
+    s, x = of_tiles(spark, sf)
+    kept = best_of(s.withColumn("_s", -F.col("score")), "item_id", g.overlap_of_smaller, 0.5, ["_s", "item_id"]).select("sheet_id", F.lit("symbol").alias("kind"), "item_id")
+    return kept.unionByName(best_of(x, "item_id", g.iou, 0.4, ["item_id"]).select("sheet_id", F.lit("text").alias("kind"), "item_id"))
 
 
 @query("g02_matched", f""", {_BIG}, pr as (select a.sheet_id, a.id as a_id, b.id as b_id, {_OV}/(51200.0-{_OV}) as iou, row_number() over (partition by a.sheet_id order by {_OV}/(51200.0-{_OV}) desc, a.id, b.id) as k from big a join big b on a.sheet_id=b.sheet_id and a.id%2=0 and b.id%2=1 where {_OV}/(51200.0-{_OV}) > 0.05),

@@ -96,9 +96,9 @@ def raw_crossings(spark, sf):
     return x.crossings(r.where("axis = 'h'"), r.where("axis = 'v'"), KEY, 4.0, 20.0)
 
 
-@query("j09_crossings", f"select sheet_id, count(*) as n, cast(sum(x) as bigint) as sum_x, cast(sum(y) as bigint) as sum_y from ({_CROSS}) group by sheet_id")
+@query("j09_crossings", f"select sheet_id, h_id, v_id, cast(x as bigint) as x, cast(y as bigint) as y from ({_CROSS})")
 def j09(spark, sf):
-    return raw_crossings(spark, sf).groupBy("sheet_id").agg(F.count("*").alias("n"), F.sum("x").cast("long").alias("sum_x"), F.sum("y").cast("long").alias("sum_y"))
+    return raw_crossings(spark, sf).select("sheet_id", "h_id", "v_id", F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"))
 
 
 @query("j10_contacts", """select sheet_id, axis, line_ix, symbol_id, unnest(case when lo < b_lo+3 and hi > b_hi-3 then list_distinct([a, b]) else [(a+b)/2.0] end) as at from
