@@ -80,11 +80,15 @@ def dash_chunks(runs: DataFrame, key: list[str], blank: float = 25.0) -> DataFra
     return edge.where((F.col("first") > F.col("_lo")) & (F.col("first") < F.col("_hi"))).drop("_lo", "_hi")
 
 
-def dash_verdicts(inner: DataFrame, key: list[str], scale: float = 1.0) -> DataFrame:
+#: Fixed values, in pixels of a sheet 3916 wide: least and most length of a gap and of a dash.
+DASH_LIMITS = {"gap_px": (2, 25), "dash_px": (4, 60)}
+
+
+def dash_verdicts(inner: DataFrame, key: list[str], limits: dict[str, tuple[float, float]] = DASH_LIMITS) -> DataFrame:
     """dash, gap, period and dashed of each chunk of inner stroke runs."""
     gap, dash = F.when(~F.col("ink"), F.col("length")), F.when(F.col("ink"), F.col("length"))
     a = inner.groupBy(*key, "chunk").agg(F.count(gap).alias("gaps"), F.median(gap).alias("gap"), F.median(dash).alias("dash"), variation(gap).alias("gap_cv"), variation(dash).alias("dash_cv"))
-    fits = (F.col("gaps") >= 2) & F.col("gap").between(2 * scale, 25 * scale) & F.col("dash").between(4 * scale, 60 * scale) & (F.col("gap_cv") < 0.45) & (F.col("dash_cv") < 0.45)
+    fits = (F.col("gaps") >= 2) & F.col("gap").between(*limits["gap_px"]) & F.col("dash").between(*limits["dash_px"]) & (F.col("gap_cv") < 0.45) & (F.col("dash_cv") < 0.45)
     return a.withColumn("period", F.col("dash") + F.col("gap")).withColumn("dashed", F.coalesce(fits, F.lit(False)))
 
 

@@ -63,28 +63,82 @@ def masked(values: np.ndarray, boxes: np.ndarray, inset: int = 0) -> np.ndarray:
     return out
 
 
-def thinned(mask: np.ndarray, rounds: int = 0) -> np.ndarray:
-    """A mask of strokes one pixel wide (Zhang and Suen, 1984); rounds 0 goes on until nothing changes."""
-    a = np.pad(mask.astype(bool), 1)
-    done = 0
+def _peeled(a: np.ndarray, even: bool) -> np.ndarray:
+    """One half step of the thinning of a padded mask (Zhang and Suen, 1984)."""
+    p = [a[:-2, 1:-1], a[:-2, 2:], a[1:-1, 2:], a[2:, 2:], a[2:, 1:-1], a[2:, :-2], a[1:-1, :-2], a[:-2, :-2]]
+    n = sum(x.astype(np.int8) for x in p)
+    turns = sum((~x & y).astype(np.int8) for x, y in zip(p, [*p[1:], p[0]], strict=True))
+    top, right, bottom, left = p[0], p[2], p[4], p[6]
+    open_ = ~(top & right & bottom) & ~(right & bottom & left) if even else ~(top & right & left) & ~(top & bottom & left)
+    out = a.copy()
+    out[1:-1, 1:-1] &= ~((n >= 2) & (n <= 6) & (turns == 1) & open_)
+    return out
+
+
+def thinned(mask: np.ndarray, rounds: float = 0, thick: float = 0) -> np.ndarray:
+    """A mask of strokes one pixel wide. Rounds (whole or half) stop earlier, 0 goes on until nothing changes.
+
+    With `thick`, only what lies around strokes at least that wide is thinned.
+    """
+    if thick > 0:
+        wide = depth(mask) >= thick / 2
+        if not wide.any():
+            return mask.astype(bool)
+        radius = max(1, int(np.ceil(thick)))
+        around = depth(~wide) <= radius
+        return np.where(around, thinned(mask), mask.astype(bool))
+    a, steps = np.pad(mask.astype(bool), 1), 0
     while True:
-        before = a.sum()
+        before = a
         for even in (True, False):
-            p = [a[:-2, 1:-1], a[:-2, 2:], a[1:-1, 2:], a[2:, 2:], a[2:, 1:-1], a[2:, :-2], a[1:-1, :-2], a[:-2, :-2]]
-            n = sum(x.astype(np.int8) for x in p)
-            turns = sum((~x & y).astype(np.int8) for x, y in zip(p, [*p[1:], p[0]], strict=True))
-            top, right, bottom, left = p[0], p[2], p[4], p[6]
-            open_ = ~(top & right & bottom) & ~(right & bottom & left) if even else ~(top & right & left) & ~(top & bottom & left)
-            a[1:-1, 1:-1] &= ~((n >= 2) & (n <= 6) & (turns == 1) & open_)
-        done += 1
-        if a.sum() == before or done == rounds:
+            a = _peeled(a, even)
+            steps += 1
+            if steps == round(2 * rounds):
+                return a[1:-1, 1:-1]
+        if (a == before).all():
             return a[1:-1, 1:-1]
 
 
-def red(rgb: np.ndarray, least: int = 60, lead: int = 40) -> np.ndarray:
-    """True where red is strong and leads green and blue."""
-    r, g, b = (rgb[..., k].astype(int) for k in range(3))
-    return (r >= least) & (r - np.maximum(g, b) >= lead)
+def depth(mask: np.ndarray) -> np.ndarray:
+    """The distance of each pixel of the mask to the nearest outside it: exact along rows, then the least over columns."""
+    h, w = mask.shape
+    far = float(h + w)
+    out = np.where(mask, far, 0.0)
+    for k in range(1, w):  # distance within the row, from both sides
+        out[:, k] = np.minimum(out[:, k], out[:, k - 1] + 1)
+    for k in range(w - 2, -1, -1):
+        out[:, k] = np.minimum(out[:, k], out[:, k + 1] + 1)
+    square, best = out**2, out**2
+    for step in range(1, h):  # then over rows, nearest first, until no row can be nearer
+        if step * step >= best.max():
+            break
+        shifted = np.full_like(square, far * far)
+        shifted[step:] = square[:-step]
+        shifted[:-step] = np.minimum(shifted[:-step], square[step:])
+        best = np.minimum(best, shifted + step * step)
+    return np.sqrt(best)
+
+
+def stroke_width(mask: np.ndarray) -> float:
+    """The mean width of the strokes: ink over the length of their middle lines."""
+    bones = int(thinned(mask).sum())
+    return float(mask.sum()) / bones if bones else 1.0
+
+
+#: Fixed values of the colour test, hue in 0..179.
+HUE_LOW_MAX, HUE_HIGH_MIN, MIN_SATURATION, MIN_VALUE, MIN_DOMINANCE = 25, 150, 55, 40, 32
+
+
+def red(rgb: np.ndarray) -> np.ndarray:
+    """True where the hue is red and strong enough to tell, or red leads green and blue."""
+    r, g, b = (rgb[..., k].astype(float) for k in range(3))
+    top, low = np.maximum(np.maximum(r, g), b), np.minimum(np.minimum(r, g), b)
+    span = np.where(top > low, top - low, 1)
+    hue = np.select([top == low, top == r, top == g], [0 * r, (g - b) / span, 2 + (b - r) / span], 4 + (r - g) / span)
+    hue = np.rint(30 * hue) % 180
+    saturation = np.rint(255 * (top - low) / np.maximum(top, 1))
+    strong = (saturation >= MIN_SATURATION) & (top >= MIN_VALUE)
+    return (strong & ((hue <= HUE_LOW_MAX) | (hue >= HUE_HIGH_MIN))) | (r - np.maximum(g, b) >= MIN_DOMINANCE)
 
 
 def blobs(mask: np.ndarray, least: int = 12) -> list[dict]:
@@ -121,3 +175,103 @@ def stroke_profile(mask: np.ndarray, axis: str, level: int, start: int, end: int
     m = mask if axis == "h" else mask.T
     part = m[max(0, level - band) : level + band + 1, start:end]
     return part[int(part.sum(axis=1).argmax())] if part.size else np.zeros(0, bool)
+
+
+def segments(mask: np.ndarray, votes: int = 14, least: int = 12, gap: int = 4, angles: int = 180) -> list[tuple[float, float, float, float]]:
+    """Straight strokes (x1, y1, x2, y2) of a mask, by a Hough transform.
+
+    Every ink pixel votes once for the lines through it. Lines are taken by votes; the pixels
+    within one pixel of a line that no earlier one used are cut where over `gap` is blank, and
+    parts of `least` pixels or more are segments, whose pixels are used up.
+    """
+    y, x = np.nonzero(mask)
+    if not len(x):
+        return []
+    theta = np.arange(angles) * np.pi / angles
+    cos, sin, reach = np.cos(theta), np.sin(theta), int(np.ceil(np.hypot(*mask.shape)))
+    got = np.zeros((angles, 2 * reach + 1), np.int32)
+    for k in range(angles):
+        got[k] = np.bincount(np.rint(x * cos[k] + y * sin[k]).astype(int) + reach, minlength=2 * reach + 1)
+    k, rho = np.nonzero(got >= votes)
+    order = np.argsort(-got[k, rho], kind="stable")
+    free, out = np.ones(len(x), bool), []
+    for a, r in zip(k[order].tolist(), (rho[order] - reach).tolist(), strict=True):
+        own = np.flatnonzero(free & (np.abs(x * cos[a] + y * sin[a] - r) <= 1))
+        if len(own) < least:
+            continue
+        along = -x[own] * sin[a] + y[own] * cos[a]
+        own = own[np.argsort(along, kind="stable")]
+        along = np.sort(along)
+        edge = np.concatenate([[0], np.flatnonzero(np.diff(along) > gap + 1) + 1, [len(own)]])
+        for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+            if along[hi - 1] - along[lo] + 1 >= least:
+                p, q = own[lo], own[hi - 1]
+                out.append((float(x[p]), float(y[p]), float(x[q]), float(y[q])))
+                free[own[lo:hi]] = False
+    return out
+
+
+def pixels(row: dict) -> np.ndarray:
+    """The RGB pixels of an image row (height, width, pixels)."""
+    return np.frombuffer(bytes(row["pixels"]), np.uint8).reshape(row["height"], row["width"], 3)
+
+
+def detect_lines(boxes: bool = True, threshold: int = 240, inset: int = 0, thin: float | None = 0, **how) -> Stage:
+    """A stage from images (sheet_id, height, width, pixels and, with boxes, boxes: array of x1, y1, x2, y2) to segments.
+
+    Gray, boxes masked, binarized, thinned (None: not) and searched for strokes; rows are
+    (sheet_id, line_ix, x1, y1, x2, y2) in pixels. how goes to segments(); without `least` it
+    follows from the strokes' width.
+    """
+
+    def each(row: pd.Series) -> list[dict]:
+        values = gray(pixels(row))
+        if boxes and row["boxes"] is not None and len(row["boxes"]):
+            values = masked(values, np.array([list(b) for b in row["boxes"]]), inset)
+        drawn = ink(values, threshold)
+        least = how.get("least") or max(2, round(1.7 * stroke_width(drawn)))
+        found = segments(drawn if thin is None else thinned(drawn, thin), **{**how, "least": least})
+        return [{"sheet_id": row["sheet_id"], "line_ix": k, "x1": a, "y1": b, "x2": c, "y2": d} for k, (a, b, c, d) in enumerate(found)]
+
+    return image_stage(each, "sheet_id long, line_ix long, x1 double, y1 double, x2 double, y2 double")
+
+
+def _per_image(images: DataFrame, rows: DataFrame, each: Callable[[np.ndarray, pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """each(ink mask, the rows of a sheet), sheet by sheet; rows of sheets without an image are left out."""
+
+    def run(key: tuple, image: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        if not len(image) or not len(own):
+            return pd.DataFrame(columns=[c.strip().split()[0] for c in schema.split(",")])
+        out = each(ink(gray(pixels(image.iloc[0]))), own)
+        out.insert(0, "sheet_id", key[0])
+        return out
+
+    return images.groupBy("sheet_id").cogroup(rows.groupBy("sheet_id")).applyInPandas(run, schema)
+
+
+def evidence(images: DataFrame, spans: DataFrame, scale: float = 1.0, band: int = 11, share: float = 0.004) -> DataFrame:
+    """(sheet_id, span_id, evidence) of spans (span_id, axis, level, lo, hi), whose coordinates are `scale` times the image's."""
+
+    def each(mask: np.ndarray, own: pd.DataFrame) -> pd.DataFrame:
+        wide = np.pad(mask, 1)  # strokes are taken one pixel wider on all sides
+        wide = np.max([wide[1 + i : 1 + i + mask.shape[0], 1 + j : 1 + j + mask.shape[1]] for i in (-1, 0, 1) for j in (-1, 0, 1)], axis=0)
+        at = lambda c: np.floor(own[c].to_numpy(float) / scale).astype(int)
+        seen = [supported(wide, *x, band=band, share=share) for x in zip(own["axis"], at("level"), at("lo"), at("hi"), strict=True)]
+        return pd.DataFrame({"span_id": own["span_id"].to_numpy(), "evidence": seen})
+
+    return _per_image(images, spans, each, f"sheet_id long, span_id {spans.schema['span_id'].dataType.simpleString()}, evidence boolean")
+
+
+def profiles(images: DataFrame, spans: DataFrame, band: int = 3) -> DataFrame:
+    """(sheet_id, span_id, first, length, ink): the stroke runs of the inkiest row or column within `band` of each span."""
+
+    def each(mask: np.ndarray, own: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for span, axis, level, lo, hi in zip(own["span_id"], own["axis"], own["level"], own["lo"], own["hi"], strict=True):
+            row = stroke_profile(mask, axis, int(level), max(0, int(lo)), int(hi), band)
+            if len(row):
+                edge = np.concatenate([[0], np.flatnonzero(row[1:] != row[:-1]) + 1, [len(row)]])
+                out += [(span, max(0, int(lo)) + int(a), int(b - a), bool(row[a])) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+        return pd.DataFrame(out, columns=["span_id", "first", "length", "ink"])
+
+    return _per_image(images, spans, each, "sheet_id long, span_id long, first long, length long, ink boolean")

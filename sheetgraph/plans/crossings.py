@@ -69,9 +69,9 @@ def l03(spark, sf):
     return stitched(spark, sf).withColumn("pos", F.round("pos", 6))
 
 
-@query("ag03_run_totals", f"{_RUNS} select sheet_id, count(*) as runs, cast(sum(ink) as bigint) as ink, cast(sum(parts) as bigint) as parts, count(*) filter (dashed) as dashed from runs group by sheet_id")
+@query("ag03_run_totals", f"{_RUNS} select sheet_id, axis, run_id, lo, hi, round(pos,6) as pos, cast(ink as bigint) as ink, dashed from runs")
 def ag03(spark, sf):
-    return stitched(spark, sf).groupBy("sheet_id").agg(F.count("*").alias("runs"), F.sum("ink").alias("ink"), F.sum("parts").alias("parts"), F.count_if("dashed").alias("dashed"))
+    return stitched(spark, sf).select("sheet_id", "axis", "run_id", "lo", "hi", F.round("pos", 6).alias("pos"), "ink", "dashed")
 
 
 @query("ag04_trimmed_parts", f"{_RUNS} select sheet_id, axis, run_id, count(*) as all_parts, count(*) filter (n between a and b) as kept from trim_ group by all")

@@ -95,17 +95,6 @@ def s15(spark, sf):
     return one.select("sheet_id", F.json_array_length("json").cast("long").alias("n"))
 
 
-@query("l04_chained_lines")
-def l04(spark, sf):
-    """Snapped lines, merged along their level, then bridged over gaps with evidence."""
-    from sheetgraph.functions import geometry as g
-    from sheetgraph.operators.spatial import islands
-
-    s = d.lines(spark, sf).withColumn("s", g.snapped(g.box(), 10.0)).where("s is not null").select("sheet_id", "line_ix", "s.*")
-    merged = islands(s, ["sheet_id", "axis", "level"], "lo", "hi", 8, ties=["line_ix"]).groupBy("sheet_id", "axis", "level", "island").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    return ln.bridged(merged.withColumns({"evidence": F.col("level") % 3 != 0, "crossings": F.lit(0)}), ["sheet_id", "axis", "level"]).where("hi - lo >= 30")
-
-
 @query("l05_dash_groups", "select sheet_id, axis, cast(round_even(pos/5.0,0) as bigint) as level, count(*) as members, min(lo) as lo, max(hi) as hi from segments group by all")
 def l05(spark, sf):
     s = d.segments(spark, sf)

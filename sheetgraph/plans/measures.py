@@ -151,13 +151,13 @@ def ag10(spark, sf):
     return d.segments(spark, sf).groupBy("sheet_id", "axis").agg(F.round(ln.variation(F.col("hi") - F.col("lo")), 6).alias("cv"))
 
 
-_PROFILE = """prof as (select sheet_id, axis || pos as run_id, line_ix, lo + 7*k as at_, case when k % 5 in (0,1) or line_ix % 11 = 0 then true else false end as ink from segments, (select unnest(range(0,40)) as k) where line_ix % 40 = 0)"""
+_PROFILE = """prof as (select sheet_id, axis || pos as run_id, line_ix, lo + 7*k as at_, case when line_ix % 2 = 0 then k % 8 < 5 else k % 5 < 2 end or line_ix % 11 = 0 as ink from segments, (select unnest(range(0,40)) as k))"""
 
 
 def profiles(spark, sf):
-    """Made-up stroke profiles: 2 of 5 samples are ink, or all."""
+    """Made-up stroke profiles: 5 of 8 samples are ink (dashes), or 2 of 5 (too short for dashes), or all."""
     s = d.segments(spark, sf).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(39))))
-    return s.select("sheet_id", F.concat("axis", F.col("pos").cast("string")).alias("run_id"), "line_ix", (F.col("lo") + 7 * F.col("k")).alias("at"), ((F.col("k") % 5).isin(0, 1) | (F.col("line_ix") % 11 == 0)).alias("ink"))
+    return s.select("sheet_id", F.concat("axis", F.col("pos").cast("string")).alias("run_id"), "line_ix", (F.col("lo") + 7 * F.col("k")).alias("at"), (F.when(F.col("line_ix") % 2 == 0, F.col("k") % 8 < 5).otherwise(F.col("k") % 5 < 2) | (F.col("line_ix") % 11 == 0)).alias("ink"))
 
 
 _RLE = f", {_PROFILE}, ch as (select *, case when ink = lag(ink) over (partition by sheet_id, line_ix order by at_) then 0 else 1 end as c from prof), rl as (select sheet_id, line_ix, r, ink, min(at_) as first, count(*) as length from (select *, sum(c) over (partition by sheet_id, line_ix order by at_ rows unbounded preceding) as r from ch) group by all)"
@@ -174,7 +174,7 @@ def w06(spark, sf):
     return ln.dash_chunks(runs, ["sheet_id", "line_ix"]).select("sheet_id", "line_ix", "first", "length", "ink")
 
 
-@query("ag11_dash_verdicts", f"{_RLE}, inn as (select * from (select *, min(first) over (partition by sheet_id, line_ix) as a, max(first) over (partition by sheet_id, line_ix) as b from rl) where first > a and first < b) select sheet_id, line_ix, median(length) filter (ink) as dash, median(length) filter (not ink) as gap, count(*) filter (not ink) >= 2 and median(length) filter (not ink) between 2 and 25 and median(length) filter (ink) between 2 and 60 as dashed from inn group by sheet_id, line_ix")
+@query("ag11_dash_verdicts", f"{_RLE}, inn as (select * from (select *, min(first) over (partition by sheet_id, line_ix) as a, max(first) over (partition by sheet_id, line_ix) as b from rl) where first > a and first < b) select sheet_id, line_ix, median(length) filter (ink) as dash, median(length) filter (not ink) as gap, count(*) filter (not ink) >= 2 and median(length) filter (not ink) between 2 and 25 and median(length) filter (ink) between 4 and 60 and stddev_pop(length) filter (not ink) / avg(length) filter (not ink) < 0.45 and stddev_pop(length) filter (ink) / avg(length) filter (ink) < 0.45 as dashed from inn group by sheet_id, line_ix")
 def ag11(spark, sf):
     runs = ln.stroke_runs(profiles(spark, sf), ["sheet_id", "line_ix"], "at", "ink")
     v = ln.dash_verdicts(ln.dash_chunks(runs, ["sheet_id", "line_ix"]), ["sheet_id", "line_ix"])
@@ -209,11 +209,43 @@ def ag14(spark, sf):
     return d.symbols(spark, sf).groupBy("sheet_id", "label").agg(F.count("*").alias("n"))
 
 
-@query("ag16_connectivity", "select sheet_id, count(*) as symbols, count(*) filter (exists_) as linked, count(*) filter (not exists_) as isolated from (select s.sheet_id, exists(select 1 from pairs p where p.sheet_id=s.sheet_id and abs(p.ax1-p.bx1)<=900 and (p.a_id=s.symbol_id or p.b_id=s.symbol_id)) as exists_ from symbols s) group by sheet_id")
+#: Symbols joined by a segment that both hold an end of, and the segments with such a pair.
+_LINKS = """, two_ as (select distinct sheet_id, node, symbol_id from hold), lk as (select a.sheet_id, a.node, a.symbol_id as a, b.symbol_id as b from two_ a join two_ b on a.sheet_id=b.sheet_id and a.node=b.node and a.symbol_id<b.symbol_id), pr as (select distinct sheet_id, a, b from lk), used as (select distinct sheet_id, node as line_ix from lk)"""
+
+
+def _hold_sql():
+    from sheetgraph.plans.connect import _LN
+
+    return _LN + ", hold as (select sheet_id, line_ix as node, node as symbol_id from (select * from hits qualify row_number() over (partition by sheet_id, line_ix, side order by distance, phase, node) = 1) where type = 'symbol')" + _LINKS
+
+
+def symbol_segments(spark, sf):
+    """(sheet_id, line_ix, a, b) with a < b: symbols at the two ends of a segment."""
+    from sheetgraph.operators import candidates as c
+    from sheetgraph.plans.connect import _hits
+
+    held = c.first_holders(_hits(spark, sf, "symbol"), _hits(spark, sf, "text")).where("type = 'symbol'").select("sheet_id", "line_ix", "side", F.col("node").alias("symbol_id"))
+    a = held.where("side = 'start'").select("sheet_id", "line_ix", F.col("symbol_id").alias("p"))
+    b = held.where("side = 'end'").select("sheet_id", "line_ix", F.col("symbol_id").alias("q"))
+    return a.join(b, ["sheet_id", "line_ix"]).where("p <> q").select("sheet_id", "line_ix", F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
+
+
+@query("ag16_connectivity", _hold_sql() + """, ends_ as (select sheet_id, a as symbol_id from pr union select sheet_id, b from pr) select s.sheet_id, s.symbols, coalesce(l.linked,0) as linked, s.symbols - coalesce(l.linked,0) as isolated, coalesce(e.edges,0) as edges, g.segments, coalesce(u.used,0) as used, round(100.0*(g.segments-coalesce(u.used,0))/greatest(g.segments,1),4) as orphan_percent
+from (select sheet_id, count(*) as symbols from symbols group by all) s join (select sheet_id, count(*) as segments from segments group by all) g using (sheet_id) left join (select sheet_id, count(*) as linked from ends_ group by all) l using (sheet_id) left join (select sheet_id, count(*) as edges from pr group by all) e using (sheet_id) left join (select sheet_id, count(*) as used from used group by all) u using (sheet_id)""")
 def ag16(spark, sf):
-    p = d.pairs(spark, sf).where("abs(ax1 - bx1) <= 900")
-    linked = p.select("sheet_id", F.col("a_id").alias("symbol_id")).union(p.select("sheet_id", "b_id")).distinct().withColumn("linked", F.lit(True))
-    return d.symbols(spark, sf).join(linked, ["sheet_id", "symbol_id"], "left").groupBy("sheet_id").agg(F.count("*").alias("symbols"), F.count_if(F.col("linked").isNotNull()).alias("linked"), F.count_if(F.col("linked").isNull()).alias("isolated"))
+    return connectivity(d.symbols(spark, sf), d.segments(spark, sf), symbol_segments(spark, sf))
+
+
+def connectivity(symbols, segments, links):
+    """Of each sheet: symbols, those linked and isolated, undirected edges, segments, those on a link, and the share that is not."""
+    pairs = links.select("sheet_id", "a", "b").distinct()
+    n = lambda df, name: df.groupBy("sheet_id").agg(F.count("*").alias(name))
+    ends = pairs.select("sheet_id", F.explode(F.array("a", "b")).alias("symbol_id")).distinct()
+    out = n(symbols, "symbols").join(n(segments, "segments"), "sheet_id")
+    for part in (n(ends, "linked"), n(pairs, "edges"), n(links.select("sheet_id", "line_ix").distinct(), "used")):
+        out = out.join(part, "sheet_id", "left")
+    out = out.na.fill(0, ["linked", "edges", "used"]).withColumn("isolated", F.col("symbols") - F.col("linked"))
+    return out.withColumn("orphan_percent", F.round(100 * (F.col("segments") - F.col("used")) / F.greatest(F.col("segments"), F.lit(1)), 4)).select("sheet_id", "symbols", "linked", "isolated", "edges", "segments", "used", "orphan_percent")
 
 
 @query("ag17_extents", "select sheet_id, min(x1) as x1, min(y1) as y1, max(x2) as x2, max(y2) as y2 from symbols group by sheet_id")
@@ -221,12 +253,6 @@ def ag17(spark, sf):
     return d.symbols(spark, sf).groupBy("sheet_id").agg(F.min("x1").alias("x1"), F.min("y1").alias("y1"), F.max("x2").alias("x2"), F.max("y2").alias("y2"))
 
 
-@query("ag18_commonest_position", "select sheet_id, pos from (select sheet_id, pos, count(*) as n from segments group by all) qualify row_number() over (partition by sheet_id order by n desc, pos) = 1")
-def ag18(spark, sf):
-    n = d.segments(spark, sf).groupBy("sheet_id", "pos").agg(F.count("*").alias("n"))
-    return n.groupBy("sheet_id").agg(F.max_by("pos", F.struct("n", -F.col("pos"))).alias("pos"))
-
-
 @query("ag19_median_centre", "select sheet_id, median((x1+x2)/2.0) as x, median((y1+y2)/2.0) as y from symbols group by sheet_id")
 def ag19(spark, sf):
     return d.symbols(spark, sf).groupBy("sheet_id").agg(F.median((F.col("x1") + F.col("x2")) / 2).alias("x"), F.median((F.col("y1") + F.col("y2")) / 2).alias("y"))
@@ -296,19 +322,33 @@ def o06(spark, sf):
 # --- selections of reports
 
 
-@query("r01_pairs_and_isolated", "select sheet_id, symbol_id from symbols s where not exists (select 1 from pairs p where p.sheet_id=s.sheet_id and abs(p.ax1-p.bx1)<=900 and (p.a_id=s.symbol_id or p.b_id=s.symbol_id))")
+@query("r01_pairs_and_isolated", _hold_sql() + """ select sheet_id, 'pair' as kind, a, b from pr union all select s.sheet_id, 'isolated', symbol_id, null from symbols s where not exists (select 1 from pr where pr.sheet_id=s.sheet_id and (pr.a=s.symbol_id or pr.b=s.symbol_id))""")
 def r01(spark, sf):
-    p = d.pairs(spark, sf).where("abs(ax1 - bx1) <= 900")
-    linked = p.select("sheet_id", F.col("a_id").alias("symbol_id")).union(p.select("sheet_id", "b_id"))
-    return d.symbols(spark, sf).join(linked, ["sheet_id", "symbol_id"], "left_anti").select("sheet_id", "symbol_id")
+    pairs = symbol_segments(spark, sf).select("sheet_id", "a", "b").distinct()
+    linked = pairs.select("sheet_id", F.explode(F.array("a", "b")).alias("symbol_id"))
+    alone = d.symbols(spark, sf).join(linked, ["sheet_id", "symbol_id"], "left_anti").select("sheet_id", F.lit("isolated").alias("kind"), F.col("symbol_id").alias("a"), F.lit(None).cast("long").alias("b"))
+    return pairs.select("sheet_id", F.lit("pair").alias("kind"), "a", "b").unionByName(alone)
+
+
+def _boxed_sql():
+    from sheetgraph.plans.crossings import _BOXED
 
+    return _hold_sql() + ", " + _BOXED
 
-@query("r02_segment_disposition", "select sheet_id, line_ix, case when line_ix%5=0 then 'used' when hi-lo<=20 then 'boxed' when line_type='dashed' then 'dashed' else 'orphan' end as disposition from segments")
+
+@query("r02_segment_disposition", _boxed_sql() + """, same as (select distinct s.sheet_id, s.line_ix from straight s join straight u on u.sheet_id=s.sheet_id and u.x1=s.x1 and u.y1=s.y1 and u.x2=s.x2 and u.y2=s.y2 join used on used.sheet_id=u.sheet_id and used.line_ix=u.line_ix)
+select g.sheet_id, g.line_ix, case when s.line_ix is not null then 'used' when b.line_ix is not null then 'boxed' when line_type='dashed' then 'dashed' else 'orphan' end as disposition from segments g left join same s using (sheet_id, line_ix) left join boxed b using (sheet_id, line_ix)""")
 def r02(spark, sf):
-    s = d.segments(spark, sf)
-    used = s.where("line_ix % 5 = 0").select("sheet_id", F.round(F.col("lo") / d.WIDTH, 4).alias("k"), "line_ix", F.lit(True).alias("used"))
-    kind = F.when(F.col("used"), "used").when(F.col("hi") - F.col("lo") <= 20, "boxed").when(F.col("line_type") == "dashed", "dashed").otherwise("orphan")
-    return s.join(used, ["sheet_id", "line_ix"], "left").select("sheet_id", "line_ix", kind.alias("disposition"))
+    from sheetgraph.operators import lines as lo
+    from sheetgraph.plans.crossings import boxes, straight
+
+    ends = F.struct(*[F.bround(F.col(c), 4) for c in ("x1", "y1", "x2", "y2")])
+    by_ends = d.normalized(straight(spark, sf)).select("sheet_id", "line_ix", ends.alias("ends"))
+    used = by_ends.join(symbol_segments(spark, sf).select("sheet_id", "line_ix").distinct(), ["sheet_id", "line_ix"]).select("sheet_id", "ends").distinct()
+    hit = by_ends.join(used, ["sheet_id", "ends"], "left_semi").select("sheet_id", "line_ix", F.lit(True).alias("used"))
+    marked = lo.mark_boxed(straight(spark, sf), boxes(spark, sf), KEY).join(hit, ["sheet_id", "line_ix"], "left")
+    kind = F.when(F.col("used"), "used").when(F.col("boxed"), "boxed").when(F.col("line_type") == "dashed", "dashed").otherwise("orphan")
+    return marked.select("sheet_id", "line_ix", kind.alias("disposition"))
 
 
 @query("j21_by_rounded_ends", "select sheet_id, line_ix from segments s where exists (select 1 from segments u where u.sheet_id=s.sheet_id and u.line_ix%9=0 and u.axis=s.axis and u.pos=s.pos and u.lo=s.lo and u.hi=s.hi)")
@@ -327,9 +367,15 @@ def r03(spark, sf):
 
 @query("r04_leader_pairs")
 def r04(spark, sf):
+    """From the centre of each attached text to the centre of its symbol or line."""
     from sheetgraph.plans.connect import j06
+    from sheetgraph.plans.crossings import straight
 
-    return j06(spark, sf).groupBy("sheet_id", "kind").agg(F.count("*").alias("n"))
+    mid = lambda a, b, n: ((F.col(a) + F.col(b)) / 2).alias(n)
+    place = lambda df, kind, key, x, y: df.select("sheet_id", F.lit(kind).alias("kind"), F.col(key).alias("id"), mid("x1", "x2", x), mid("y1", "y2", y))
+    targets = place(d.symbols(spark, sf), "symbol", "symbol_id", "to_x", "to_y").unionByName(place(straight(spark, sf), "line", "line_ix", "to_x", "to_y"))
+    texts = place(d.texts(spark, sf), "text", "text_ix", "from_x", "from_y").select("sheet_id", F.col("id").alias("text_ix"), "from_x", "from_y")
+    return j06(spark, sf).join(texts, ["sheet_id", "text_ix"]).join(targets, ["sheet_id", "kind", "id"]).select("sheet_id", "text_ix", "kind", "id", "from_x", "from_y", "to_x", "to_y")
 
 
 @query("r05_viewer_payload", "select sheet_id, symbol_id, row_number() over (partition by sheet_id order by case when starts_with(label,'Equipment/') then 'equipment' when starts_with(label,'Instrument/Valve/') then 'valve' when starts_with(label,'Piping/') then 'fitting' when starts_with(label,'Instrument/') then 'instrument' else 'other' end, coalesce(nullif(text_associated,''), split_part(label,'/',-1) || ' #' || symbol_id), symbol_id) as place from symbols")

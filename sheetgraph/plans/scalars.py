@@ -303,7 +303,11 @@ def f16(spark, sf):
 # --- line preparation
 
 
-@query("l01_extended", "select sheet_id, line_ix, x1=x2 as upright, round_even(case when x1=x2 then x1 else greatest(x1-0.2,0) end,5) as x1, round_even(case when x1=x2 then x2 else least(x2+0.2,1) end,5) as x2, round_even(case when x1=x2 then greatest(y1-0.2,0) else y1+coalesce((y2-y1)/nullif(x2-x1,0),0)*(greatest(x1-0.2,0)-x1) end,5) as y1 from (select sheet_id, line_ix, x1/4000.0 as x1, y1/3000.0 as y1, x2/4000.0 as x2, y2/3000.0 as y2 from lines where line_ix % 7 <> 0)")
+#: Half-even rounding of a double's shortest decimal form, as the extension has it.
+_ROUND5 = "cast(round_even(cast(cast({} as varchar) as decimal(30,20)),5) as double)"
+
+
+@query("l01_extended", f"select sheet_id, line_ix, x1=x2 as upright, {_ROUND5.format('case when x1=x2 then x1 else greatest(x1-0.2,0) end')} as x1, {_ROUND5.format('case when x1=x2 then x2 else least(x2+0.2,1) end')} as x2, {_ROUND5.format('case when x1=x2 then greatest(y1-0.2,0) else y1+coalesce((y2-y1)/nullif(x2-x1,0),0)*(greatest(x1-0.2,0)-x1) end')} as y1 from (select sheet_id, line_ix, x1/4000.0 as x1, y1/3000.0 as y1, x2/4000.0 as x2, y2/3000.0 as y2 from lines)")
 def l01(spark, sf):
     e = g.extended(g.box(), 0.2)
     return d.normalized(d.lines(spark, sf)).select("sheet_id", "line_ix", (F.col("x1") == F.col("x2")).alias("upright"), e.x1.alias("x1"), e.x2.alias("x2"), e.y1.alias("y1"))

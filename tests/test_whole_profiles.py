@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def _runs(row):
-    ink = [(row.lo + 7 * k, k % 5 in (0, 1) or row.line_ix % 11 == 0) for k in range(40)]
+    ink = [(row.lo + 7 * k, (k % 8 < 5 if row.line_ix % 2 == 0 else k % 5 < 2) or row.line_ix % 11 == 0) for k in range(40)]
     return [(bool(i), g[0][0], len(g)) for i, g in ((i, list(g)) for i, g in groupby(ink, key=lambda x: x[1]))]
 
 
