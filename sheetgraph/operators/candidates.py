@@ -61,9 +61,12 @@ def near_lines(lines: DataFrame, threshold: float, buffer: float, padding: float
     sl, el = g.point_segment(s.x1, s.y1, t), g.point_segment(s.x2, s.y2, t)
     ends = lambda x, y: F.least(F.hypot(x - t.x1, y - t.y1), F.hypot(x - t.x2, y - t.y2))
     sp, ep = ends(s.x1, s.y1), ends(s.x2, s.y2)
-    at_start = box_join(src, dst, KEY, (s.x1, s.y1, s.x1, s.y1), around, threshold, cell).where(sl < threshold)
-    at_end = box_join(src, dst, KEY, (s.x2, s.y2, s.x2, s.y2), around, threshold, cell).where((el < threshold) & ~(sl < threshold))
-    met = at_start.unionByName(at_end).where("line_ix <> target")
+    # both ends meet the targets in one join; a pair that meets by both counts at its start
+    end = lambda n, x, y: F.struct(F.lit(n).alias("side"), x.alias("x"), y.alias("y"))
+    points = src.withColumn("_e", F.explode(F.array(end("s", s.x1, s.y1), end("e", s.x2, s.y2))))
+    at = (F.col("_e.x"), F.col("_e.y"), F.col("_e.x"), F.col("_e.y"))
+    met = box_join(points, dst, KEY, at, around, threshold, cell).where("line_ix <> target")
+    met = met.where(F.when(F.col("_e.side") == "s", sl < threshold).otherwise((el < threshold) & ~(sl < threshold)))
     meets = g.segment_segment(g.box("_le"), g.box("_qe")) <= 2 * buffer
     return met.where(meets).select(*KEY, "line_ix", "target", sp.alias("sp"), ep.alias("ep"), sl.alias("sl"), el.alias("el"))
 

@@ -2,55 +2,78 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheetgraph.functions import geometry as g
 from sheetgraph.operators.spatial import box_join
+from sheetgraph.plans.stages import drop_stash, stash
 
 
-def nearest_symbol(texts: DataFrame, symbols: DataFrame, key: list[str], default: float = 1e9, rings: tuple[float, ...] = (100.0, 500.0)) -> DataFrame:
+def nearest_symbol(texts: DataFrame, symbols: DataFrame, key: list[str], default: float = 1e9, first: float = 100.0) -> DataFrame:
     """texts with `symbol_distance`.
 
     Rings of growing reach are searched by cells; a text is done with the first ring that
-    holds a symbol within its reach. Only texts that no ring serves meet all symbols of
-    their sheet. Each minimum is a partial aggregate.
+    holds a symbol within its reach. Each minimum is a partial aggregate.
     """
     s = symbols.select(*key, *[F.col(c).cast("double").alias(f"_s{c}") for c in ("x1", "y1", "x2", "y2")])
-    left = texts.select(*key, "text_ix", *[F.col(c).cast("double").alias(f"_t{c}") for c in ("x1", "y1", "x2", "y2")])
+    left = texts.select(*key, "text_ix", *[F.col(c).cast("double").alias(f"_t{c}") for c in ("x1", "y1", "x2", "y2")]).join(s.select(*key).distinct(), key, "left_semi")
     t, q = g.box("_t"), g.box("_s")
-    least = lambda pairs: pairs.groupBy(*key, "text_ix").agg(F.min(g.gap(t, q)).alias("symbol_distance"))
-    found = None
-    for reach in rings:
-        near = least(box_join(left, s, key, tuple(t), tuple(q), reach, reach)).where(F.col("symbol_distance") <= reach)
-        found = near if found is None else found.unionByName(near)
-        left = left.join(near.select(*key, "text_ix"), [*key, "text_ix"], "left_anti")
-    found = found.unionByName(least(left.join(s, key)))
+    each = lambda todo, reach: box_join(todo, s, key, tuple(t), tuple(q), reach, reach).groupBy(*key, "text_ix").agg(F.min(g.gap(t, q)).alias("symbol_distance"))
+    found = _rings(left, [*key, "text_ix"], each, "symbol_distance", first)
     return texts.join(found, [*key, "text_ix"], "left").withColumn("symbol_distance", F.coalesce("symbol_distance", F.lit(default)))
 
 
-def sides(texts: DataFrame, lines: DataFrame, key: list[str]) -> DataFrame:
+def _rings(todo: DataFrame, item: list[str], each: Callable[[DataFrame, float], DataFrame], distance: str, reach: float) -> DataFrame:
+    """each(todo, reach) for growing reaches; an item whose distance is within the reach is done. Every item must have a finite distance."""
+    todo, done = stash(todo, "todo"), []
+    while True:
+        near = stash(each(todo, reach).where(F.col(distance) <= reach), "ring")
+        done.append(near)
+        rest = stash(todo.join(near.select(*item), item, "left_anti"), "todo")
+        drop_stash(todo)
+        todo = rest
+        if todo.isEmpty():
+            break
+        reach *= 4
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out
+
+
+def sides(texts: DataFrame, lines: DataFrame, key: list[str], first: float = 200.0) -> DataFrame:
     """texts with above, below, left and right: struct(line_ix, level, mid_x, mid_y) of the nearest line beyond that edge.
 
     lines are (line_ix, axis, pos, lo, hi). Nearness is the true distance from the box, not
-    the offset of the line's level alone; ties go to the first line.
+    the offset of the line's level alone; ties go to the first line. The sides that have a line
+    at all are searched in rings by cells.
     """
     b = g.box("_t")
     l = lines.select(*key, "line_ix", "axis", F.col("pos").cast("double").alias("level"), F.col("lo").cast("double").alias("lo"), F.col("hi").cast("double").alias("hi"))
     t = texts.select(*key, "text_ix", *[F.col(c).cast("double").alias(f"_t{c}") for c in ("x1", "y1", "x2", "y2")])
+    lined = lambda axis, f: f(F.when(F.col("axis") == axis, F.col("level")))
+    ends = l.groupBy(*key).agg(lined("h", F.min).alias("_h1"), lined("h", F.max).alias("_h2"), lined("v", F.min).alias("_v1"), lined("v", F.max).alias("_v2"))
+    has = [F.when(c, F.lit(n)) for n, c in (("above", F.col("_h1") < b.y1), ("below", F.col("_h2") > b.y2), ("left", F.col("_v1") < b.x1), ("right", F.col("_v2") > b.x2))]
+    todo = t.join(ends, key).withColumn("side", F.explode(F.array_compact(F.array(*has)))).drop("_h1", "_h2", "_v1", "_v2")
     h = F.col("axis") == "h"
     across_lo, across_hi = F.when(h, b.y1).otherwise(b.x1), F.when(h, b.y2).otherwise(b.x2)
     along_lo, along_hi = F.when(h, b.x1).otherwise(b.y1), F.when(h, b.x2).otherwise(b.y2)
     away = F.hypot(F.greatest(across_lo - F.col("level"), F.col("level") - across_hi, g.zero()), F.greatest(along_lo - F.col("hi"), F.col("lo") - along_hi, g.zero()))
     mid = (F.col("lo") + F.col("hi")) / 2
+    beyond = F.when(F.col("side") == "above", h & (F.col("level") < b.y1)).when(F.col("side") == "below", h & (F.col("level") > b.y2)).when(F.col("side") == "left", ~h & (F.col("level") < b.x1)).otherwise(~h & (F.col("level") > b.x2))
     row = F.struct(away.alias("d"), "line_ix", "level", F.when(h, mid).otherwise(F.col("level")).alias("mid_x"), F.when(h, F.col("level")).otherwise(mid).alias("mid_y"))
-    best = t.join(l, key).groupBy(*key, "text_ix").agg(
-        F.min(F.when(h & (F.col("level") < b.y1), row)).alias("above"),
-        F.min(F.when(h & (F.col("level") > b.y2), row)).alias("below"),
-        F.min(F.when(~h & (F.col("level") < b.x1), row)).alias("left"),
-        F.min(F.when(~h & (F.col("level") > b.x2), row)).alias("right"),
-    )
-    return texts.join(best, [*key, "text_ix"], "left")
+    place = (F.when(h, F.col("lo")).otherwise(F.col("level")), F.when(h, F.col("level")).otherwise(F.col("lo")), F.when(h, F.col("hi")).otherwise(F.col("level")), F.when(h, F.col("level")).otherwise(F.col("hi")))
+
+    def each(left: DataFrame, reach: float) -> DataFrame:
+        best = box_join(left, l, key, tuple(b), place, reach, reach).where(beyond).groupBy(*key, "text_ix", "side").agg(F.min(row).alias("best"))
+        return best.withColumn("_d", F.col("best.d"))
+
+    found = _rings(todo, [*key, "text_ix", "side"], each, "_d", first)
+    wide = found.groupBy(*key, "text_ix").agg(*[F.min(F.when(F.col("side") == n, F.col("best"))).alias(n) for n in ("above", "below", "left", "right")])
+    return texts.join(wide, [*key, "text_ix"], "left")
 
 
 def crop(sided: DataFrame, width: int, height: int, padding: int = 8, least: int = 24, mode: str = "bounds") -> DataFrame:

@@ -269,3 +269,34 @@ def prune(runs: DataFrame, symbols: DataFrame, merge: float = 3.0, **params) ->
             return nxt
         drop_stash(now)
         now = nxt
+
+
+def grown(runs: DataFrame, entries: DataFrame, fraction: float) -> DataFrame:
+    """(axis, run_id) of a connected part of each sheet, grown breadth first to that fraction of its runs.
+
+    It starts from the longest run that shares a point with another, and takes neighbours in
+    order of axis and run_id; a component that ends earlier leaves the part smaller.
+    """
+    own = entries.select(*KEY, "point_id", F.struct("axis", "run_id").alias("r")).distinct()
+    met = own.join(own.withColumnRenamed("r", "q"), [*KEY, "point_id"]).where("r <> q").select(*KEY, "r", "q").distinct()
+    near = met.groupBy(*KEY, "r").agg(F.array_sort(F.collect_list("q")).alias("near")).select(*KEY, "r.axis", "r.run_id", "near")
+    rows = runs.select(*KEY, "axis", "run_id", (F.col("hi") - F.col("lo")).cast("double").alias("length")).join(near, [*KEY, "axis", "run_id"], "left")
+
+    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["axis", "run_id"], kind="stable")
+        names = list(zip(pdf["axis"], pdf["run_id"].tolist(), strict=True))
+        beside = {n: [(q["axis"], q["run_id"]) for q in v] for n, v in zip(names, pdf["near"], strict=True) if v is not None and len(v)}
+        target, linked = int(len(names) * fraction), [(-l, n) for l, n in zip(pdf["length"], names, strict=True) if n in beside]
+        queue = [min(linked)[1]] if linked else []
+        chosen, at = set(queue), 0
+        while at < len(queue) and len(chosen) < target:
+            for n in beside.get(queue[at], ()):
+                if n not in chosen and len(chosen) < target:
+                    chosen.add(n)
+                    queue.append(n)
+            at += 1
+        got = pd.DataFrame(sorted(chosen), columns=["axis", "run_id"])
+        got.insert(0, "sheet_id", pdf["sheet_id"].iloc[0])
+        return got
+
+    return rows.groupBy(*KEY).applyInPandas(pick, "sheet_id long, axis string, run_id long")

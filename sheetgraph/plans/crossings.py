@@ -171,3 +171,10 @@ def j19(spark, sf):
     s = d.segments(spark, sf)
     gaps = s.where("axis = 'h'").select("sheet_id", F.col("line_ix").alias("gap_id"), F.col("pos").alias("level"), F.col("hi").alias("lo"), (F.col("hi") + 200).alias("hi"))
     return ln.crossing_counts(gaps, s.where("axis = 'v'"), KEY).select("sheet_id", F.col("gap_id").alias("line_ix"), "crossings")
+
+
+@query("gr16_grown_component")
+def gr16_grown(spark, sf):
+    runs = stitched(spark, sf)
+    _, entries = x.points_of(runs, d.symbols(spark, sf))
+    return x.grown(runs, entries, 0.2)

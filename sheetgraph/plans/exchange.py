@@ -34,8 +34,8 @@ def s01(spark, sf):
     return p.symbols_of(parsed(spark, sf)).select("sheet_id", "symbol_id", "ord", "label", "x1", "y2", "text_associated")
 
 
-@query("s10_texts_of_payload", "select sheet_id, row_number() over (partition by sheet_id order by text_ix) - 1 as text_ix, text, cast(x1 as double) as x1 from texts")
-def s10(spark, sf):
+@query("s01_texts_of_payload", "select sheet_id, row_number() over (partition by sheet_id order by text_ix) - 1 as text_ix, text, cast(x1 as double) as x1 from texts")
+def s01_texts(spark, sf):
     return p.texts_of(parsed(spark, sf)).select("sheet_id", "text_ix", "text", "x1")
 
 
@@ -86,16 +86,15 @@ def s09(spark, sf):
 
 @query("s12_rounded_sink", "select sheet_id, line_ix, round_even(x1/7.0,1) as x1 from lines")
 def s12(spark, sf):
-    return p.rounded(d.lines(spark, sf).select("sheet_id", "line_ix", (F.col("x1") / 7).alias("x1")), ["x1"])
+    from sheetgraph.plans.job import _folder
 
+    path = _folder(spark, "rounded")
+    p.write_json(p.rounded(d.lines(spark, sf).select("sheet_id", "line_ix", (F.col("x1") / 7).alias("x1")), ["x1"]), path)
+    return spark.read.schema("sheet_id bigint, line_ix bigint, x1 double").json(path)
 
-@query("s15_viewer_json", "select sheet_id, count(*) as n from symbols group by sheet_id")
+
+@query("s15_viewer_json", "select sheet_id, symbol_id, label, x1, y1 from symbols")
 def s15(spark, sf):
+    """What a viewer is handed: one JSON text per sheet, taken apart again."""
     one = d.symbols(spark, sf).groupBy("sheet_id").agg(F.to_json(F.collect_list(F.struct("symbol_id", "label", "x1", "y1"))).alias("json"))
-    return one.select("sheet_id", F.json_array_length("json").cast("long").alias("n"))
-
-
-@query("l05_dash_groups", "select sheet_id, axis, cast(round_even(pos/5.0,0) as bigint) as level, count(*) as members, min(lo) as lo, max(hi) as hi from segments group by all")
-def l05(spark, sf):
-    s = d.segments(spark, sf)
-    return s.groupBy("sheet_id", "axis", F.bround(F.col("pos") / 5).cast("long").alias("level")).agg(F.count("*").alias("members"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return one.select("sheet_id", F.inline(F.from_json("json", "array<struct<symbol_id:bigint,label:string,x1:bigint,y1:bigint>>")))

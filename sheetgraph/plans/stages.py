@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -15,10 +16,12 @@ _LIVE: dict[str, SparkSession] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or (in tests, where it is unset) a temporary one."""
+    """The folder all executors share: spark.checkpoint.dir. A local master, which has no other machine, may do without."""
     set_to = spark.conf.get("spark.checkpoint.dir", None)
     if set_to:
         return set_to
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     own = os.path.join(tempfile.gettempdir(), "checkpoints")
     os.makedirs(own, exist_ok=True)
     return f"file://{own}"
