@@ -2,10 +2,12 @@
 
 A lexicon transducer maps words to symbols: insult, threat, target, negation, report. Three
 small transducers rewrite what follows: an insult or threat under a negation or in reported
-speech is marked so, one aimed at a target too. Their composition runs over each clause that
-holds an insult or threat; its output symbols, and the words' own weights, are summed to the
-clause's score, and the worst clause is the document's. Insults (words and stems) and the
-weights of the output symbols are learned from a bounded sample of labelled rows.
+speech is marked so, one aimed at a target too. Their composition carries weights on its arcs
+and runs over each clause that holds an insult or threat: the weights of the arcs, and the
+words' own weights (a small share of them under a negation or report), are summed along the
+path, and the worst clause is the document's. Insults (words and stems) and the weights of the
+arcs (one for each output symbol, and the share) are learned from a bounded sample of labelled
+rows; threats, targets, negations and reports are fixed lists of four languages.
 
 Edge cases: a null or empty text has no clause and gets the score of no match; without
 labelled rows only the fixed lexicon speaks; repeated rows get equal scores; a null doc_id is
@@ -14,6 +16,7 @@ kept and not held out; an empty table gives an empty result; other columns are i
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections import Counter
@@ -29,13 +32,34 @@ from sheetgraph.llm.common import keep_where, split_batches, stash
 from sheetgraph.llm.labelled import sample
 
 INSULT, THREAT, TARGET, NEGATION, REPORT, OTHER = "I", "H", "T", "N", "R", "o"
-#: Fixed lexicon of the symbols that labels do not teach.
-THREATS = frozenset("kill murder hurt shoot stab strangle beat burn destroy punish crush".split())
-TARGETS = frozenset("you your yours yourself he she they him her them these those people everyone".split())
-NEGATIONS = frozenset("not no never isn't aren't wasn't weren't don't doesn't didn't nobody none without".split())
-REPORTS = frozenset("said says say wrote claimed claims reported reports called quoted stated told alleged".split())
-#: Weights of the output symbols before any label is seen.
-PRIOR = {"I": 0.0, "n": -2.0, "r": -2.0, "t": 1.0, "+": 1.0, "H": -3.0, "h": 6.0, "m": -3.0, "q": -3.0}
+#: Fixed lexicon of the symbols that labels do not teach, in English, German, French and Spanish.
+THREATS = frozenset(
+    """kill murder hurt shoot stab strangle beat burn destroy punish crush
+    töten umbringen ermorden verprügeln erschießen erstechen verbrennen vernichten
+    tuer tuerai assassiner frapper poignarder brûler détruire écraser
+    matar mataré asesinar golpear apuñalar quemar destruir aplastar""".split()
+)
+TARGETS = frozenset(
+    """you your yours yourself he she they him her them these those people everyone
+    du dich dir dein deine ihr euch euer sie er ihn ihm
+    tu toi te ton ta tes vous votre il elle ils elles eux
+    tú ti tus usted ustedes él ella ellos ellas vosotros""".split()
+)
+NEGATIONS = frozenset(
+    """not no never isn't aren't wasn't weren't don't doesn't didn't nobody none without
+    nicht kein keine keinen keiner nie niemals niemand ohne
+    pas jamais aucun aucune sans
+    nunca jamás ningún ninguna ninguno nadie sin""".split()
+)
+REPORTS = frozenset(
+    """said says say wrote claimed claims reported reports called quoted stated told alleged
+    sagte sagt schrieb behauptet behauptete berichtet nannte zitierte
+    dit disait écrit écrivait affirme prétend rapporte appelé cité
+    dijo dice escribió afirma afirmó alega llamó citó""".split()
+)
+#: Weights of the output symbols before any label is seen, and the share of an insult's own weight that counts under a negation or report.
+PRIOR = {"I": 0.0, "n": -1.0, "r": -1.0, "t": 1.0, "+": 1.0, "H": 0.0, "h": 6.0, "m": -3.0, "q": -3.0}
+HELD, UNDER = 0.1, "nrmq"
 _WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 _CLAUSE = re.compile(r"[.!?;:\n]+")
 #: Lengths of stems that can be learned beside whole words.
@@ -131,38 +155,57 @@ def _symbol(word: str) -> str:
     return TARGET if word in TARGETS else NEGATION if word in NEGATIONS else REPORT if word in REPORTS else OTHER
 
 
-def matches(text: str, lexicon: Lexicon, fst: Transducer) -> list[tuple[Counter, float]]:
-    """For each clause with an insult or threat: how often each output symbol is written, and the insults' weight."""
+def clauses(text: str, lexicon: Lexicon) -> Iterator[list[tuple[str, float]]]:
+    """The input of each clause with an insult or threat: its words' symbols and own weights."""
     text = text.lower()
     if not any(map(lexicon.__getitem__, _WORD.findall(text))):
-        return []
-    out = []
+        return
     for clause in _CLAUSE.split(text):
         words = _WORD.findall(clause)
         found = [lexicon[w] for w in words]
-        if not any(found):
-            continue
-        state, written, weight = 0, Counter(), 0.0
-        for word, hit in zip(words, found, strict=True):
-            state, symbols = fst.step(state, hit[0] if hit else _symbol(word))
-            written.update(x for x in symbols if x in PRIOR)
-            if hit:
-                weight = max(weight, hit[1])
-        out.append((written, weight))
-    return out
+        if any(found):
+            yield [hit or (_symbol(word), 0.0) for word, hit in zip(words, found, strict=True)]
+
+
+def trace(clause: list[tuple[str, float]], fst: Transducer) -> tuple[Counter, float, float]:
+    """How often each output symbol is written, the insults' own weight, and the part of it under a negation or report."""
+    state, written, plain, under = 0, Counter(), 0.0, 0.0
+    for symbol, weight in clause:
+        state, out = fst.step(state, symbol)
+        written.update(x for x in out if x in PRIOR)
+        if any(x in UNDER for x in out):
+            under += weight
+        else:
+            plain += weight
+    return written, plain, under
 
 
 @dataclass
 class Model:
     insults: dict[str, float]
     symbols: dict[str, float] = field(default_factory=lambda: dict(PRIOR))
+    held: float = HELD
     bias: float = -4.0
 
-    def clause(self, written: Counter, weight: float) -> float:
-        return weight + sum(self.symbols[s] * min(n, 3) for s, n in written.items())
+    def machine(self) -> dict[tuple[int, str], tuple[int, float, float]]:
+        """The composed transducer with weights on its arcs: (state, symbol) -> (state, weight, share of the word's own weight)."""
+        return {k: (state, sum(self.symbols.get(x, 0.0) for x in out), self.held if any(x in UNDER for x in out) else 1.0) for k, (state, out) in grammar().arcs.items()}
+
+    def scorer(self):
+        """The function of a text to its score and number of matched clauses; built once a task."""
+        lexicon, arcs = Lexicon(self.insults), self.machine()
+
+        def score(text: str) -> tuple[float, int]:
+            best, n = 0.0, 0
+            for clause in clauses(text, lexicon):
+                state, total, n = 0, 0.0, n + 1
+                for symbol, weight in clause:
+                    state, arc, share = arcs[state, symbol]
+                    total += arc + share * weight
+                best = max(best, total)
+            return 1 / (1 + math.exp(-max(-40.0, min(40.0, self.bias + best)))), n
 
-    def score(self, found: list[tuple[Counter, float]]) -> float:
-        return 1 / (1 + math.exp(-max(-40.0, min(40.0, self.bias + max([0.0, *(self.clause(*f) for f in found)])))))
+        return score
 
 
 def _features(words: set[str]) -> set[str]:
@@ -172,7 +215,7 @@ def _features(words: set[str]) -> set[str]:
     return out
 
 
-def train(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxic", most: int = 5000, least: int = 3, purity: float = 0.97, candidates: int = 40_000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "toxic", most: int = 5000, least: int = 3, purity: float = 0.97) -> Model:
     """Insults by a greedy cover of the toxic documents with words and stems that clean ones hardly hold; then the symbols' weights."""
     labelled = stash(sample(docs, labels, label, held_out, most), "labelled")
 
@@ -196,7 +239,7 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "to
         return Model({})
     # rates, not counts: the two classes are sampled to different shares
     pure = (F.col("toxic") / n_toxic) / (F.col("toxic") / n_toxic + F.col("clean") / max(n_clean, 1)) >= purity
-    counted = labelled.mapInArrow(count, "f string, clean long, toxic long").groupBy("f").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where((F.col("toxic") >= 2) & pure).orderBy(F.desc("toxic"), "f").limit(candidates).collect()
+    counted = labelled.mapInArrow(count, "f string, clean long, toxic long").groupBy("f").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).where((F.col("toxic") >= 2) & pure).orderBy(F.desc("toxic"), "f").collect()
     weight = {r["f"]: min(12.0, math.log((r["toxic"] + 0.5) / n_toxic) - math.log((r["clean"] + 0.5) / max(n_clean, 1)) + math.log1p(r["toxic"])) for r in counted}
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,54 +260,72 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, label: str = "to
     words_of = Counter(f[1 : n + 1] for f in weight if f[0] == "=" for n in STEMS if len(f) > n)
     clean = {r["f"]: r["clean"] * n_toxic / max(n_clean, 1) for r in counted}
     insults, covered = {}, set()
-    while gain:  # a clean document costs as much as ten toxic ones gain; whole words go before stems, long stems before short ones
-        best = max(gain, key=lambda f: (gain[f] - 10 * clean[f], f[0] == "=", len(f), f))
-        if gain[best] - 10 * clean[best] < (least if best[0] == "=" or words_of[best] < 2 else 2):
+    # a clean document costs as much as ten toxic ones gain; whole words go before stems, long stems before short ones
+    worth = lambda f: (gain[f] - 10 * clean[f], f[0] == "=", len(f), f)
+    heap = [_Down(worth(f), f) for f in gain]
+    heapq.heapify(heap)
+    while heap:  # gains only fall, so a feature whose worth has not changed is the best one
+        best = heapq.heappop(heap)
+        if (now := worth(best.f)) != best.worth:
+            heapq.heappush(heap, _Down(now, best.f))
+            continue
+        f = best.f
+        if now[0] < (least if f[0] == "=" or words_of[f] < 2 else 2):
             break
-        insults[best] = weight[best]
-        for k in where[best]:
+        insults[f] = weight[f]
+        for k in where[f]:
             if k not in covered:
                 covered.add(k)
                 gain.subtract(toxic[k])
-        gain = +gain
     # more that no clean document holds, though their documents are covered by now: stems of several words and words
     # after many different words (what copies of one document share has neither)
     for r in counted:
         f = r["f"]
         if not r["clean"] and r["toxic"] >= 5 * least and (contexts[f] >= 0.4 * r["toxic"] if f[0] == "=" else words_of[f] >= 4):
             insults.setdefault(f, weight[f])
-    model = Model(insults)
+    start = Model(insults)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, fst = Lexicon(insults), grammar()
         for b in split_batches(batches, 512):
             rows = []
             for t in b.column("text").to_pylist():
-                found = matches(t or "", lexicon, fst)
-                written, w = max(found, key=lambda f: model.clause(*f)) if found else (Counter(), 0.0)
-                rows.append([w, *[float(min(written[s], 3)) for s in PRIOR]])
+                found = [trace(c, fst) for c in clauses(t or "", lexicon)]
+                written, plain, under = max(found, key=lambda f: f[1] + start.held * f[2] + sum(start.symbols[x] * n for x, n in f[0].items())) if found else (Counter(), 0.0, 0.0)
+                rows.append([plain, under, *[float(written[x]) for x in PRIOR]])
             yield pa.RecordBatch.from_pydict({"y": b.column("y"), "x": pa.array(rows, pa.list_(pa.float64()))})
 
     got = labelled.mapInArrow(run, "y int, x array<double>").collect()
     x, y = np.array([r["x"] for r in got]), np.array([r["y"] for r in got], float)
-    prior = np.array([*PRIOR.values()])
+    prior = np.array([HELD, *PRIOR.values()])
     b, s = -4.0, prior.copy()
+    width = 1 / np.maximum(1, np.abs(x[:, 1:]).max(axis=0))  # counts are not capped: each is scaled for the steps alone
     for _ in range(300):  # logistic regression around the prior weights
         p = 1 / (1 + np.exp(-np.clip(b + x[:, 0] + x[:, 1:] @ s, -40, 40)))
         b -= 2.0 * ((p - y).mean() + 0.002 * (b + 4.0))
-        s -= 2.0 * (x[:, 1:].T @ (p - y) / len(y) + 0.002 * (s - prior))
-    return Model(insults, dict(zip(PRIOR, s.tolist(), strict=True)), float(b))
+        s -= 2.0 * (width * (x[:, 1:].T @ (p - y)) / len(y) + 0.002 * (s - prior))
+    return Model(insults, dict(zip(PRIOR, s[1:].tolist(), strict=True)), float(np.clip(s[0], 0, 1)), float(b))
+
+
+class _Down:
+    """An entry of a heap whose largest worth comes first."""
+
+    def __init__(self, worth: tuple, f: str):
+        self.worth, self.f = worth, f
+
+    def __lt__(self, other: "_Down") -> bool:
+        return self.worth > other.worth
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """doc_id, score, predicted and matched_clauses of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon, fst = Lexicon(model.insults), grammar()
+        rate = model.scorer()
         for b in split_batches(batches, 512):
-            found = [matches(t or "", lexicon, fst) for t in b.column("text").to_pylist()]
-            s = np.array([model.score(f) for f in found], float)
-            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "score": pa.array(s, pa.float64()), "predicted": pa.array((s >= threshold).astype(np.int32)), "matched_clauses": pa.array([len(f) for f in found], pa.int32())})
+            found = [rate(t or "") for t in b.column("text").to_pylist()]
+            s = np.array([f[0] for f in found], float)
+            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "score": pa.array(s, pa.float64()), "predicted": pa.array((s >= threshold).astype(np.int32)), "matched_clauses": pa.array([f[1] for f in found], pa.int32())})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double, predicted int, matched_clauses int")
 
@@ -273,7 +334,7 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFra
     """docs without the rows whose score reaches the threshold."""
 
     def judge():
-        lexicon, fst = Lexicon(model.insults), grammar()
-        return lambda column: [model.score(matches(t or "", lexicon, fst)) < threshold for t in column.to_pylist()]
+        rate = model.scorer()
+        return lambda column: [rate(t or "")[0] < threshold for t in column.to_pylist()]
 
     return keep_where(docs, judge)

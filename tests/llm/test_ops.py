@@ -456,9 +456,8 @@ def test_toxicity(spark, judged, docs, no_docs):
 
 def test_grammar_scopes():
     m = toxic_grammar.Model({"=fool": 3.0})
-    fst, lex = toxic_grammar.grammar(), toxic_grammar.Lexicon(m.insults)
-    s = lambda x: m.score(toxic_grammar.matches(x, lex, fst))
-    plain, aimed, negated, said, far = s("what a fool"), s("you are a fool"), s("he is not a fool"), s("it claims a fool came"), s("not now. a fool")
+    s = lambda x: m.scorer()(x)[0]
+    plain, aimed, negated, said, far = s("what a fool"), s("you are a fool"), s("it is not a fool"), s("it claims a fool came"), s("not now. a fool")
     assert aimed > plain > negated and plain > said and far == plain
     assert s("i will kill you") > s("kill time") and s("") == s("nothing here")
     loop = toxic_grammar.compose(toxic_grammar.scope("N", {"I": "n"}, 2), toxic_grammar.scope("n", {"o": "x"}, 1), "NIo")
@@ -469,6 +468,22 @@ def test_grammar_scopes():
     assert out == "Nnxo"
 
 
+@pytest.mark.parametrize("aimed, threat, negated, reported", [
+    ("you are a grobbo", "i will kill you", "this is not a grobbo", "it said a grobbo came"),
+    ("du bist ein grobbo", "ich werde dich töten", "das ist kein grobbo", "man schrieb ein grobbo kam"),
+    ("tu es un grobbo", "je vais te tuer", "ce n'est pas un grobbo", "on affirme un grobbo vient"),
+    ("tú eres un grobbo", "ustedes van a matar", "nunca fue un grobbo", "se afirma un grobbo vino"),
+])
+def test_clauses_of_four_languages(spark, judged, aimed, threat, negated, reported):
+    """Learned on planted labels: aimed insults and threats are toxic, negated and reported ones are not."""
+    own, labels = judged
+    m = toxic_grammar.train(own, _labels(spark, labels), F.lit(False))
+    assert "=grobbo" in m.insults
+    rate = m.scorer()
+    assert [rate(x)[0] >= 0.5 for x in (aimed, threat, negated, reported)] == [True, True, False, False]
+    assert rate("ein grobbo")[0] >= 0.5 and rate("tuer")[0] < 0.5
+
+
 def test_packed_files(docs, tmp_path, spark):
     packed = bfd_packing.pack(docs, WORDS, window=256, cell_tokens=2000)
     bfd_packing.write_packed(packed, f"file://{tmp_path}/packed")

@@ -19,8 +19,8 @@ def test_stages_follow_their_operators(spark):
     assert {r.doc_id for r in first.collect()} == {d for d, ok in rated.items() if ok} and first.columns == docs.columns
     second = corpus_pipeline.toxicity(spark, first, SF).cache()
     t = toxic_grammar.train(first, labels, fold("_id", 5, 0))
-    fst, lex = toxic_grammar.grammar(), toxic_grammar.Lexicon(t.insults)
-    assert {r.doc_id for r in second.collect()} == {r.doc_id for r in first.collect() if t.score(toxic_grammar.matches(r.text or "", lex, fst)) < 0.5}
+    rate = t.scorer()
+    assert {r.doc_id for r in second.collect()} == {r.doc_id for r in first.collect() if rate(r.text or "")[0] < 0.5}
     third = corpus_pipeline.near_duplicates(spark, second, SF).cache()
     fps = {r.doc_id: simhash.fingerprint((r.text or "").encode()) for r in second.collect()}
     parent = {d: d for d in fps}
