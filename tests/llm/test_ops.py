@@ -441,6 +441,52 @@ def test_quality(spark, judged, docs, no_docs):
     assert mil_quality.score(docs, 1.0).where("predicted = 1").count() == docs.count()
 
 
+def test_passage_grams():
+    """Buckets against a plain loop over the words."""
+    mask, golden = (1 << 64) - 1, 0x9E3779B97F4A7C15
+    h = lambda w: sum(c * pow(int(mil_quality._P), k, 1 << 64) for k, c in enumerate(w)) & mask
+    bucket = lambda v, kind: ((v * golden & mask) >> 51) + kind * mil_quality.BUCKETS
+    said = [b"", b"  \t", b"One two\nTHREE  a bc", " ".join(f"Straße{k}" for k in range(150)).encode(), b"x", b" end "]
+    ids, n, passages = mil_quality.grams(said)
+    want, counts, per = [], [], []
+    for t in said:
+        words = [w for w in t.lower().split()]
+        own = [words[k : k + mil_quality.PASSAGE] for k in range(0, max(1, len(words)), mil_quality.PASSAGE)]
+        per.append(len(own))
+        for p in own:
+            got = [bucket(h(w), 0) for w in p] + [bucket(h(a) * golden + h(b) & mask, 1) for a, b in zip(p, p[1:], strict=False)]
+            got += [bucket(h(w[:3]), 2) for w in p] + [bucket(h(w[-3:]), 3) for w in p]
+            want += got
+            counts.append(len(got))
+    assert passages.tolist() == per and n.tolist() == counts and ids.tolist() == want
+
+
+def test_attention_gradients():
+    """The gradients are those of small steps of the loss, n-gram vectors included."""
+    rng = np.random.default_rng(1)
+    m = mil_quality.AttentionMIL(dim=3, hidden=5, gate=4)
+    n, counts, y = np.array([3, 0, 2, 4]), np.array([1, 3]), np.array([1.0, 0.0])
+    ids, x = rng.integers(0, 50, n.sum()).astype(np.uint16), rng.standard_normal((4, mil_quality.N_SIGNALS))
+    m.table = m.table.astype(float)
+    z = m.inputs(x, ids, n)
+
+    def loss(z):
+        p = 1 / (1 + np.exp(-m._forward(z, counts)[-1]))
+        return -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))
+
+    g, dz = m._backward(z, counts, y)
+    for k, v in m.p.items():
+        at = tuple(rng.integers(0, d) for d in v.shape)
+        v[at] += 1e-5
+        up = loss(z)
+        v[at] -= 2e-5
+        assert abs((up - loss(z)) / 2e-5 - g[k][at]) < 1e-6, k
+        v[at] += 1e-5
+    step = np.zeros_like(z)
+    step[2, -1] = 1e-5
+    assert abs((loss(z + step) - loss(z - step)) / 2e-5 - dz[2, -1]) < 1e-6
+
+
 def test_toxicity(spark, judged, docs, no_docs):
     from sheetgraph.llm.common import fold
 
