@@ -3,13 +3,14 @@
 Each text has four SimHash fingerprints (256 bits) over its distinct shingles. Two texts meet
 when they agree in all bits of one of `tables` samples of fingerprint bits; the samples'
 width grows with log n, and their number follows from the recall at the threshold. Pairs that
-meet and differ in at most RADIUS of the first 128 bits propose groups, of which only a
-spanning forest leaves a block. Inside a group the sets themselves decide, so every link is
+meet and differ in at most RADIUS of the first 128 bits, told by the bit planes and carry-save
+counters of the SimHash operator, propose groups, of which only a spanning forest leaves a block. Inside a group the sets themselves decide, so every link is
 true; a pair is not compared when other links join it already.
 
 Edge cases: a text of fewer than `words` words has its whole sequence as one shingle; all
 texts without words are one class, nulls included; a row with a null doc_id stays only if no
-row of its class has an id. A group's sets are held by one task.
+row of its class has an id; of repeated rows one stays; an empty table gives an empty result;
+other columns are kept, whatever their names. A group's sets are held by one task.
 """
 
 from __future__ import annotations
@@ -19,17 +20,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from sheetgraph.llm.common import drop_stash, split_batches, stash, text_bytes
-from sheetgraph.llm.simhash import forest
+from sheetgraph.llm.simhash import close_pairs, forest
 from sheetgraph.operators.components import connected_components
 
 #: Fingerprint bits of two sets of Jaccard 0.8 differ with probability 0.151: of 128 bits 19.4 (deviation 4.1), of 256 bits 38.8 (5.7).
 RADIUS, WIDE = 34, 72
-SIGNS = ["__s0", "__s1", "__s2", "__s3"]
+#: Rows that are compared at once; a larger group is searched from member to member.
+BLOCK = 256
+SIGNS = ["s0", "s1", "s2", "s3"]
 
 
 def shingles(text: bytes, words: int = 5) -> np.ndarray:
@@ -94,7 +98,7 @@ def proposed(nodes: DataFrame, bits: np.ndarray) -> DataFrame:
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         power = 1 << np.arange(bits.shape[1], dtype=np.int64)
         for batch in split_batches(batches, 2048):
-            node, *s = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("__node", *SIGNS)]
+            node, *s = [batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("node", *SIGNS)]
             flat = np.unpackbits(np.ascontiguousarray(np.stack(s, axis=1)).view(np.uint8), axis=1)
             for t, row in enumerate(bits):
                 code = flat[:, row].astype(np.int64) @ power + (t << 48)
@@ -117,24 +121,28 @@ def proposed(nodes: DataFrame, bits: np.ndarray) -> DataFrame:
         edge = np.concatenate([[0], np.flatnonzero(rows[1:, 0] != rows[:-1, 0]) + 1, [len(rows)]])
         size = np.diff(edge)
         i, j = [], []
-        for lo, hi in zip(edge[:-1][size > 64].tolist(), edge[1:][size > 64].tolist(), strict=True):
+        for lo, hi in zip(edge[:-1][size > BLOCK].tolist(), edge[1:][size > BLOCK].tolist(), strict=True):
             a, b = spread(signs[lo:hi])
             i.append(np.array(a, np.int64) + lo)
             j.append(np.array(b, np.int64) + lo)
-        small, end = np.repeat(size <= 64, size), np.repeat(edge[1:], size)
-        for step in range(1, 64):
-            at = np.flatnonzero(small & (np.arange(len(rows)) + step < end))
-            if not len(at):
-                break
-            at = at[distance(signs[at], signs[at + step]) <= RADIUS]
-            i.append(at)
-            j.append(at + step)
+        # small groups are compared together, bit plane by bit plane: what is near in two of them is near as well
+        small = np.flatnonzero(np.repeat((size > 1) & (size <= BLOCK), size))
+        group = np.repeat(np.arange(len(size)), size)[small]
+        start = 0
+        while start < len(small):
+            stop = min(start + BLOCK, len(small))
+            if stop < len(small) and group[stop] == group[stop - 1]:
+                stop = int(np.searchsorted(group, group[stop - 1]))
+            a, b = close_pairs(signs[small[start:stop]], None, RADIUS)
+            i.append(small[start + a])
+            j.append(small[start + b])
+            start = stop
         i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (i, j))
         low = forest(len(rows), i, j)
         k = np.flatnonzero(low != np.arange(len(rows)))
         return pa.RecordBatch.from_pydict({"a": pa.array(rows[k, 1]), "b": pa.array(rows[low[k], 1])})
 
-    keyed = nodes.where("__size > 0").select("__node", *SIGNS).mapInArrow(key, "k long, node long, s0 long, s1 long")
+    keyed = nodes.where("size > 0").select("node", *SIGNS).mapInArrow(key, "k long, node long, s0 long, s1 long")
     met = keyed.repartition("k").sortWithinPartitions("k", "node").mapInArrow(meet, "a long, b long")
 
     def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,10 +185,10 @@ def verified(members: DataFrame, words: int, similarity: float) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             root = classes(sets, similarity)
-            return pa.RecordBatch.from_pydict({"__node": pa.array(ids, pa.int64()), "__class": pa.array([ids[k] for k in root], pa.int64())})
+            return pa.RecordBatch.from_pydict({"node": pa.array(ids, pa.int64()), "class": pa.array([ids[k] for k in root], pa.int64())})
 
         for b in split_batches(batches, 256):
-            for group, node, text in zip(b.column("component").to_pylist(), b.column("__node").to_pylist(), text_bytes(b.column("text")), strict=True):
+            for group, node, text in zip(b.column("component").to_pylist(), b.column("node").to_pylist(), text_bytes(b.column("text")), strict=True):
                 if group != now:
                     if ids:
                         yield flush()
@@ -190,30 +198,34 @@ def verified(members: DataFrame, words: int, similarity: float) -> DataFrame:
         if ids:
             yield flush()
 
-    return members.repartition("component").sortWithinPartitions("component", "__node").select("component", "__node", "text").mapInArrow(run, "__node long, __class long")
+    return members.repartition("component").sortWithinPartitions("component", "node").select("component", "node", "text").mapInArrow(run, "node long, class long")
 
 
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """docs with one row of each class of near copies: that of the least doc_id, then of the least hash of its text."""
-    schema = StructType([*docs.schema.fields, *[StructField(c, LongType()) for c in ("__node", "__size", *SIGNS)]])
+    """docs with one row of each class of near copies: that of the least doc_id, then of the least hash of its text.
+
+    The row itself travels as one column, so no name of docs can clash with those used here.
+    """
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"))
+    schema = StructType([*own.schema.fields, *[StructField(c, LongType()) for c in ("node", "size", *SIGNS)]])
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for b in split_batches(batches, 512):
-            sets = [shingles(t, words) for t in text_bytes(b.column("text"))]
+            sets = [shingles(t, words) for t in text_bytes(pc.struct_field(b.column("d"), "text"))]
             node = np.array([xxhash.xxh64_intdigest(s.tobytes(), 42) for s in sets], np.uint64).view(np.int64)
             signs = np.stack([signature(s) for s in sets]).view(np.int64)
             more = [node, np.array([len(s) for s in sets], np.int64), *signs.T]
-            yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(np.ascontiguousarray(x)) for x in more]], names=schema.fieldNames())
+            yield pa.RecordBatch.from_arrays([b.column("d"), *[pa.array(np.ascontiguousarray(x)) for x in more]], names=schema.fieldNames())
 
-    marked = stash(docs.mapInArrow(mark, schema).withColumn("__row", F.monotonically_increasing_id()), "marked")
-    best = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"), F.col("__row").alias("row"))
-    nodes = stash(marked.groupBy("__node").agg(F.min(best).alias("__best"), *[F.first(c).alias(c) for c in ("__size", *SIGNS)]), "nodes")
+    marked = stash(own.mapInArrow(mark, schema).withColumn("row", F.monotonically_increasing_id()), "marked")
+    best = F.struct(F.col("d.doc_id").isNull().alias("nameless"), F.col("d.doc_id").cast("long").alias("id"), F.xxhash64("d.text").alias("hash"), F.col("row").alias("row"))
+    nodes = stash(marked.groupBy("node").agg(F.min(best).alias("best"), *[F.first(c).alias(c) for c in ("size", *SIGNS)]), "nodes")
     edges = proposed(nodes, samples(nodes.count(), similarity))
     groups = stash(connected_components(edges), "groups")
-    members = nodes.join(groups.withColumnRenamed("node", "__node"), "__node").select(F.col("__best.row").alias("__row"), "__node", "component")
-    found = stash(verified(marked.select("__row", "text").join(members, "__row"), words, similarity), "verified")
+    members = nodes.join(groups, "node").select(F.col("best.row").alias("row"), "node", "component")
+    found = stash(verified(marked.select("row", F.col("d.text").alias("text")).join(members, "row"), words, similarity), "verified")
     drop_stash(groups)
-    kept = nodes.join(found, "__node", "left").groupBy(F.coalesce("__class", "__node")).agg(F.min("__best").alias("b")).select(F.col("b.row").alias("__row"))
-    return marked.join(kept, "__row", "left_semi").select(*docs.columns)
+    kept = nodes.join(found, "node", "left").groupBy(F.coalesce("class", "node")).agg(F.min("best").alias("b")).select(F.col("b.row").alias("row"))
+    return marked.join(kept, "row", "left_semi").select("d.*")

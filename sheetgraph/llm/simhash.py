@@ -62,37 +62,38 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
 
 
 def close_pairs(fps: np.ndarray, others: np.ndarray | None = None, radius: int = 2) -> tuple[np.ndarray, np.ndarray]:
-    """Indices (i, j) of pairs that differ in at most `radius` (0 to 3) bits.
+    """Indices (i, j) of pairs that differ in at most `radius` bits.
 
-    Within fps with i < j, or between fps and others.
+    Within fps with i < j, or between fps and others. Fingerprints are words, or rows of words.
     """
     lanes = fps if others is None else others
-    n, width = len(lanes), -(-len(lanes) // 64)
-    bits = np.zeros((width * 64, 64), np.uint8)
-    bits[:n] = np.unpackbits(lanes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+    mine, theirs = (np.unpackbits(np.ascontiguousarray(x.reshape(len(x), -1).astype(">u8")).view(np.uint8), axis=1) for x in (fps, lanes))
+    n, width, n_bits = len(lanes), -(-len(lanes) // 64), mine.shape[1]
+    bits = np.zeros((width * 64, n_bits), np.uint8)
+    bits[:n] = theirs
     planes = _words(bits.T)
     index = np.arange(width * 64)
     closed = np.broadcast_to(index >= n, (len(fps), width * 64)) if others is not None else (index[None, :] <= np.arange(n)[:, None]) | (index >= n)
     over = _words(closed.astype(np.uint8))
-    own = np.unpackbits(fps.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).astype(np.uint64) * np.uint64(0xFFFFFFFFFFFFFFFF)
+    own = mine.astype(np.uint64) * np.uint64(0xFFFFFFFFFFFFFFFF)
     rows = np.arange(len(fps))
-    one, two = np.zeros_like(over), np.zeros_like(over)
-    for bit in range(64):
-        x = planes[bit][None, :] ^ own[:, bit][:, None]
-        carry = one & x
-        one ^= x
-        over |= two & carry
-        two ^= carry
+    counters = [np.zeros_like(over) for _ in range(max(1, radius.bit_length()))]
+    for bit in range(n_bits):
+        carry = planes[bit][None, :] ^ own[:, bit][:, None]
+        for c in counters:  # carry-save: what a counter can't hold goes on to the next, beyond the last the lane is over
+            more = c & carry
+            c ^= carry
+            carry = more
+        over |= carry
         if bit % 8 == 7:
-            left = ~(over | _above(one, two, radius))
-            live = left.any(axis=1)
+            live = (~(over | _above(counters, radius))).any(axis=1)
             if not live.all():
-                rows, own, over, one, two = rows[live], own[live], over[live], one[live], two[live]
+                rows, own, over, counters = rows[live], own[live], over[live], [c[live] for c in counters]
                 if not len(rows):
                     break
     if not len(rows):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    left = ~(over | _above(one, two, radius))
+    left = ~(over | _above(counters, radius))
     i, j = np.nonzero(np.unpackbits(np.ascontiguousarray(left).view(np.uint8).reshape(len(rows), -1), axis=1, bitorder="little"))
     return rows[i], j
 
@@ -102,8 +103,16 @@ def _words(bits: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(np.packbits(np.ascontiguousarray(bits), axis=1, bitorder="little")).view("<u8")
 
 
-def _above(one: np.ndarray, two: np.ndarray, radius: int) -> np.ndarray:
-    return (one | two, two, one & two, np.zeros_like(one))[radius]
+def _above(counters: list[np.ndarray], radius: int) -> np.ndarray:
+    """Lanes whose count, lowest bit first, is over the radius."""
+    above, same = np.zeros_like(counters[0]), ~np.zeros_like(counters[0])
+    for k in reversed(range(len(counters))):
+        if radius >> k & 1:
+            same &= counters[k]
+        else:
+            above |= same & counters[k]
+            same &= ~counters[k]
+    return above
 
 
 def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
