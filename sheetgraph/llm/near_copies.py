@@ -4,13 +4,13 @@ Each text has four SimHash fingerprints (256 bits) over its distinct shingles. T
 when they agree in all bits of one of `tables` samples of fingerprint bits; the samples'
 width grows with log n, and their number follows from the recall at the threshold. Pairs that
 meet and differ in at most RADIUS of the first 128 bits, told by the bit planes and carry-save
-counters of the SimHash operator, propose groups, of which only a spanning forest leaves a block. Inside a group the sets themselves decide, so every link is
-true; a pair is not compared when other links join it already.
+counters of the SimHash operator, propose groups, of which only a spanning forest leaves a block. Inside a group, block by block, the sets themselves decide, so
+every link is true; a pair is not compared when other links of its block join it already.
 
 Edge cases: a text of fewer than `words` words has its whole sequence as one shingle; all
 texts without words are one class, nulls included; a row with a null doc_id stays only if no
 row of its class has an id; of repeated rows one stays; an empty table gives an empty result;
-other columns are kept, whatever their names. A group's sets are held by one task.
+other columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from sheetgraph.llm.blocks import block_tasks, deal
 from sheetgraph.llm.common import drop_stash, split_batches, stash, text_bytes
 from sheetgraph.llm.simhash import close_pairs, forest
 from sheetgraph.operators.components import connected_components
@@ -162,12 +163,13 @@ def proposed(nodes: DataFrame, bits: np.ndarray) -> DataFrame:
     return met.repartition("a").sortWithinPartitions("a", "b").mapInArrow(least, "a long, b long")
 
 
-def classes(sets: list[np.ndarray], similarity: float = 0.8) -> np.ndarray:
-    """For each set the least index that it reaches over pairs of at least that similarity."""
+def classes(sets: list[np.ndarray], similarity: float = 0.8, side: np.ndarray | None = None) -> np.ndarray:
+    """For each set the least index that it reaches over pairs of at least that similarity; with `side`, over pairs of different sides."""
     root, size, signs = np.arange(len(sets)), np.array([len(s) for s in sets]), np.stack([signature(s) for s in sets])
     for i in range(1, len(sets)):
         small, large = np.minimum(size[:i], size[i]), np.maximum(size[:i], size[i])
-        ask = np.flatnonzero((small >= similarity * large) & (distance(signs[:i], signs[i]) <= WIDE))
+        may = (small >= similarity * large) & (distance(signs[:i], signs[i]) <= WIDE)
+        ask = np.flatnonzero(may if side is None else may & (side[:i] != side[i]))
         while len(ask := ask[root[ask] != root[i]]):
             j, ask = int(ask[0]), ask[1:]
             both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
@@ -177,28 +179,35 @@ def classes(sets: list[np.ndarray], similarity: float = 0.8) -> np.ndarray:
     return root
 
 
-def verified(members: DataFrame, words: int, similarity: float) -> DataFrame:
-    """(node, class) of the texts of each proposed group."""
+def verified(members: DataFrame, words: int, similarity: float, most: int = 512) -> DataFrame:
+    """Links (a, b) that connect all texts of a proposed group that are near copies.
+
+    A group of over `most` texts is cut into chunks that meet in pairs, so no task holds a whole
+    large group; a block leaves the spanning forest of its own true links.
+    """
+    keys = ["component", "_i", "_j"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, ids, sets = None, [], []
+        now, ids, sets, side = None, [], [], []
 
         def flush() -> pa.RecordBatch:
-            root = classes(sets, similarity)
-            return pa.RecordBatch.from_pydict({"node": pa.array(ids, pa.int64()), "class": pa.array([ids[k] for k in root], pa.int64())})
+            root = classes(sets, similarity, np.array(side) if now[1] != now[2] else None)
+            k = np.flatnonzero(root != np.arange(len(root)))
+            return pa.RecordBatch.from_pydict({"a": pa.array([ids[x] for x in k], pa.int64()), "b": pa.array([ids[x] for x in root[k]], pa.int64())})
 
         for b in split_batches(batches, 256):
-            for group, node, text in zip(b.column("component").to_pylist(), b.column("node").to_pylist(), text_bytes(b.column("text")), strict=True):
-                if group != now:
-                    if ids:
+            for *block, first, node, text in zip(*(b.column(c).to_pylist() for c in (*keys, "_first", "node")), text_bytes(b.column("text")), strict=True):
+                if block != now:
+                    if len(ids) > 1:
                         yield flush()
-                    now, ids, sets = group, [], []
+                    now, ids, sets, side = block, [], [], []
                 ids.append(node)
                 sets.append(shingles(text, words))
-        if ids:
+                side.append(first)
+        if len(ids) > 1:
             yield flush()
 
-    return members.repartition("component").sortWithinPartitions("component", "node").select("component", "node", "text").mapInArrow(run, "node long, class long")
+    return block_tasks(deal(members, ["component"], "node", most), ["component"]).select(*keys, "_first", "node", "text").mapInArrow(run, "a long, b long")
 
 
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -225,7 +234,9 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFr
     edges = proposed(nodes, samples(nodes.count(), similarity))
     groups = stash(connected_components(edges), "groups")
     members = nodes.join(groups, "node").select(F.col("best.row").alias("row"), "node", "component")
-    found = stash(verified(marked.select("row", F.col("d.text").alias("text")).join(members, "row"), words, similarity), "verified")
-    drop_stash(groups)
-    kept = nodes.join(found, "node", "left").groupBy(F.coalesce("class", "node")).agg(F.min("best").alias("b")).select(F.col("b.row").alias("row"))
+    texts = stash(marked.select("row", F.col("d.text").alias("text")).join(members, "row").select("component", "node", "text"), "members")
+    found = stash(connected_components(verified(texts, words, similarity)), "verified")
+    for done in (groups, texts):
+        drop_stash(done)
+    kept = nodes.join(found, "node", "left").groupBy(F.coalesce("component", "node")).agg(F.min("best").alias("b")).select(F.col("b.row").alias("row"))
     return marked.join(kept, "row", "left_semi").select("d.*")

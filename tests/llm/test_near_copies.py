@@ -52,3 +52,23 @@ def test_one_row_of_each_class(spark):
     rows = [(3, a), (5, a), (5, b), (None, a), (None, c), (None, c)]
     got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
     assert {(r.doc_id, r.text) for r in got} == {(3, a), (5, b), (None, c)} and len(got) == 3
+
+
+def test_groups_are_cut_into_blocks(spark):
+    """A chain of near copies that only neighbours link, verified in blocks of a few texts."""
+    rng = np.random.default_rng(5)
+    words, rows = [f"w{x}" for x in rng.integers(0, 9000, 200)], []
+    for k in range(60):
+        rows.append((1, k, " ".join(words)))
+        for at in rng.choice(190, 3, replace=False):
+            words[at] = f"n{k}x{at}"
+    rows += [(1, 100 + k, " ".join(f"z{x}" for x in rng.integers(0, 9000, 50))) for k in range(20)]
+    df = spark.createDataFrame(rows, "component long, node long, text string")
+    n, _ = _brute([(k, t) for _, k, t in rows])
+    for most in (512, 7):
+        links = near_copies.verified(df, 5, 0.8, most).collect()
+        root = {k: k for _, k, _ in rows}
+        for a, b in links:
+            lo, hi = sorted((root[a], root[b]))
+            root = {k: lo if r == hi else r for k, r in root.items()}
+        assert len(set(root.values())) == n < 40
