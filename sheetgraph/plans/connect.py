@@ -10,7 +10,7 @@ from sheetgraph.operators import candidates as c
 from sheetgraph.operators import graph as gr
 from sheetgraph.operators import greedy as gd
 from sheetgraph.operators.spatial import box_join
-from sheetgraph.plans.crossings import straight
+from sheetgraph.plans.crossings import _BOXED, straight
 from sheetgraph.plans.registry import query
 from sheetgraph.sources import derived as d
 
@@ -127,10 +127,14 @@ def ag02(spark, sf):
 
 
 
-@query("j07_close_symbols", f"""{_EDGES}, deg as (select sheet_id, a as node, count(*) as degree from two group by all), low as (select s.* from symbols s left join deg on deg.sheet_id=s.sheet_id and deg.node='s-' || s.symbol_id where coalesce(degree,0) < 2 or starts_with(label,'Equipment/')),
+#: Pairs of near and aligned symbols of low degree, or equipment; {{only}} restricts the symbols.
+_CLOSE = f"""{_EDGES}, deg as (select sheet_id, a as node, count(*) as degree from two group by all), low as (select s.* from symbols s left join deg on deg.sheet_id=s.sheet_id and deg.node='s-' || s.symbol_id where (coalesce(degree,0) < 2 or starts_with(label,'Equipment/')) and ({{{{only}}}})),
 pr as (select a.sheet_id, a.symbol_id as a, b.symbol_id as b, a.x1 as ax1, a.y1 as ay1, a.x2 as ax2, a.y2 as ay2, b.x1 as bx1, b.y1 as by1, b.x2 as bx2, b.y2 as by2 from low a join low b on a.sheet_id=b.sheet_id and a.symbol_id<b.symbol_id)
 select sheet_id, a, b from pr where {_GAP.format(a="a", b="b")} <= 40
- and ((ax1-20<=bx2+20 and bx1-20<=ax2+20 and ay1<=by2 and by1<=ay2 and least(ay2,by2)-greatest(ay1,by1) >= 0.7*40) or (ay1-20<=by2+20 and by1-20<=ay2+20 and ax1<=bx2 and bx1<=ax2 and least(ax2,bx2)-greatest(ax1,bx1) >= 0.7*40))""")
+ and ((ax1-20<=bx2+20 and bx1-20<=ax2+20 and ay1<=by2 and by1<=ay2 and least(ay2,by2)-greatest(ay1,by1) >= 0.7*40) or (ay1-20<=by2+20 and by1-20<=ay2+20 and ax1<=bx2 and bx1<=ax2 and least(ax2,bx2)-greatest(ax1,bx1) >= 0.7*40))"""
+
+
+@query("j07_close_symbols", _CLOSE.replace("{{only}}", "true"))
 def j07(spark, sf):
     return close_symbols(d.symbols(spark, sf), holder_edges(spark, sf), 40.0, 0.7, ("",), 200.0)
 
@@ -150,7 +154,10 @@ def close_symbols(symbols, edges, distance, share, prefixes, cell):
     return met.where((g.gap(a, b) <= distance) & ok).select("sheet_id", "a", "b")
 
 
-@query("gr03_close_edges", None)
+_PROCESS = "starts_with(label,'Equipment/') or starts_with(label,'Instrument/')"
+
+
+@query("gr03_close_edges", _CLOSE.replace("{{only}}", _PROCESS).replace("select sheet_id, a, b from pr", "select sheet_id, 's-' || a as a, 's-' || b as b, 'l-s-' || a || '-s-' || b as node from pr"))
 def gr03(spark, sf):
     p = close_symbols(d.symbols(spark, sf), holder_edges(spark, sf), 40.0, 0.7, ("Equipment/", "Instrument/"), 200.0)
     a, b = t.node_id("s", F.col("a")), t.node_id("s", F.col("b"))
@@ -466,7 +473,20 @@ def f13(spark, sf):
     return d.texts(spark, sf).join(claimed_texts(spark, sf), ["sheet_id", "text_ix"], "left_anti").select("sheet_id", "text_ix")
 
 
-@query("j06_attached_texts")
+#: Leftover texts and the open symbols and lines near them, taken nearest first: att(sheet_id, text_ix, kind, id, distance).
+_ATTACHED = f"""{_CLAIM}, {_BOXED},
+lt as (select * from texts t where trim(text) <> '' and not exists (select 1 from claim c where c.sheet_id=t.sheet_id and c.got is not null and c.got.t=t.text_ix)),
+ow as (select distinct s.sheet_id, s.symbol_id from symbols s join texts q on q.sheet_id=s.sheet_id and trim(q.text)=trim(s.text_associated) and q.x1>=s.x1 and q.y1>=s.y1 and q.x2<=s.x2 and q.y2<=s.y2),
+tg as (select sheet_id, 0 as kd, symbol_id as id, x1, y1, x2, y2 from symbols s where coalesce(trim(text_associated),'') = '' or exists (select 1 from ow where ow.sheet_id=s.sheet_id and ow.symbol_id=s.symbol_id)
+ union all select sheet_id, 1, line_ix, x1, y1, x2, y2 from straight l where not exists (select 1 from texts t where t.sheet_id=l.sheet_id and t.x1<=l.x2 and l.x1<=t.x2 and t.y1<=l.y2 and l.y1<=t.y2) and not exists (select 1 from boxed b where b.sheet_id=l.sheet_id and b.line_ix=l.line_ix)),
+nr as (select t.sheet_id, t.text_ix, g.kd, g.id, sqrt(pow(greatest(t.x1-g.x2,g.x1-t.x2,0),2)+pow(greatest(t.y1-g.y2,g.y1-t.y2,0),2)) as d from lt t join tg g on g.sheet_id=t.sheet_id and g.x1<=t.x2+10 and t.x1<=g.x2+10 and g.y1<=t.y2+10 and t.y1<=g.y2+10),
+pr as materialized (select *, row_number() over (partition by sheet_id order by d, text_ix, kd, id) as k from nr where d <= 10),
+sc as (select distinct sheet_id, cast(0 as bigint) as k, cast([] as bigint[]) as ut, cast([] as bigint[]) as ug, false as took, cast(null as bigint) as text_ix, cast(null as int) as kd, cast(null as bigint) as id, cast(null as double) as d from pr
+ union all select sheet_id, k, case when free then list_append(ut, text_ix) else ut end, case when free then list_append(ug, 2*id+kd) else ug end, free, text_ix, kd, id, d from (select s.sheet_id, p.k, s.ut, s.ug, not (list_contains(s.ut, p.text_ix) or list_contains(s.ug, 2*p.id+p.kd)) as free, p.text_ix, p.kd, p.id, p.d from sc s join pr p on p.sheet_id=s.sheet_id and p.k=s.k+1)),
+att as (select sheet_id, text_ix, case kd when 0 then 'symbol' else 'line' end as kind, id, round(d,1) as distance from sc where took)"""
+
+
+@query("j06_attached_texts", f"{_ATTACHED} select * from att")
 def j06(spark, sf):
     left = f13(spark, sf)
     x = d.texts(spark, sf).join(left, ["sheet_id", "text_ix"]).where("trim(text) <> ''").select("sheet_id", "text_ix", *[F.col(k).cast("double").alias(f"_t{k}") for k in ("x1", "y1", "x2", "y2")])

@@ -272,13 +272,13 @@ def w08(spark, sf):
     return d.symbols(spark, sf).select("sheet_id", "symbol_id", (F.row_number().over(Window.partitionBy("sheet_id").orderBy("y1", "x1", "symbol_id")) - 1).alias("new_id"))
 
 
-@query("w09_bridged_chains", """, ps as (select sheet_id, pos, cast(lo as double) as lo, cast(hi as double) as hi, line_ix%3<>0 as evidence, cast(line_ix%4 as int) as crossings, row_number() over (partition by sheet_id, pos order by lo, hi, line_ix%3<>0, line_ix%4) as k from segments where axis='h'),
-f as (select sheet_id, pos, k, lo, hi, 1 as pieces, 1 as chain from ps where k=1 union all select p.sheet_id, p.pos, p.k, case when ok then f_lo else p.lo end, case when ok then greatest(f_hi, p.hi) else p.hi end, case when ok then f_pieces + 1 else 1 end, case when ok then f_chain else f_chain + 1 end
- from (select p.*, f.lo as f_lo, f.hi as f_hi, f.pieces as f_pieces, f.chain as f_chain, p.lo - f.hi <= 0 or (p.lo - f.hi <= 600 and p.evidence and p.crossings <= 2) as ok from f join ps p on p.sheet_id=f.sheet_id and p.pos=f.pos and p.k=f.k+1) p)
-select sheet_id, pos, lo, hi, pieces from f qualify row_number() over (partition by sheet_id, pos, chain order by k desc) = 1""")
+@query("w09_bridged_chains", """, ps as (select sheet_id, axis, pos, cast(lo as double) as lo, cast(hi as double) as hi, line_ix%3<>0 as evidence, cast(line_ix%4 as int) as crossings, row_number() over (partition by sheet_id, axis, pos order by lo, hi, line_ix%3<>0, line_ix%4) as k from segments),
+f as (select sheet_id, axis, pos, k, lo, hi, 1 as pieces, 1 as chain from ps where k=1 union all select p.sheet_id, p.axis, p.pos, p.k, case when ok then f_lo else p.lo end, case when ok then greatest(f_hi, p.hi) else p.hi end, case when ok then f_pieces + 1 else 1 end, case when ok then f_chain else f_chain + 1 end
+ from (select p.*, f.lo as f_lo, f.hi as f_hi, f.pieces as f_pieces, f.chain as f_chain, p.lo - f.hi <= 0 or (p.lo - f.hi <= 600 and p.evidence and p.crossings <= 2) as ok from f join ps p on p.sheet_id=f.sheet_id and p.axis=f.axis and p.pos=f.pos and p.k=f.k+1) p)
+select sheet_id, axis, pos, lo, hi, pieces from f qualify row_number() over (partition by sheet_id, axis, pos, chain order by k desc) = 1""")
 def w09(spark, sf):
-    s = d.segments(spark, sf).where("axis = 'h'").select("sheet_id", "pos", "lo", "hi", (F.col("line_ix") % 3 != 0).alias("evidence"), (F.col("line_ix") % 4).cast("int").alias("crossings"))
-    return ln.bridged(s, ["sheet_id", "pos"])
+    s = d.segments(spark, sf).select("sheet_id", "axis", "pos", "lo", "hi", (F.col("line_ix") % 3 != 0).alias("evidence"), (F.col("line_ix") % 4).cast("int").alias("crossings"))
+    return ln.bridged(s, ["sheet_id", "axis", "pos"])
 
 
 @query("w10_level_keys", "select sheet_id, axis, cast(round_even(pos/15.0,0) as bigint) as level, count(*) as n from segments group by all")
@@ -365,7 +365,13 @@ def r03(spark, sf):
     return s.join(a, ["sheet_id", "corner"], "left").select("sheet_id", "symbol_id", F.coalesce("hit", F.lit(False)).alias("is_asset"))
 
 
-@query("r04_leader_pairs")
+def _leaders_sql():
+    from sheetgraph.plans.connect import _ATTACHED
+
+    return _ATTACHED + """ select a.sheet_id, a.text_ix, a.kind, a.id, (t.x1+t.x2)/2.0 as from_x, (t.y1+t.y2)/2.0 as from_y, (g.x1+g.x2)/2.0 as to_x, (g.y1+g.y2)/2.0 as to_y from att a join texts t on t.sheet_id=a.sheet_id and t.text_ix=a.text_ix join tg g on g.sheet_id=a.sheet_id and g.id=a.id and g.kd=case a.kind when 'symbol' then 0 else 1 end"""
+
+
+@query("r04_leader_pairs", _leaders_sql())
 def r04(spark, sf):
     """From the centre of each attached text to the centre of its symbol or line."""
     from sheetgraph.plans.connect import j06
