@@ -7,7 +7,8 @@ import os
 import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,6 +46,17 @@ def drop_stash(df: DataFrame | None) -> None:
         _remove(_LIVE.pop(path), path)
 
 
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Every table that stash() writes within is removed at the end, so results must be stored before."""
+    before = set(_LIVE)
+    try:
+        yield
+    finally:
+        for path in [p for p in _LIVE if p not in before]:
+            _remove(_LIVE.pop(path), path)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

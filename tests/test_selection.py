@@ -157,3 +157,29 @@ def test_tiles_keep_the_best_of_a_place(spark, name):
             kept.append(r)
     got = {r.item_id for r in connect.g05(spark, "/root/testdata/sf0.001").where(f"sheet_id = 0 and kind = '{name}'").collect()}
     assert got == {k.item_id for k in kept}
+
+
+def test_scratch_removes_its_tables(spark, tmp_path):
+    from sheetgraph.plans import stages
+
+    kept = stages.stash(spark.range(3).toDF("a"), "kept")
+    with stages.scratch():
+        s = stages.stash(spark.range(5).toDF("a"), "gone")
+        s.write.parquet(f"file://{tmp_path}/out")
+    assert kept.count() == 3 and not stages.exists(spark, s._stash_path) and spark.read.parquet(f"file://{tmp_path}/out").count() == 5
+    stages.drop_stash(kept)
+    assert not stages.exists(spark, kept._stash_path)
+
+
+def test_published_sources_of_carried_ones(spark):
+    """The pass over what propagation really carries, against the rule on sets."""
+    from sheetgraph.operators import graph as gr
+
+    temp, *_ = connect.propagated(spark, "/root/testdata/sf0.001")
+    rows = {(r.sheet_id, r.node, r.source) for r in temp.collect()}
+    of = {}
+    for sheet, node, source in rows:
+        of.setdefault((sheet, node), set()).add(source)
+    keeps = {k for k, own in of.items() if any(k[1] not in of.get((k[0], x), ()) for x in own)}
+    got = {(r.sheet_id, r.node, r.source) for r in gr.published_sources(temp).collect()}
+    assert rows and got == {r for r in rows if r[:2] in keeps}
