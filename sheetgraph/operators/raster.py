@@ -189,14 +189,20 @@ def segments(mask: np.ndarray, votes: int = 14, least: int = 12, gap: int = 4, a
         return []
     theta = np.arange(angles) * np.pi / angles
     cos, sin, reach = np.cos(theta), np.sin(theta), int(np.ceil(np.hypot(*mask.shape)))
-    got = np.zeros((angles, 2 * reach + 1), np.int32)
+    got = np.zeros((angles, 2 * reach + 3), np.int32)
+    by_bin = np.zeros((angles, len(x)), np.int32)  # the pixels in order of their bin, for each angle
     for k in range(angles):
-        got[k] = np.bincount(np.rint(x * cos[k] + y * sin[k]).astype(int) + reach, minlength=2 * reach + 1)
+        place = np.rint(x * cos[k] + y * sin[k]).astype(np.int32) + reach + 1
+        got[k] = np.bincount(place, minlength=2 * reach + 3)
+        by_bin[k] = np.argsort(place.astype(np.uint16), kind="stable")
+    first = np.cumsum(got, axis=1) - got
     k, rho = np.nonzero(got >= votes)
     order = np.argsort(-got[k, rho], kind="stable")
     free, out = np.ones(len(x), bool), []
-    for a, r in zip(k[order].tolist(), (rho[order] - reach).tolist(), strict=True):
-        own = np.flatnonzero(free & (np.abs(x * cos[a] + y * sin[a] - r) <= 1))
+    for a, r in zip(k[order].tolist(), rho[order].tolist(), strict=True):
+        own = by_bin[a, first[a, r - 1] : first[a, r + 1] + got[a, r + 1]]
+        own = own[free[own]]
+        own = own[np.abs(x[own] * cos[a] + y[own] * sin[a] - (r - reach - 1)) <= 1]
         if len(own) < least:
             continue
         along = -x[own] * sin[a] + y[own] * cos[a]
