@@ -65,7 +65,7 @@ def near_lines(lines: DataFrame, threshold: float, buffer: float, padding: float
     end = lambda n, x, y: F.struct(F.lit(n).alias("side"), x.alias("x"), y.alias("y"))
     points = src.withColumn("_e", F.explode(F.array(end("s", s.x1, s.y1), end("e", s.x2, s.y2))))
     at = (F.col("_e.x"), F.col("_e.y"), F.col("_e.x"), F.col("_e.y"))
-    met = box_join(points, dst, KEY, at, around, threshold, cell).where("line_ix <> target")
+    met = box_join(dst, points, KEY, around, at, threshold, cell).where("line_ix <> target")  # an end lies in one cell, so each pair is made once
     met = met.where(F.when(F.col("_e.side") == "s", sl < threshold).otherwise((el < threshold) & ~(sl < threshold)))
     meets = g.segment_segment(g.box("_le"), g.box("_qe")) <= 2 * buffer
     return met.where(meets).select(*KEY, "line_ix", "target", sp.alias("sp"), ep.alias("ep"), sl.alias("sl"), el.alias("el"))
