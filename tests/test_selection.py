@@ -183,3 +183,37 @@ def test_published_sources_of_carried_ones(spark):
     keeps = {k for k, own in of.items() if any(k[1] not in of.get((k[0], x), ()) for x in own)}
     got = {(r.sheet_id, r.node, r.source) for r in gr.published_sources(temp).collect()}
     assert rows and got == {r for r in rows if r[:2] in keeps}
+
+
+def test_runs_without_two_entries_go_in_turn(spark):
+    run = lambda axis, k, pos, lo, hi: (1, axis, k, float(pos), float(lo), float(hi))
+    rows = [run("h", 1, 100, 0, 400), run("h", 2, 300, 0, 400), run("v", 3, 50, 0, 400), run("v", 4, 350, 0, 400), run("v", 5, 200, 90, 220), run("h", 6, 200, 190, 330), run("v", 7, 320, 190, 260)]
+    df = spark.createDataFrame(rows, "sheet_id long, axis string, run_id long, pos double, lo double, hi double")
+    none = spark.createDataFrame([], "sheet_id long, symbol_id long, x1 double, y1 double, x2 double, y2 double")
+    assert {r.run_id for r in x.prune(df, none).collect()} == {1, 2, 3, 4, 5, 6} - {5, 6}  # 7 meets one run, then 6, then 5
+
+
+def test_gaps_are_bridged_where_there_is_ink(spark):
+    rgb = np.full((300, 400, 3), 255, np.uint8)
+    rgb[50, 10:300] = 0  # one stroke under two pieces
+    rgb[150, 10:60] = 0
+    rgb[150, 200:300] = 0  # two strokes with nothing between
+    pic = spark.createDataFrame([(1, 300, 400, bytearray(rgb.tobytes()))], im.IMAGE)
+    rows = [(1, k, a, y, b, y) for k, (y, a, b) in enumerate([(500.0, 100.0, 900.0), (500.0, 1300.0, 2900.0), (1500.0, 100.0, 550.0), (1500.0, 2100.0, 2900.0), (2500.0, 5.0, 12.0)])]
+    lines = spark.createDataFrame([*rows, (1, 9, 10.0, 10.0, 500.0, 500.0)], "sheet_id long, line_ix long, x1 double, y1 double, x2 double, y2 double")
+    got = {(r.axis, r.level, r.lo, r.hi) for r in images.chained(lines, pic, 10).collect()}
+    assert got == {("h", 500, 100, 2900), ("h", 1500, 100, 550), ("h", 1500, 2100, 2900)}
+
+
+def test_arrows_point_where_their_line_leads(spark):
+    from sheetgraph.functions import text as t
+    from sheetgraph.operators import graph as gr
+
+    box = lambda k, cx, cy: (1, k, t.ARROW, cx - 0.01, cy - 0.01, cx + 0.01, cy + 0.01)
+    s = spark.createDataFrame([box(1, 0.5, 0.5), box(2, 0.5, 0.8), box(3, 0.2, 0.2)], "sheet_id long, symbol_id long, label string, x1 double, y1 double, x2 double, y2 double")
+    line = lambda k, a, b, c, d, e: (1, k, a, b, c, d, *e)
+    lines = [line(1, 0.3, 0.5, 0.489, 0.5, (0.1, 0.5, 0.689, 0.5)), line(2, 0.5, 0.6, 0.5, 0.789, (0.5, 0.4, 0.5, 0.989)), line(3, 0.1, 0.2, 0.189, 0.2, (0.0, 0.2, 0.389, 0.2)), line(4, 0.2, 0.211, 0.2, 0.3, (0.2, 0.011, 0.2, 0.5))]
+    l = spark.createDataFrame(lines, "sheet_id long, line_ix long, x1 double, y1 double, x2 double, y2 double, ex1 double, ey1 double, ex2 double, ey2 double")
+    edges = spark.createDataFrame([(1, "l-1", "s-1", 0), (1, "l-2", "s-2", 1), (1, "l-3", "s-3", 2), (1, "l-4", "s-3", 3)], "sheet_id long, a string, b string, ord long")
+    got = {r.symbol_id: (r.source, r.direction) for r in gr.arrow_directions(edges, s, l).collect()}
+    assert got == {1: ("l-1", "right"), 2: ("l-2", "down"), 3: (None, "unknown")}
