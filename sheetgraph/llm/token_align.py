@@ -7,9 +7,10 @@ mark where tokens of A and of B end. Their AND holds the shared cuts, which boun
 one stretch of bytes in which neither tokenizer ends a token, so it is one link, between the two tokens that
 hold the stretch. As each part ends in a shared cut, a text's groups and links are those of its parts.
 
-Counts over the corpus: a batch returns its texts as numbers of parts, its parts as links, and each id pair with its number of links. These are summed by pair;
-each batch then gets back the sums of its own pairs. The `popular` most frequent pairs (a bounded table) are broadcast, so
-that no pair that is joined by shuffle has a large share of the rows.
+Counts over the corpus need all texts, so texts are encoded twice: first each task sums up the links of each id pair, which
+are then summed by pair; then texts are told the sums. Those of the `popular` most frequent pairs (a bounded table) are
+given to all tasks. A text's links of any other pairs, if there are such, are joined with their sums by pair; none of these has a
+large share of the rows. Nothing else moves.
 
 Edge cases: texts that are null, empty, or that a tokenizer's tokens don't give back byte for byte have no tokens; null
 ids are kept; repeated rows count and are returned each; an empty table gives an empty result; other columns are ignored. Batches
@@ -30,10 +31,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetgraph.llm.common import drop_stash, stash
+from sheetgraph.llm.common import stash
 
 #: Rows and bytes of text of a batch, at most (a longer text is a batch of its own).
-ROWS, BYTES = 1024, 1 << 21
+ROWS, BYTES = 1024, 1 << 20
 _CUT = re.compile(r"(?<=\S)(?=[ \n\t])")
 _SPACE = "▁"
 
@@ -45,10 +46,35 @@ def byte_table() -> dict[str, int]:
     return {chr(b): b for b in kept} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+def _by_ranks(path: str):
+    """A faster encoder with the ids of a byte-level vocabulary file, or None if the file's merges don't make ids in their order.
+
+    Merging the pair whose merge comes first, and merging into the token of the least id, are then the same.
+    """
+    import json
+
+    import public_tokenizers
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        told = json.load(f)
+    split = told.get("pre_tokenizer") or {}
+    if told.get("normalizer") or told["model"]["type"] != "BPE" or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True) or told["model"].get("ignore_merges"):
+        return None
+    letter, vocab = byte_table(), told["model"]["vocab"]
+    special = {t["content"] for t in told["added_tokens"]}
+    merges = [m.split(" ") if isinstance(m, str) else m for m in told["model"]["merges"]]
+    ids = [vocab["".join(m)] for m in merges]
+    if any(b <= a for a, b in zip(ids, ids[1:], strict=False)) or ids[0] <= max(vocab[c] for c in letter) or len(ids) + 256 + len(special) != len(vocab.keys() | special):
+        return None
+    ranks = {bytes(map(letter.__getitem__, token)): k for token, k in vocab.items() if token not in special}
+    return tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+
 class PartEncoder:
     """Ids of parts under both tokenizers. The cache keeps the first `limit` parts; others are encoded anew each time."""
 
-    def __init__(self, a_path: str, b_path: str, limit: int = 400_000):
+    def __init__(self, a_path: str, b_path: str, limit: int = 100_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -57,6 +83,7 @@ class PartEncoder:
 
         self._a = Tokenizer.from_file(a_path)
         self._a.encode_special_tokens = True
+        self._ranked = _by_ranks(a_path)
         self._b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         letter = byte_table()
         n = self._a.get_vocab_size()
@@ -93,7 +120,7 @@ class PartEncoder:
         return self._b.encode(text[1:], num_threads=1) if self._whole else self._b.encode("\n" + text, num_threads=1)[2:]
 
     def _encode(self, text: str) -> tuple[list[int], list[int], bool]:
-        a = self._a.encode(text, add_special_tokens=False).ids
+        a = self._ranked(text) if self._ranked else self._a.encode(text, add_special_tokens=False).ids
         b = self._encode_b(text)
         raw = text.encode()
         return a, b, b"".join([self.a_bytes[k] for k in a]) == raw and b"".join([self.b_bytes[k] for k in b]) == raw
@@ -244,84 +271,117 @@ def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.diff(total[ends], prepend=0)
 
 
-_BATCH = "batch long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, groups array<string>, doc_end array<int>, parts array<int>, part_end array<int>, links array<int>, pairs array<long>, times array<long>"
+def _ragged(rows: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of the items of all rows, one after another, where row r's items end before ends[r]; and the number of each row's items."""
+    start = np.concatenate([np.zeros(1, np.int64), ends[:-1]])[rows]
+    n = ends[rows] - start
+    return np.arange(int(n.sum())) + np.repeat(start - (np.cumsum(n) - n), n), n
 
 
-def aligned_batches(docs: DataFrame, a_path: str, b_path: str, digests: bool) -> DataFrame:
-    """One row a batch: its documents, their parts (numbers of distinct parts), these parts' links (numbers of pairs), and the pairs with their links in the batch."""
+class Batch:
+    """Texts as parts: `parts` numbers all parts of all texts, text r's before doc_end[r]; n_a .. links count by distinct part; `pairs` holds these parts' links."""
+
+    def __init__(self, encoder: PartEncoder, texts: list[str | None]):
+        cut = [encoder.cut(t) if t else [] for t in texts]
+        k, good, (n_a, a), (n_b, b) = encoder.encode([p for own in cut for p in own])
+        n = np.array([len(x) for x in cut], np.int64)
+        fine = _sums((~good[k]).astype(np.int64), np.cumsum(n)) == 0
+        self.parts, self.n = k[np.repeat(fine, n)].astype(np.int64), np.where(fine, n, 0)
+        self.doc_end = np.cumsum(self.n)
+        self.a, self.b, self.n_a, self.n_b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)], n_a * good, n_b * good
+        self.__dict__.update(align_parts(self.n_a, self.a, self.n_b, self.b, encoder.a_size, encoder.b_size))
+        self.part_end = np.cumsum(self.links)
+
+    def by_text(self, values: np.ndarray) -> np.ndarray:
+        """Sums by text of a value of each distinct part."""
+        return _sums(values[self.parts], self.doc_end)
+
+    def counted(self) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct pairs of the texts and their numbers of links."""
+        pairs, place = np.unique(self.pairs, return_inverse=True)
+        often = np.repeat(np.bincount(self.parts, minlength=len(self.n_a)), self.links)
+        times = np.bincount(place, weights=often, minlength=len(pairs)).astype(np.int64)
+        return pairs[times > 0], times[times > 0]  # a pair of refused texts alone is none
+
+    def said(self, decimal: pa.Array) -> list[str]:
+        """The groups of each text, written out."""
+        joined = pc.binary_join_element_wise(_lists(decimal.take(pa.array(self.a)), self.cuts_a, ","), _lists(decimal.take(pa.array(self.b)), self.cuts_b, ","), "|")
+        group = _lists(joined, np.cumsum(self.groups), ";").to_pylist()
+        return [";".join([group[p] for p in self.parts[e - m : e].tolist()]) for e, m in zip(self.doc_end.tolist(), self.n.tolist(), strict=True)]
+
+    def rare(self, told: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, pair, times) of the links that are not `told`, by text."""
+        own = np.flatnonzero(_sums((~told).astype(np.int64), self.part_end)[self.parts])
+        place, n = _ragged(self.parts[own], self.part_end)
+        doc = np.repeat(np.searchsorted(self.doc_end, own, side="right"), n)
+        odd = ~told[place]
+        keys, times = np.unique(np.stack([doc[odd], self.pairs[place[odd]]]), axis=1, return_counts=True)
+        return keys[0], keys[1], times
+
+
+def _summed(pairs: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    own, place = np.unique(np.concatenate(pairs), return_inverse=True)
+    return own, np.bincount(place, weights=np.concatenate(times), minlength=len(own)).astype(np.int64)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
 
+def link_counts(docs: DataFrame, a_path: str, b_path: str, held: int = 500_000) -> DataFrame:
+    """(pair, count, best): links of each id pair (a * 65536 + b) over all texts, and whether no pair of its B id has more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(a_path, b_path)
-        decimal = pa.array([str(k) for k in range(1 << 16)], pa.string())
-        key = TaskContext.get().partitionId() << 32
+        pairs, times = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for b in _slices(batches):
-            cut = [encoder.cut(t) if t else [] for t in b.column("text").to_pylist()]
-            k, good, (n_a, a), (n_b, b_ids) = encoder.encode([p for own in cut for p in own])
-            n = np.array([len(x) for x in cut], np.int64)
-            fine = _sums((~good[k]).astype(np.int64), np.cumsum(n)) == 0
-            k, n = k[np.repeat(fine, n)], np.where(fine, n, 0)
-            doc_end = np.cumsum(n)
-            a, b_ids, n_a, n_b = a[np.repeat(good, n_a)], b_ids[np.repeat(good, n_b)], n_a * good, n_b * good
-            got = align_parts(n_a, a, n_b, b_ids, encoder.a_size, encoder.b_size)
-            joined = pc.binary_join_element_wise(_lists(decimal.take(pa.array(a)), got["cuts_a"], ","), _lists(decimal.take(pa.array(b_ids)), got["cuts_b"], ","), "|")
-            group = _lists(joined, np.cumsum(got["groups"]), ";").to_pylist()
-            said = [";".join([group[p] for p in k[e - m : e].tolist()]) for e, m in zip(doc_end.tolist(), n.tolist(), strict=True)]
-            if digests:
-                said = [hashlib.sha256(s.encode()).hexdigest() if s else "" for s in said]
-            pairs, links = np.unique(got["pairs"], return_inverse=True)
-            part_end = np.cumsum(got["links"])
-            times = np.bincount(links, weights=np.repeat(np.bincount(k, minlength=len(good)), got["links"]), minlength=len(pairs)).astype(np.int64)
-            met = times > 0  # a pair of refused texts alone is none
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "batch": pa.array([key], pa.int64()),
-                    "doc_id": pa.array([b.column("doc_id").to_pylist()], pa.list_(pa.int64())),
-                    **{c: pa.array([_sums(v[k], doc_end)], pa.list_(pa.int64())) for c, v in (("n_a", n_a), ("n_b", n_b), ("n_groups", got["groups"]), ("n_links", got["links"]))},
-                    "groups": pa.array([said], pa.list_(pa.string())),
-                    "doc_end": pa.array([doc_end], pa.list_(pa.int32())),
-                    "parts": pa.array([k], pa.list_(pa.int32())),
-                    "part_end": pa.array([part_end], pa.list_(pa.int32())),
-                    "links": pa.array([(np.cumsum(met) - 1)[links] if len(pairs) else links], pa.list_(pa.int32())),
-                    "pairs": pa.array([pairs[met]], pa.list_(pa.int64())),
-                    "times": pa.array([times[met]], pa.list_(pa.int64())),
-                }
-            )
-            key += 1
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _BATCH)
-
-
-def link_counts(batches: DataFrame) -> DataFrame:
-    """(pair, count, best): links of each id pair over all batches, and whether no pair of its B id has more."""
-    counts = batches.select(F.explode(F.arrays_zip("pairs", "times")).alias("p")).groupBy(F.col("p.pairs").alias("pair")).agg(F.sum("p.times").alias("count"), F.count("*").alias("batches"))
-    counts = stash(counts, "pairs")
-    most = counts.groupBy(F.expr("pair & 65535").alias("b")).agg(F.max("count").alias("most"))
-    return counts.join(F.broadcast(most), F.expr("pair & 65535") == F.col("b")).select("pair", "count", (F.col("count") == F.col("most")).alias("best"), "batches")  # at most 65,536 ids of B
+            p, n = Batch(encoder, b.column("text").to_pylist()).counted()
+            pairs, times = [*pairs, p], [*times, n]
+            if sum(map(len, pairs)) > held:
+                own, n = _summed(pairs, times)
+                pairs, times = [own], [n]
+                if 2 * len(own) > held:
+                    yield pa.RecordBatch.from_pydict({"pair": own, "times": n})
+                    pairs, times = [own[:0]], [n[:0]]
+        own, n = _summed(pairs, times)
+        yield pa.RecordBatch.from_pydict({"pair": own, "times": n})
+
+    counts = stash(docs.select("text").mapInArrow(run, "pair long, times long").groupBy("pair").agg(F.sum("times").alias("count")), "pairs")
+    most = counts.groupBy(F.expr("pair & 65535").alias("b")).agg(F.max("count").alias("most"))  # at most 65,536 ids of B
+    return counts.join(F.broadcast(most), F.expr("pair & 65535") == F.col("b")).select("pair", "count", (F.col("count") == F.col("most")).cast("long").alias("best"))
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, digests: bool = False, popular: int = 65_536) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups (`a1,a2|b1;a3|b2,b3`), or its SHA-256 with digests."""
-    batches = stash(aligned_batches(docs, a_path, b_path, digests), "aligned")
-    counts = stash(link_counts(batches), "counts")
-    hot = stash(counts.orderBy(F.col("batches").desc(), "pair").limit(popular), "popular")
-    rest = counts.join(F.broadcast(hot.select("pair")), "pair", "left_anti")
-    asked = batches.select("batch", F.posexplode("pairs").alias("place", "pair"))
-    few = asked.join(F.broadcast(hot.select("pair", "count", "best")), "pair", "left")
-    known = few.where(F.col("count").isNotNull()).unionByName(few.where(F.col("count").isNull()).drop("count", "best").join(rest.select("pair", "count", "best"), "pair"))
-    back = known.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("place", "count", "best"))).alias("known"))
-    rows = batches.drop("pairs", "times").join(back, "batch", "left").select("*", F.col("known.count").alias("count"), F.col("known.best").alias("best")).drop("known")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    counts = stash(link_counts(docs, a_path, b_path), "counts")
+    hot = counts.orderBy(F.col("count").desc(), "pair").limit(popular)
+    known = np.array(sorted(map(tuple, hot.collect())), np.int64).reshape(-1, 3)
     name = "groups_sha256" if digests else "groups"
+    result = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", name]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
-    def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in given:
-            for r in range(b.num_rows):
-                own = lambda c, r=r, b=b: b.column(c).slice(r, 1).flatten()
-                whole = lambda c, own=own: own(c).to_numpy(zero_copy_only=False).astype(np.int64)
-                links, part_end, parts, doc_end = (whole(c) for c in ("links", "part_end", "parts", "doc_end"))
-                sums = {c: _sums(_sums(whole(v)[links] if len(links) else links, part_end)[parts], doc_end) for c, v in (("n_best", "best"), ("count_sum", "count"))}
-                columns = {c: own(c) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")} | {c: pa.array(v, pa.int64()) for c, v in sums.items()}
-                yield pa.RecordBatch.from_pydict(columns | {name: own("groups")})
-
-    return rows.mapInArrow(run, f"doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, {name} string")
+        encoder, decimal = worker_encoder(a_path, b_path), pa.array([str(k) for k in range(1 << 16)], pa.string())
+        row = TaskContext.get().partitionId() << 40
+        for b in _slices(batches):
+            own = Batch(encoder, b.column("text").to_pylist())
+            at = np.minimum(np.searchsorted(known[:, 0], own.pairs), max(len(known) - 1, 0))
+            told = known[at, 0] == own.pairs if len(known) else np.zeros(len(own.pairs), bool)
+            total = lambda c: own.by_text(_sums(known[at, c] * told if len(known) else np.zeros(len(told), np.int64), own.part_end))  # noqa: E731, B023
+            said = own.said(decimal)
+            if digests:
+                said = [hashlib.sha256(s.encode()).hexdigest() if s else "" for s in said]
+            doc, pair, times = own.rare(told) if not told.all() else (np.zeros(0, np.int64),) * 3
+            found = pa.StructArray.from_arrays([pa.array(pair, pa.int64()), pa.array(times, pa.int64())], ["pair", "times"])
+            numbers = {"n_a": own.by_text(own.n_a), "n_b": own.by_text(own.n_b), "n_groups": own.by_text(own.groups), "n_links": own.by_text(own.links), "n_best": total(2), "count_sum": total(1), "row": row + np.arange(b.num_rows)}
+            columns = {"doc_id": b.column("doc_id")} | {c: pa.array(v, pa.int64()) for c, v in numbers.items()} | {name: pa.array(said, pa.string())}
+            columns["rare"] = pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(b.num_rows + 1)), pa.int32()), found)
+            yield pa.RecordBatch.from_pydict(columns)
+            row += b.num_rows
+
+    summed = docs.mapInArrow(run, f"doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, row long, {name} string, rare array<struct<pair:bigint,times:bigint>>")
+    if counts.count() <= popular:
+        return summed.select(*result)
+    summed = stash(summed, "summed")
+    rest = counts.join(F.broadcast(hot.select("pair")), "pair", "left_anti")
+    more = summed.select("row", F.explode("rare").alias("r")).select("row", "r.*").join(rest, "pair").groupBy("row").agg(F.sum(F.col("times") * F.col("count")).alias("_c"), F.sum(F.col("times") * F.col("best")).alias("_b"))
+    whole = summed.join(more, "row", "left")
+    return whole.withColumns({"count_sum": F.col("count_sum") + F.coalesce("_c", F.lit(0)), "n_best": F.col("n_best") + F.coalesce("_b", F.lit(0))}).select(*result)

@@ -133,5 +133,18 @@ def test_query_and_empty_table(spark, tmp_path, encode):
 def test_pair_counts(spark, encode):
     rows = [(k, t) for k, t in enumerate(odd(50, 9))]
     df = spark.createDataFrame([(d, t, 1, "g") for d, t in rows], SCHEMA)
-    got = {r.pair: (r["count"], r.best) for r in token_align.link_counts(token_align.aligned_batches(df, A, B, True)).collect()}
-    assert sum(n for n, _ in got.values()) == sum(r[4] for r in plain(rows, encode))
+    for held in (10, 500_000):
+        got = token_align.link_counts(df, A, B, held).collect()
+        assert sum(r["count"] for r in got) == sum(r[4] for r in plain(rows, encode))
+        for k in {r.pair & 65535 for r in got}:
+            own = [r for r in got if r.pair & 65535 == k]
+            assert {r.best for r in own if r["count"] == max(x["count"] for x in own)} == {1} and sum(r.best for r in own) == sum(r["count"] == max(x["count"] for x in own) for r in own)
+
+
+def test_ranks_give_the_same_ids():
+    """The faster encoder of A is in use, and equals the tokenizer on odd texts and on long words."""
+    e = token_align.PartEncoder(A, B)
+    assert e._ranked
+    rng = random.Random(4)
+    texts = [" " + t for t in odd(2000, 7)] + ["".join(rng.choice("etaoinshrdlu") for _ in range(3000))]
+    assert [e._ranked(t) for t in texts] == [x.ids for x in e._a.encode_batch(texts, add_special_tokens=False)]
