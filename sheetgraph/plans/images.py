@@ -15,6 +15,7 @@ from sheetgraph.plans.stages import stash
 from sheetgraph.sources import derived as d
 from sheetgraph.sources import images as im
 from sheetgraph.sources import payload as p
+from sheetgraph.sources import png as codec
 
 KEY = ["sheet_id"]
 
@@ -29,6 +30,27 @@ def s05(spark, sf):
     return p.png_sizes(files.withColumn("path", F.col("sheet_id").cast("string"))).select(F.col("path").cast("long").alias("sheet_id"), "width", "height")
 
 
+@query("s06_decoded_files", f", {im.PIXELS} select sheet_id, 300 as height, 400 as width, sheet_id % 3 <> 2 as gray, count(*) as ink from px group by sheet_id")
+def s06(spark, sf):
+    """The sheets as files of three kinds (1 bit gray, gray with alpha, palette or colour), read again: size and ink."""
+
+    def file(row):
+        p = r.pixels(row)
+        mask = r.ink(r.gray(p)).astype(np.uint8)
+        kind = row["sheet_id"] % 3
+        if kind == 0:
+            content = codec.encode(1 - mask, codec.GRAY, 1)
+        elif kind == 1:
+            content = codec.encode(np.dstack([np.zeros_like(mask), 255 * mask]), codec.GRAY_ALPHA, 8, laced=True)
+        else:
+            content = codec.encode(p, codec.RGB, 8)
+        return [{"path": str(row["sheet_id"]), "content": content}]
+
+    files = im.decoded(r.image_stage(file, "path string, content binary")(im.drawn(spark, sf)))
+    read = files.where("error is null").withColumn("sheet_id", F.col("path").cast("long"))
+    return r.image_stage(lambda row: [{c: row[c] for c in ("sheet_id", "height", "width", "gray")} | {"ink": int(r.ink(r.gray(r.pixels(row))).sum())}], "sheet_id long, height int, width int, gray boolean, ink long")(read)
+
+
 @query("s07_class_names", "select sheet_id, symbol_id, case symbol_id % 3 when 0 then 'Gate_Valve' when 1 then 'Reducer' end as class from symbols")
 def s07(spark, sf):
     names = p.class_names("path: data\nnames:\n  0: Gate_Valve  # a valve\n  1: 'Reducer'\nother: 5\n")

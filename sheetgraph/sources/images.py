@@ -4,31 +4,73 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheetgraph.sources import derived as d
+from sheetgraph.sources import png as codec
 
 #: Pixels of a drawn sheet to one of its own.
 SCALE = 10
 IMAGE = "sheet_id long, height int, width int, pixels binary"
 
 
+FILE = "path string, height int, width int, gray boolean, pixels binary, error string"
+
+
 def read_images(spark: SparkSession, path: str) -> DataFrame:
-    """path, height, width and RGB pixels of image files of three channels; unreadable files are left out."""
-    i = spark.read.format("image").option("dropInvalid", True).load(path).select("image.*").where("nChannels = 3")
-    turn = F.udf(lambda data: np.frombuffer(bytes(data), np.uint8).reshape(-1, 3)[:, ::-1].tobytes(), "binary", useArrow=True)  # the source gives blue first
-    return i.select(F.col("origin").alias("path"), "height", "width", turn("data").alias("pixels"))
+    """path, height, width, gray, RGB pixels and error of PNG files of any kind.
+
+    A file that can't be read is a row with an error and no pixels. Formats of other libraries come through
+    other_images().
+    """
+    return decoded(spark.read.format("binaryFile").load(path))
+
+
+def decoded(files: DataFrame) -> DataFrame:
+    """The same of rows (path, content); one image at a time is held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(b.num_rows):
+                try:
+                    p, error = codec.decode(b.column("content")[k].as_py() or b""), None
+                except (ValueError, zlib.error, struct.error) as e:
+                    p, error = None, str(e)
+                own = {"path": b.column("path").slice(k, 1), "height": None if p is None else p.shape[0], "width": None if p is None else p.shape[1], "gray": None if p is None else p.ndim == 2}
+                own["pixels"] = None if p is None else (np.repeat(p[..., None], 3, axis=2) if p.ndim == 2 else p).tobytes()
+                kinds = {"height": pa.int32(), "width": pa.int32(), "gray": pa.bool_(), "pixels": pa.binary()}
+                yield pa.RecordBatch.from_pydict({c: v if c == "path" else pa.array([v], kinds[c]) for c, v in own.items()} | {"error": pa.array([error], pa.string())})
+
+    return files.select("path", "content").mapInArrow(run, FILE)
+
+
+def other_images(spark: SparkSession, path: str) -> DataFrame:
+    """The same columns of files that Spark's image source reads (JPEG, BMP, GIF), of one, three or four channels."""
+    i = spark.read.format("image").load(path).select("image.*")
+
+    def turned(data: bytes, channels: int) -> bytes | None:
+        if channels not in (1, 3, 4):
+            return None
+        p = np.frombuffer(bytes(data), np.uint8).reshape(-1, channels)
+        if channels == 4:  # blue, green, red, alpha
+            a = p[:, 3:].astype(np.uint32)
+            p = ((p[:, :3] * a + 255 * (255 - a) + 127) // 255).astype(np.uint8)
+        return (np.repeat(p, 3, axis=1) if channels == 1 else p[:, 2::-1]).tobytes()
+
+    turn = F.udf(turned, "binary", useArrow=True)
+    good = F.col("nChannels") > 0
+    return i.select(F.col("origin").alias("path"), *[F.when(good, F.col(c)).alias(c) for c in ("height", "width")], F.when(good, F.col("nChannels") == 1).alias("gray"), F.when(good, turn("data", "nChannels")).alias("pixels"), F.when(~good, F.lit("not an image that Spark reads")).alias("error"))
 
 
 def png(rgb: np.ndarray) -> bytes:
     """An image as a PNG file."""
-    part = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
-    rows = np.concatenate([np.zeros((len(rgb), 1), np.uint8), rgb.reshape(len(rgb), -1)], axis=1)
-    return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", struct.pack(">IIBBBBB", rgb.shape[1], rgb.shape[0], 8, 2, 0, 0, 0)) + part(b"IDAT", zlib.compress(rows.tobytes(), 1)) + part(b"IEND", b"")
+    return codec.encode(rgb, filters=0, level=1)
 
 
 def drawn(spark: SparkSession, sf_dir: str) -> DataFrame:
