@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sheetgraph.functions import geometry as g
 from sheetgraph.operators import lines as ln
 from sheetgraph.operators import raster as r
+from sheetgraph.operators import tiles as tl
 from sheetgraph.operators.spatial import box_join, islands
 from sheetgraph.plans.registry import query
 from sheetgraph.plans.stages import stash
@@ -108,14 +109,62 @@ def m06(spark, sf):
     return _each(spark, sf, lambda row: {"red": int(r.red(r.pixels(row)).sum())}, "red long")
 
 
-@query("m07_supported_gaps")
-def m07(spark, sf):
-    return r.evidence(im.drawn(spark, sf), _gaps(spark, sf), im.SCALE)
+FULL = tl.Grid(d.HEIGHT, d.WIDTH, 512, 32)
+
+
+def full(spark, sf):
+    """Tiles of the sheets at full size."""
+    return im.drawn_tiles(im.strokes(spark, sf), FULL)
+
+
+@query("m06_layers", f", {im.PIXELS}, near_ as (select distinct sheet_id, x, y + j as y from (select sheet_id, x, y, unnest([-1, 0, 1]) as j from (select sheet_id, x + i as x, y from (select sheet_id, x, y, unnest([-1, 0, 1]) as i from px where red)))) select p.sheet_id, count(*) filter (not red and n.x is null) as black, count(*) filter (red) as red from px p left join near_ n on n.sheet_id = p.sheet_id and n.x = p.x and n.y = p.y group by p.sheet_id")
+def m06_layers(spark, sf):
+    """Ink of the black layer, from which red and what is beside it is erased, and of the red one."""
+    grid = tl.Grid(d.HEIGHT // im.SCALE, d.WIDTH // im.SCALE, 128, 24)
+    both = tl.split_layers(tl.cut(im.drawn(spark, sf), grid.size, grid.overlap), grid)
+    ink = r.image_stage(lambda t: [{"sheet_id": t["sheet_id"], "layer": t["layer"], "n": int(r.ink(r.gray(r.pixels(t)[tl.owned(grid, t)])).sum())}], "sheet_id long, layer string, n long")(both)
+    return ink.groupBy("sheet_id").agg(*[F.sum(F.when(F.col("layer") == c, F.col("n")).otherwise(0)).alias(c) for c in ("black", "red")])
+
+
+@query("m06_components")
+def m06_components(spark, sf):
+    """The red parts of sheets of full size, joined over the edges of tiles."""
+    return tl.components(full(spark, sf), FULL)
+
+
+@query("m12_tiles", f", {im.PIXELS} select sheet_id, count(*) as ink, count(*) filter (red) as red from px group by sheet_id")
+def m12(spark, sf):
+    """Ink and red of the tiles of images, each pixel in the one that owns it."""
+    grid = tl.Grid(d.HEIGHT // im.SCALE, d.WIDTH // im.SCALE, 128, 24)
+    return tl.measured(tl.cut(im.drawn(spark, sf), grid.size, grid.overlap), grid, lambda p: {"ink": int(r.ink(r.gray(p)).sum()), "red": int(r.red(p).sum())}, "ink long, red long")
 
 
-def _gaps(spark, sf):
-    """Between each segment's end and 200 pixels on."""
-    return d.segments(spark, sf).select("sheet_id", F.col("line_ix").alias("span_id"), "axis", F.col("pos").alias("level"), F.col("hi").alias("lo"), (F.col("hi") + 200).alias("hi"))
+@query("m12_full_tiles", f", {im.FULL} select sheet_id, count(*) as ink, count(*) filter (red) as red from fx group by sheet_id")
+def m12_full(spark, sf):
+    """The same of sheets at full size, which are drawn tile by tile."""
+    return tl.measured(full(spark, sf), FULL, lambda p: {"ink": int(r.ink(r.gray(p)).sum()), "red": int(r.red(p).sum())}, "ink long, red long")
+
+
+#: Share of a stub or bridge that has to be inked. At the operator's default of 0.004, the ink of the ends that a short span joins is enough.
+INKED = 0.5
+
+
+def _evidence(share):
+    """SQL of the evidence of the spans sp(sheet_id, span_id, axis, level, lo, hi) over the pixels fx: said(sheet_id, span_id, evidence)."""
+    return f"""cl as (select *, greatest(lo, 0) as a, least(hi, case when axis='h' then {d.WIDTH} else {d.HEIGHT} end) as b, case when axis='h' then {d.HEIGHT} else {d.WIDTH} end as most from sp),
+bands as (select sheet_id, span_id, axis, a, b, unnest(range(greatest(0, level-5), least(most, level+6))) as r from cl where b > a),
+around as (select *, unnest([r-1, r, r+1]) as q from bands), part as (select *, unnest(range((a-1)//64, b//64+1)) as bucket from around),
+sides as (select sheet_id, 'h' as axis, y as q, x as c, x//64 as bucket from fx union all select sheet_id, 'v', x, y, y//64 from fx),
+met as (select sheet_id, span_id, r, a, b, unnest([c-1, c, c+1]) as c from part join sides using (sheet_id, axis, q, bucket) where c between a-1 and b),
+best as (select sheet_id, span_id, max(n) as n from (select sheet_id, span_id, r, count(distinct c) as n from met where c >= a and c < b group by all) group by all),
+said as (select sheet_id, span_id, case when hi <= lo then true when b > a then coalesce(n * 1.0 / (b - a) >= {share}, false) else false end as evidence from cl left join best using (sheet_id, span_id))"""
+
+
+@query("m07_supported_gaps", f", {im.FULL}, sp as (select sheet_id, line_ix as span_id, axis, pos as level, lo - 18 as lo, lo - 2 as hi from segments), {_evidence(0.004)} select * from said")
+def m07(spark, sf):
+    """Ink before each segment's start, from 18 to 2 pixels away, in sheets of full size."""
+    gaps = d.segments(spark, sf).select("sheet_id", F.col("line_ix").alias("span_id"), "axis", F.col("pos").alias("level"), (F.col("lo") - 18).alias("lo"), (F.col("lo") - 2).alias("hi"))
+    return tl.evidence(full(spark, sf), gaps, FULL)
 
 
 @query("ag18_background", f", {im.PIXELS} select distinct sheet_id, 255 as background from px")
@@ -126,22 +175,28 @@ def ag18_pixels(spark, sf):
 @query("l05_line_types")
 def l05(spark, sf):
     """dashed of every segment, from the ink under it: segments of a level, parted where nothing spans a break, share a profile."""
-    s = d.segments(spark, sf).select("sheet_id", "line_ix", "axis", F.floor(F.col("pos") / im.SCALE).alias("at"), F.floor(F.col("lo") / im.SCALE).alias("lo"), F.floor(F.col("hi") / im.SCALE).alias("hi"))
-    return classified(s, im.drawn(spark, sf), d.WIDTH / im.SCALE).select("sheet_id", "line_ix", "dashed", "dash", "gap")
+    s = im.ruled(spark, sf)
+    drawn = im.drawn_tiles(s, FULL)
+    told = classified(s.withColumnRenamed("pos", "at").drop("dash", "gap"), None, d.WIDTH, lambda spans, band: tl.profiles(drawn, spans, FULL, band))
+    return told.select("sheet_id", "line_ix", "dashed", "dash", "gap")
 
 
 #: The width at which the pixel thresholds hold; they scale with a sheet's width, down to one pixel.
 REFERENCE_WIDTH = 3916
 
 
-def classified(segments, images, width):
-    """segments (line_ix, axis h or v or null, at, lo, hi) with dashed, dash and gap; sloped ones stay solid."""
+def classified(segments, images, width, profiles=None):
+    """segments (line_ix, axis h or v or null, at, lo, hi) with dashed, dash and gap; sloped ones stay solid.
+
+    profiles(spans, band) gives the stroke runs of spans; without it, whole images are read.
+    """
+    profiles = profiles or (lambda spans, band: r.profiles(images, spans, band))
     scale = lambda v: max(1, round(v * width / REFERENCE_WIDTH))
     flat = segments.where("axis is not null").withColumn("level", F.bround(F.col("at") / scale(2)))
     lined = islands(flat, [*KEY, "axis", "level"], "lo", "hi", scale(40), ties=["line_ix"])
     group = [*KEY, "axis", "level", "island"]
     spans = lined.groupBy(*group).agg(F.min("line_ix").alias("span_id"), F.bround(F.avg("at")).cast("long").alias("row"), F.floor(F.min("lo")).alias("first"), F.ceil(F.max("hi")).alias("last")).where("last - first >= 2")
-    runs = r.profiles(images, spans.select(*KEY, "span_id", "axis", F.col("row").alias("level"), F.col("first").alias("lo"), F.col("last").alias("hi")), scale(3))
+    runs = stash(profiles(spans.select(*KEY, "span_id", "axis", F.col("row").alias("level"), F.col("first").alias("lo"), F.col("last").alias("hi")), scale(3)), "runs")
     of = [*KEY, "span_id"]
     blank = scale(25)
     part = F.sum(F.when((~F.col("ink")) & (F.col("length") > blank), 1).otherwise(0)).over(Window.partitionBy(*of).orderBy("first"))
@@ -155,7 +210,8 @@ def classified(segments, images, width):
 
 @query("l04_chained_lines")
 def l04(spark, sf):
-    return chained(d.lines(spark, sf), im.drawn(spark, sf), im.SCALE)
+    drawn = stash(full(spark, sf), "tiles")
+    return chained(d.lines(spark, sf), None, 1, evidence=lambda spans: tl.evidence(drawn, spans, FULL, share=INKED))
 
 
 def _merged(pieces, across, gap):
@@ -172,14 +228,19 @@ def _numbered(df, *order):
     return df.withColumn("span_id", F.row_number().over(Window.partitionBy(*KEY).orderBy(*order)).cast("long"))
 
 
-def chained(lines, images, scale, degrees=6.0, across=25.0, gap=100.0, bridge=600.0, crossings=2, corner=160.0, least=12.0):
-    """Runs (axis, level, lo, hi): near-axis lines, merged, bridged over gaps with ink and few crossings, closed at corners, merged again."""
+def chained(lines, images, scale, degrees=6.0, across=25.0, gap=100.0, bridge=600.0, crossings=2, corner=160.0, least=12.0, evidence=None):
+    """Runs (axis, level, lo, hi): near-axis lines, merged, bridged over gaps with ink and few crossings, closed at corners, merged again.
+
+    evidence(spans) tells whether spans hold ink; without it, whole images at a `scale`-th of the size are read.
+    """
     s = lines.withColumn("s", g.snapped(g.box(), degrees)).where("s is not null").select("sheet_id", "s.*")
-    images = stash(images, "images")
+    if evidence is None:
+        images = stash(images, "images")
+        evidence = lambda spans: r.evidence(images, spans, scale)
     runs = stash(_numbered(_merged(s, across, gap), "axis", "level", "lo", "hi"), "runs")
     w = Window.partitionBy(*KEY, "axis", "level").orderBy("lo", "hi")
     gaps = runs.withColumn("_to", F.lag("hi").over(w)).where("lo > _to").select(*KEY, "span_id", "axis", "level", F.col("_to").alias("lo"), F.col("lo").alias("hi")).where(F.col("hi") - F.col("lo") <= bridge)
-    inked = r.evidence(images, gaps, scale)
+    inked = evidence(gaps)
     met = None
     for axis in "hv":
         own = gaps.where(F.col("axis") == axis).withColumnRenamed("span_id", "gap_id")
@@ -189,7 +250,7 @@ def chained(lines, images, scale, degrees=6.0, across=25.0, gap=100.0, bridge=60
     bridged = ln.bridged(pieces, [*KEY, "axis", "level"], bridge, crossings).select(*KEY, "axis", "level", F.col("lo").cast("long").alias("lo"), F.col("hi").cast("long").alias("hi"))
     bridged = stash(bridged, "bridged")
     stubs = stash(corner_stubs(bridged, corner), "stubs")
-    seen = stubs.join(r.evidence(images, stubs, scale), [*KEY, "span_id"]).where("evidence").select(*KEY, "axis", "level", "lo", "hi")
+    seen = stubs.join(evidence(stubs), [*KEY, "span_id"]).where("evidence").select(*KEY, "axis", "level", "lo", "hi")
     return _merged(bridged.unionByName(seen), across, gap).where(F.col("hi") - F.col("lo") >= least)
 
 
@@ -204,9 +265,10 @@ def corner_stubs(runs, reach):
     return _numbered(both, "axis", "level", "lo", "hi")
 
 
-@query("j20_closed_corners")
+@query("j20_closed_corners", f""", {im.FULL}, ends as (select sheet_id, axis, pos, unnest([lo, hi]) as at_ from segments), near_ as (select h.sheet_id, h.at_ as hx, h.pos as hy, v.pos as vx, v.at_ as vy from ends h join ends v on h.sheet_id=v.sheet_id and h.axis='h' and v.axis='v' and abs(h.at_-v.pos)<=40 and abs(h.pos-v.at_)<=40 and h.at_<>v.pos),
+stub as (select distinct * from (select sheet_id, 'h' as axis, hy as level, least(hx,vx) as lo, greatest(hx,vx) as hi from near_ union all select sheet_id, 'v', vx, least(hy,vy), greatest(hy,vy) from near_)), sp as (select *, row_number() over (partition by sheet_id order by axis, level, lo, hi) as span_id from stub), {_evidence(INKED)} select sheet_id, axis, level, lo, hi, evidence from sp join said using (sheet_id, span_id)""")
 def j20(spark, sf):
-    """Corners within 160 pixels whose stub has ink."""
+    """The stubs of corners within 40 pixels, and whether sheets of full size hold ink there."""
     runs = d.segments(spark, sf).select("sheet_id", "axis", F.col("pos").alias("level"), "lo", "hi")
-    stubs = corner_stubs(runs, 160.0)
-    return stubs.join(r.evidence(im.drawn(spark, sf), stubs, im.SCALE), [*KEY, "span_id"]).where("evidence").select("sheet_id", "axis", "level", "lo", "hi")
+    stubs = stash(corner_stubs(runs, 40.0), "stubs")
+    return stubs.join(tl.evidence(full(spark, sf), stubs, FULL, share=INKED), [*KEY, "span_id"]).select("sheet_id", "axis", "level", "lo", "hi", "evidence")

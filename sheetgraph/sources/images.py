@@ -9,9 +9,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sheetgraph.operators import tiles
 from sheetgraph.sources import derived as d
 from sheetgraph.sources import png as codec
 
@@ -91,6 +92,63 @@ def drawn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.segments(spark, sf_dir).select("sheet_id", "line_ix", "axis", "pos", "lo", "hi", "line_type").groupBy("sheet_id").applyInPandas(draw, IMAGE)
 
 
-#: The same pixels in SQL: px(sheet_id, x, y, red).
+#: Dashed strokes of a full-size sheet: pixels on and off.
+DASH, GAP = 40, 16
+
+
+def strokes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived segments as strokes one pixel wide (sheet_id, axis, pos, lo, hi, red, dash, gap, base); dashes are counted from base."""
+    dashed = F.col("line_type") == "dashed"
+    return d.segments(spark, sf_dir).select("sheet_id", "axis", "pos", "lo", "hi", (F.col("line_ix") % 3 == 0).alias("red"), F.when(dashed, DASH).alias("dash"), F.when(dashed, GAP).alias("gap"), F.lit(0).cast("long").alias("base"))
+
+
+def drawn_tiles(strokes: DataFrame, grid: tiles.Grid) -> DataFrame:
+    """Strokes drawn at full size, tile by tile: no task holds a sheet. Red lies over black; tiles without a stroke have no row."""
+    h = F.col("axis") == "h"
+    x = grid.seers(F.when(h, F.col("lo")).otherwise(F.col("pos")), F.when(h, F.col("hi") - 1).otherwise(F.col("pos")), grid.width)
+    y = grid.seers(F.when(h, F.col("pos")).otherwise(F.col("lo")), F.when(h, F.col("pos")).otherwise(F.col("hi") - 1), grid.height)
+    within = F.when(h, (F.col("pos") >= 0) & (F.col("pos") < grid.height) & (F.col("lo") < grid.width)).otherwise((F.col("pos") >= 0) & (F.col("pos") < grid.width) & (F.col("lo") < grid.height)) & (F.col("hi") > F.greatest("lo", F.lit(0)))
+
+    def draw(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
+        sheet, tx, ty = key
+        left, top = grid.start(tx, grid.width), grid.start(ty, grid.height)
+        rgb = np.full((min(grid.size, grid.height), min(grid.size, grid.width), 3), 255, np.uint8)
+        own = own.sort_values("red", kind="stable")
+        for axis, pos, lo, hi, is_red, dash, gap, base in zip(*[own[c] for c in ("axis", "pos", "lo", "hi", "red", "dash", "gap", "base")], strict=True):
+            image, across, along = (rgb, top, left) if axis == "h" else (rgb.transpose(1, 0, 2), left, top)
+            if not 0 <= pos - across < image.shape[0]:
+                continue
+            at = np.arange(max(lo - along, 0), min(hi - along, image.shape[1]))
+            if not np.isnan(dash):
+                at = at[(at + along - base) % int(dash + gap) < int(dash)]
+            image[pos - across, at] = (220, 30, 30) if is_red else (0, 0, 0)
+        return pd.DataFrame({"sheet_id": [sheet], "tx": [tx], "ty": [ty], "x": [left], "y": [top], "height": [rgb.shape[0]], "width": [rgb.shape[1]], "pixels": [rgb.tobytes()]})
+
+    placed = strokes.where(within).withColumn("tx", F.explode(x)).withColumn("ty", F.explode(y))
+    return placed.groupBy("sheet_id", "tx", "ty").applyInPandas(draw, tiles.TILE)
+
+
+def ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived segments, each in a lane of its own (ten pixels from the next, cut to 440): what crosses or covers nothing else can be told by its rhythm alone.
+
+    Horizontal ones fill the left half of a sheet, vertical ones the right; dashes are 8 on and 5 off, from the segment's start.
+    """
+    s = d.segments(spark, sf_dir)
+    n = F.row_number().over(Window.partitionBy("sheet_id", "axis").orderBy("line_ix")) - 1
+    lanes = F.when(F.col("axis") == "h", 299).otherwise(199)
+    placed = s.withColumn("_n", n).withColumns({"_l": F.col("_n") % lanes, "_c": F.floor(F.col("_n") / lanes)})
+    start = (F.col("_c") * 500 + 4).cast("long")
+    length = F.least(F.col("hi") - F.col("lo"), F.lit(440))
+    pos = (10 * F.col("_l") + F.when(F.col("axis") == "h", 5).otherwise(2005)).cast("long")
+    dashed = F.col("line_type") == "dashed"
+    return placed.select("sheet_id", "line_ix", "axis", pos.alias("pos"), start.alias("lo"), (start + length).alias("hi"), "line_type", F.lit(False).alias("red"), F.when(dashed, 8).alias("dash"), F.when(dashed, 5).alias("gap"), start.alias("base"))
+
+
+#: The pixels of full-size sheets in SQL: fx(sheet_id, x, y, red).
+FULL = f"""fx as (select sheet_id, x, y, bool_or(red) as red from (select sheet_id, line_ix % 3 = 0 as red, case when axis='h' then k else pos end as x, case when axis='h' then pos else k end as y, line_type, k from (select *, unnest(range(lo, hi)) as k from segments))
+ where (line_type <> 'dashed' or k % {DASH + GAP} < {DASH}) and x between 0 and {d.WIDTH - 1} and y between 0 and {d.HEIGHT - 1} group by sheet_id, x, y)"""
+
+
+#: The pixels of drawn() in SQL: px(sheet_id, x, y, red).
 PIXELS = """px as (select sheet_id, x, y, bool_or(red) as red from (select sheet_id, line_ix % 3 = 0 as red, case when axis='h' then k else cast(floor(pos/10.0) as bigint) end as x, case when axis='h' then cast(floor(pos/10.0) as bigint) else k end as y, line_type, k from (select *, unnest(range(lo // 10, hi // 10)) as k from segments))
  where (line_type <> 'dashed' or k % 10 < 6) and x between 0 and 399 and y between 0 and 299 group by sheet_id, x, y)"""
