@@ -300,3 +300,19 @@ def grown(runs: DataFrame, entries: DataFrame, fraction: float) -> DataFrame:
         return got
 
     return rows.groupBy(*KEY).applyInPandas(pick, "sheet_id long, axis string, run_id long")
+
+
+def scattered(runs: DataFrame, key: list[str], item: list[str], fraction: float, seed: int) -> DataFrame:
+    """floor(n * fraction) of the n rows of each key: those of least hash of the seed and `item` (then of least item).
+
+    Rows are counted by the first bits of their hash. Whole buckets below the limit are taken, and only
+    the bucket in which it falls is put in order, so no task holds all rows of a key.
+    """
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in item]))
+    rows = runs.withColumn("_h", digest).withColumn("_b", F.conv(F.substring("_h", 1, 3), 16, 10).cast("int"))
+    by = Window.partitionBy(*key)
+    counts = rows.groupBy(*key, "_b").agg(F.count("*").alias("_n"))
+    counts = counts.withColumns({"_upto": F.sum("_n").over(by.orderBy("_b")), "_k": F.floor(F.sum("_n").over(by) * F.lit(fraction))}).where(F.col("_upto") - F.col("_n") < F.col("_k"))
+    near = rows.join(counts, [*key, "_b"])
+    last = near.where("_upto > _k").withColumn("_r", F.row_number().over(Window.partitionBy(*key, "_b").orderBy("_h", *item))).where("_r <= _k - (_upto - _n)")
+    return near.where("_upto <= _k").unionByName(last.drop("_r")).select(*runs.columns)

@@ -225,6 +225,12 @@ def gr09(spark, sf):
     return gr.published_sources(temp)
 
 
+@query("gr09_published_of_carried")
+def gr09_carried(spark, sf):
+    """The sources that the propagation of flow leaves, from what it carried."""
+    return gr.published_sources(propagated(spark, sf)[0])
+
+
 @query("gr10_connected_assets")
 def gr10(spark, sf):
     temp, edges, assets, sources = propagated(spark, sf)
@@ -250,14 +256,6 @@ def gr15(spark, sf):
     return gr.reach_within(p.select("sheet_id", F.col("a_id").alias("a"), F.col("b_id").alias("b")), point("symbol_id % 4 = 0"), point("symbol_id % 60 = 0"), 2)
 
 
-@query("gr16_region_pick", "select sheet_id, symbol_id from symbols qualify (x1+x2)/2.0 > median((x1+x2)/2.0) over (partition by sheet_id) and (y1+y2)/2.0 > median((y1+y2)/2.0) over (partition by sheet_id)")
-def gr16(spark, sf):
-    s = d.symbols(spark, sf)
-    cx, cy = g.centre(g.box())
-    m = s.groupBy("sheet_id").agg(F.median(cx).alias("mx"), F.median(cy).alias("my"))
-    return s.join(m, "sheet_id").where((cx > F.col("mx")) & (cy > F.col("my"))).select("sheet_id", "symbol_id")
-
-
 @query("gr18_display_edges", f"{_EDGES} select sheet_id, a, b from two join (select sheet_id, 's-' || symbol_id as a from symbols where starts_with(label,'Equipment/') or starts_with(label,'Instrument/')) using (sheet_id, a)")
 def gr18(spark, sf):
     shown = d.symbols(spark, sf).where(t.starts_with_any(F.col("label"), ("Equipment/", "Instrument/"))).select("sheet_id", t.node_id("s", F.col("symbol_id")).alias("a"))

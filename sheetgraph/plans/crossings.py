@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sheetgraph.operators import crossing as x
@@ -9,6 +10,7 @@ from sheetgraph.operators import lines as ln
 from sheetgraph.operators.components import connected_components
 from sheetgraph.operators.spatial import islands
 from sheetgraph.plans.registry import query
+from sheetgraph.plans.stages import stash
 from sheetgraph.sources import derived as d
 
 KEY = ["sheet_id"]
@@ -108,18 +110,54 @@ def j10(spark, sf):
     return x.contacts(raw_runs(spark, sf), d.symbols(spark, sf), KEY, 3.0, 9.0).select("sheet_id", "axis", F.col("run_id").alias("line_ix"), "symbol_id", "at")
 
 
-@query("w01_chained_points", f"select sheet_id, h_id, x, nx as next_x, nx - x as length from (select *, lead(x) over (partition by sheet_id, h_id order by x, v_id) as nx from ({_CROSS})) where nx is not null")
+_ENTRIES = f"""{_RUNS}, met as (select h.sheet_id, h.run_id as h_id, v.run_id as v_id, v.pos as x, h.pos as y from runs h join runs v on h.sheet_id=v.sheet_id and h.axis='h' and v.axis='v'
+where v.pos between h.lo - case when (v.pos<h.lo or v.pos>h.hi) and (h.pos<v.lo or h.pos>v.hi) then 20 else 4 end and h.hi + case when (v.pos<h.lo or v.pos>h.hi) and (h.pos<v.lo or h.pos>v.hi) then 20 else 4 end
+and h.pos between v.lo - case when (v.pos<h.lo or v.pos>h.hi) and (h.pos<v.lo or h.pos>v.hi) then 20 else 4 end and v.hi + case when (v.pos<h.lo or v.pos>h.hi) and (h.pos<v.lo or h.pos>v.hi) then 20 else 4 end),
+ent as (select sheet_id, 'h' as axis, h_id as run_id, x as at_, v_id as point_id from met union all select sheet_id, 'v', v_id, y, h_id from met)"""
+
+
+def run_entries(spark, sf):
+    """Where the runs of a sheet cross, as an entry of each of the two: (axis, run_id, at, point_id), points named by the other run."""
+    runs = stitched(spark, sf)
+    c = stash(x.crossings(runs.where("axis = 'h'"), runs.where("axis = 'v'"), KEY, 4.0, 20.0), "crossings")
+    side = lambda axis, run, at, other: c.select("sheet_id", F.lit(axis).alias("axis"), F.col(run).alias("run_id"), F.col(at).alias("at"), F.col(other).alias("point_id"))
+    return side("h", "h_id", "x", "v_id").unionByName(side("v", "v_id", "y", "h_id"))
+
+
+@query("w01_chained_points", f"{_ENTRIES} select sheet_id, axis, run_id, round(at_, 6) as at, round(nx, 6) as next_at, round(nx - at_, 6) as length from (select *, lead(at_) over (partition by sheet_id, axis, run_id order by at_, point_id) as nx from ent) where nx is not null")
 def w01(spark, sf):
-    c = raw_crossings(spark, sf)
-    e = c.select("sheet_id", F.lit("h").alias("axis"), F.col("h_id").alias("run_id"), F.col("x").alias("at"), F.col("v_id").alias("point_id"))
-    at = e.select("sheet_id", "run_id", F.col("point_id").alias("a"), F.col("at").alias("x"))
-    out = x.chain(e).join(at, ["sheet_id", "run_id", "a"])
-    return out.select("sheet_id", F.col("run_id").alias("h_id"), F.col("x").cast("long").alias("x"), (F.col("x") + F.col("length")).cast("long").alias("next_x"), F.col("length").cast("long").alias("length"))
+    """Neighbouring crossings along each stitched run, of both axes."""
+    e = run_entries(spark, sf)
+    at = e.select("sheet_id", "axis", "run_id", F.col("point_id").alias("a"), "at")
+    out = x.chain(e).join(at, ["sheet_id", "axis", "run_id", "a"])
+    return out.select("sheet_id", "axis", "run_id", F.round("at", 6).alias("at"), F.round(F.col("at") + F.col("length"), 6).alias("next_at"), F.round("length", 6).alias("length"))
 
 
-@query("ag15_run_support", f"select sheet_id, h_id, count(*) as entries from ({_CROSS}) group by sheet_id, h_id having count(*) >= 2")
+@query("ag15_run_support", f"{_ENTRIES} select sheet_id, axis, run_id, count(*) as entries from ent group by all having count(*) >= 2")
 def ag15(spark, sf):
-    return raw_crossings(spark, sf).groupBy("sheet_id", "h_id").agg(F.count("*").alias("entries")).where("entries >= 2")
+    return run_entries(spark, sf).groupBy("sheet_id", "axis", "run_id").agg(F.count("*").alias("entries")).where("entries >= 2")
+
+
+@query("f05_unboxed_solid", f", {_BOXED} select s.sheet_id, s.line_ix, row_number() over (partition by s.sheet_id order by s.line_ix) - 1 as new_ix from segments s left join boxed b using (sheet_id, line_ix) where b.line_ix is null and s.line_type <> 'dashed'")
+def f05(spark, sf):
+    """Segments that go into the graph, neither boxed nor dashed, numbered anew."""
+    kept = ln.mark_boxed(straight(spark, sf), boxes(spark, sf), KEY).where("not boxed and line_type <> 'dashed'")
+    return kept.select("sheet_id", "line_ix", (F.row_number().over(Window.partitionBy("sheet_id").orderBy("line_ix")) - 1).alias("new_ix"))
+
+
+@query("gr16_region_pick", f"{_RUNS}, mid as (select sheet_id, axis, run_id, case when axis='v' then pos else (lo+hi)/2.0 end as x, case when axis='h' then pos else (lo+hi)/2.0 end as y from runs) select sheet_id, axis, run_id from mid qualify x > median(x) over (partition by sheet_id) and y > median(y) over (partition by sheet_id)")
+def gr16(spark, sf):
+    """The runs whose middle lies right of and below the median of their sheet."""
+    mid, v = (F.col("lo") + F.col("hi")) / 2, F.col("axis") == "v"
+    r = stitched(spark, sf).select("sheet_id", "axis", "run_id", F.when(v, F.col("pos")).otherwise(mid).alias("x"), F.when(v, mid).otherwise(F.col("pos")).alias("y"))
+    m = r.groupBy("sheet_id").agg(F.median("x").alias("mx"), F.median("y").alias("my"))
+    return r.join(m, "sheet_id").where("x > mx and y > my").select("sheet_id", "axis", "run_id")
+
+
+@query("gr16_scattered", f"{_RUNS} select sheet_id, axis, run_id from runs qualify row_number() over (partition by sheet_id order by md5(concat('7:', axis, ':', run_id)), axis, run_id) <= floor(count(*) over (partition by sheet_id) * 0.2)")
+def gr16_scattered(spark, sf):
+    """A fifth of each sheet's runs, rounded down, picked by a seeded hash."""
+    return x.scattered(stitched(spark, sf), KEY, ["axis", "run_id"], 0.2, 7).select("sheet_id", "axis", "run_id")
 
 
 @query("w02_islands", "select sheet_id, axis, level, island, min(lo) as lo, max(hi) as hi, count(*) as n from (select *, sum(st) over (partition by sheet_id, axis, level order by lo, line_ix rows unbounded preceding) - 1 as island from (select *, (pos+1)//20 as level, case when lo - max(hi) over (partition by sheet_id, axis, (pos+1)//20 order by lo, line_ix rows between unbounded preceding and 1 preceding) <= 100 then 0 else 1 end as st from segments)) group by all")

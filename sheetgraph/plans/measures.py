@@ -10,7 +10,7 @@ from sheetgraph.operators import clusters as cl
 from sheetgraph.operators import crops as cr
 from sheetgraph.operators import layers as la
 from sheetgraph.operators import lines as ln
-from sheetgraph.plans.crossings import raw_runs, straight
+from sheetgraph.plans.crossings import _BOXED, boxes, raw_runs, straight
 from sheetgraph.plans.registry import query
 from sheetgraph.sources import derived as d
 
@@ -110,14 +110,20 @@ def j13(spark, sf):
     return cr.nearest_symbol(d.texts(spark, sf), d.symbols(spark, sf), KEY).select("sheet_id", "text_ix", F.round("symbol_distance", 6).alias("symbol_distance"))
 
 
-_SIDE = """, big as (select * from segments where hi - lo >= 400), near_ as (select t.sheet_id, t.text_ix, l.line_ix, l.axis, l.pos, case when axis='h' then (case when pos<t.y1 then 'above' when pos>t.y2 then 'below' end) else (case when pos<t.x1 then 'left' when pos>t.x2 then 'right' end) end as side,
+_SIDE = f""", {_BOXED}, big as (select s.* from segments s left join boxed b using (sheet_id, line_ix) where b.line_ix is null and s.hi - s.lo > 2), near_ as (select t.sheet_id, t.text_ix, l.line_ix, l.axis, l.pos, case when axis='h' then (case when pos<t.y1 then 'above' when pos>t.y2 then 'below' end) else (case when pos<t.x1 then 'left' when pos>t.x2 then 'right' end) end as side,
  case when axis='h' then sqrt(pow(greatest(t.y1-pos,pos-t.y2,0),2)+pow(greatest(t.x1-hi,lo-t.x2,0),2)) else sqrt(pow(greatest(t.x1-pos,pos-t.x2,0),2)+pow(greatest(t.y1-hi,lo-t.y2,0),2)) end as dist from texts t join big l on t.sheet_id=l.sheet_id),
 best as (select * from near_ where side is not null qualify row_number() over (partition by sheet_id, text_ix, side order by dist, line_ix) = 1),
 wide as (select sheet_id, text_ix, max(case when side='above' then line_ix end) as above, max(case when side='below' then line_ix end) as below, max(case when side='left' then line_ix end) as left_, max(case when side='right' then line_ix end) as right_, max(case when side='above' then pos end) as pa, max(case when side='below' then pos end) as pb, max(case when side='left' then pos end) as pl, max(case when side='right' then pos end) as pr, count(*) as sides_found from best group by all)"""
 
 
 def sided(spark, sf):
-    return cr.sides(d.texts(spark, sf), d.segments(spark, sf).where("hi - lo >= 400"), KEY)
+    """Each text's nearest unboxed segments."""
+    return cr.sides(d.texts(spark, sf), unboxed(spark, sf), KEY)
+
+
+def unboxed(spark, sf):
+    """Segments that are no box's own drawing and have a direction (over 2 pixels)."""
+    return ln.mark_boxed(straight(spark, sf), boxes(spark, sf), KEY).where("not boxed and hi - lo > 2")
 
 
 @query("j14_nearest_lines", f"{_SIDE} select sheet_id, text_ix, above, below, left_, right_ from wide")
@@ -130,10 +136,9 @@ def l07(spark, sf):
     return cr.crop(sided(spark, sf), d.WIDTH, d.HEIGHT).select("sheet_id", "text_ix", "sides_found", "cx1", "cy1", "cx2", "cy2", "contains_text")
 
 
-@query("l08_axis_midpoints", "select sheet_id, line_ix, axis, case when axis='h' then (lo+hi)/2.0 else pos end as mid_x, case when axis='h' then pos else (lo+hi)/2.0 end as mid_y from segments where hi-lo > 2")
+@query("l08_axis_midpoints", f", {_BOXED} select sheet_id, line_ix, axis, case when axis='h' then (lo+hi)/2.0 else pos end as mid_x, case when axis='h' then pos else (lo+hi)/2.0 end as mid_y from segments s left join boxed b using (sheet_id, line_ix) where b.line_ix is null and s.hi - s.lo > 2")
 def l08(spark, sf):
-    s = straight(spark, sf).where(F.col("hi") - F.col("lo") > 2)
-    return s.select("sheet_id", "line_ix", "axis", ((F.col("x1") + F.col("x2")) / 2).alias("mid_x"), ((F.col("y1") + F.col("y2")) / 2).alias("mid_y"))
+    return unboxed(spark, sf).select("sheet_id", "line_ix", "axis", ((F.col("x1") + F.col("x2")) / 2).alias("mid_x"), ((F.col("y1") + F.col("y2")) / 2).alias("mid_y"))
 
 
 # --- aggregates

@@ -261,11 +261,6 @@ def f03(spark, sf):
     return d.lines(spark, sf).where(g.orientation(g.box(), 5.0).isNotNull()).select("sheet_id", "line_ix")
 
 
-@query("f05_unboxed_solid", "select sheet_id, line_ix from segments where line_type <> 'dashed'")
-def f05(spark, sf):
-    return d.segments(spark, sf).where("line_type <> 'dashed'").select("sheet_id", "line_ix")
-
-
 @query("f06_label_excluded", "select sheet_id, symbol_id from symbols where not contains(label,'Mid arrow') and not contains(label,'Panel')")
 def f06(spark, sf):
     banned = F.lit(False)
