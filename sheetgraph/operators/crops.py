@@ -44,35 +44,48 @@ def _rings(todo: DataFrame, item: list[str], each: Callable[[DataFrame, float],
     return out
 
 
-def sides(texts: DataFrame, lines: DataFrame, key: list[str], first: float = 200.0) -> DataFrame:
+def sides(texts: DataFrame, lines: DataFrame, key: list[str], first: float = 50.0) -> DataFrame:
     """texts with above, below, left and right: struct(line_ix, level, mid_x, mid_y) of the nearest line beyond that edge.
 
     lines are (line_ix, axis, pos, lo, hi). Nearness is the true distance from the box, not
-    the offset of the line's level alone; ties go to the first line. The sides that have a line
-    at all are searched in rings by cells.
+    the offset of the line's level alone; ties go to the first line. A line lies beyond one edge at most, so a text meets
+    the lines of a ring once and each side takes its least. Only texts with a side still open, of those that have a line at all,
+    go on to the next ring.
     """
     b = g.box("_t")
-    l = lines.select(*key, "line_ix", "axis", F.col("pos").cast("double").alias("level"), F.col("lo").cast("double").alias("lo"), F.col("hi").cast("double").alias("hi"))
+    l = stash(lines.select(*key, "line_ix", "axis", F.col("pos").cast("double").alias("level"), F.col("lo").cast("double").alias("lo"), F.col("hi").cast("double").alias("hi")), "lines")
     t = texts.select(*key, "text_ix", *[F.col(c).cast("double").alias(f"_t{c}") for c in ("x1", "y1", "x2", "y2")])
     lined = lambda axis, f: f(F.when(F.col("axis") == axis, F.col("level")))
     ends = l.groupBy(*key).agg(lined("h", F.min).alias("_h1"), lined("h", F.max).alias("_h2"), lined("v", F.min).alias("_v1"), lined("v", F.max).alias("_v2"))
-    has = [F.when(c, F.lit(n)) for n, c in (("above", F.col("_h1") < b.y1), ("below", F.col("_h2") > b.y2), ("left", F.col("_v1") < b.x1), ("right", F.col("_v2") > b.x2))]
-    todo = t.join(ends, key).withColumn("side", F.explode(F.array_compact(F.array(*has)))).drop("_h1", "_h2", "_v1", "_v2")
+    names = ("above", "below", "left", "right")
+    has = [F.when(c, F.lit(n)) for n, c in zip(names, (F.col("_h1") < b.y1, F.col("_h2") > b.y2, F.col("_v1") < b.x1, F.col("_v2") > b.x2), strict=True)]
+    todo = stash(t.join(ends, key).withColumn("open", F.array_compact(F.array(*has))).where(F.size("open") > 0).drop("_h1", "_h2", "_v1", "_v2"), "todo")
     h = F.col("axis") == "h"
     across_lo, across_hi = F.when(h, b.y1).otherwise(b.x1), F.when(h, b.y2).otherwise(b.x2)
     along_lo, along_hi = F.when(h, b.x1).otherwise(b.y1), F.when(h, b.x2).otherwise(b.y2)
     away = F.hypot(F.greatest(across_lo - F.col("level"), F.col("level") - across_hi, g.zero()), F.greatest(along_lo - F.col("hi"), F.col("lo") - along_hi, g.zero()))
     mid = (F.col("lo") + F.col("hi")) / 2
-    beyond = F.when(F.col("side") == "above", h & (F.col("level") < b.y1)).when(F.col("side") == "below", h & (F.col("level") > b.y2)).when(F.col("side") == "left", ~h & (F.col("level") < b.x1)).otherwise(~h & (F.col("level") > b.x2))
-    row = F.struct(away.alias("d"), "line_ix", "level", F.when(h, mid).otherwise(F.col("level")).alias("mid_x"), F.when(h, F.col("level")).otherwise(mid).alias("mid_y"))
+    side = F.when(F.col("level") < across_lo, F.when(h, "above").otherwise("left")).when(F.col("level") > across_hi, F.when(h, "below").otherwise("right"))
+    row = F.struct(F.col("_d").alias("d"), "line_ix", "level", F.when(h, mid).otherwise(F.col("level")).alias("mid_x"), F.when(h, F.col("level")).otherwise(mid).alias("mid_y"))
     place = (F.when(h, F.col("lo")).otherwise(F.col("level")), F.when(h, F.col("level")).otherwise(F.col("lo")), F.when(h, F.col("hi")).otherwise(F.col("level")), F.when(h, F.col("level")).otherwise(F.col("hi")))
-
-    def each(left: DataFrame, reach: float) -> DataFrame:
-        best = box_join(left, l, key, tuple(b), place, reach, reach).where(beyond).groupBy(*key, "text_ix", "side").agg(F.min(row).alias("best"))
-        return best.withColumn("_d", F.col("best.d"))
-
-    found = _rings(todo, [*key, "text_ix", "side"], each, "_d", first)
-    wide = found.groupBy(*key, "text_ix").agg(*[F.min(F.when(F.col("side") == n, F.col("best"))).alias(n) for n in ("above", "below", "left", "right")])
+    reach, done = first, []
+    while True:
+        met = box_join(todo, l, key, tuple(b), place, reach, 2 * reach).withColumns({"_side": side, "_d": away}).where((F.col("_d") <= reach) & F.array_contains("open", F.col("_side")))
+        near = stash(met.groupBy(*key, "text_ix").agg(*[F.min(F.when(F.col("_side") == n, row)).alias(n) for n in names]), "ring")
+        done.append(near)
+        found = near.select(*key, "text_ix", F.array_compact(F.array(*[F.when(F.col(n).isNotNull(), F.lit(n)) for n in names])).alias("_f"))
+        rest = todo.join(found, [*key, "text_ix"], "left").withColumn("open", F.when(F.col("_f").isNull(), F.col("open")).otherwise(F.array_except("open", "_f"))).drop("_f").where(F.size("open") > 0)
+        rest = stash(rest, "todo")
+        drop_stash(todo)
+        todo = rest
+        if todo.isEmpty():
+            break
+        reach *= 4
+    drop_stash(todo)
+    rings = done[0]
+    for more in done[1:]:
+        rings = rings.unionByName(more)
+    wide = rings.groupBy(*key, "text_ix").agg(*[F.min(n).alias(n) for n in names])  # each side was found in one ring
     return texts.join(wide, [*key, "text_ix"], "left")
 
 
