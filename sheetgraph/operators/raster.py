@@ -245,21 +245,40 @@ def pixels(row: dict) -> np.ndarray:
     return np.frombuffer(bytes(row["pixels"]), np.uint8).reshape(row["height"], row["width"], 3)
 
 
-def detect_lines(boxes: bool = True, threshold: int = 240, inset: int = 0, thin: float | None = 0, **how) -> Stage:
+def detect_lines(boxes: bool = True, threshold: int = 240, inset: int = 0, thin: float | None = 0, detector: str = "hough", inside: tuple[float, float, float, float] | None = None, axis_degrees: float | None = None, **how) -> Stage:
     """A stage from images (sheet_id, height, width, pixels and, with boxes, boxes: array of x1, y1, x2, y2) to segments.
 
-    Gray, boxes masked, binarized, thinned (None: not) and searched for strokes; rows are
-    (sheet_id, line_ix, x1, y1, x2, y2) in pixels. how goes to segments(); without `least` it
+    Gray, and boxes masked. `hough` then binarizes, thins (None: not) and searches the mask; `level_lines` searches the gray
+    image. Segments are cut to the box `inside` and, with axis_degrees, only those as near to an axis stay. Rows are
+    (sheet_id, line_ix, x1, y1, x2, y2) in pixels. how goes to the detector; without `least` it
     follows from the strokes' width.
     """
+    if detector not in ("hough", "level_lines"):
+        raise ValueError(f"no such detector: {detector}")
 
     def each(row: pd.Series) -> list[dict]:
+        from sheetgraph.operators import level_lines
+
         values = gray(pixels(row))
         if boxes and row["boxes"] is not None and len(row["boxes"]):
             values = masked(values, np.array([list(b) for b in row["boxes"]]), inset)
+        if inside is not None:
+            x1, y1, x2, y2 = (int(v) for v in inside)
+            out = np.full_like(values, background(values))
+            out[y1:y2, x1:x2] = values[y1:y2, x1:x2]
+            values = out
         drawn = ink(values, threshold)
         least = how.get("least") or max(2, round(1.7 * stroke_width(drawn)))
-        found = segments(drawn if thin is None else thinned(drawn, thin), **{**how, "least": least})
+        if detector == "hough":
+            found = segments(drawn if thin is None else thinned(drawn, thin), **{**how, "least": least})
+        else:
+            found = level_lines.strokes(values, least)
+        if inside is not None:
+            edge = lambda v, lo, hi: min(max(v, lo), hi)
+            found = [(edge(a, x1, x2), edge(b, y1, y2), edge(c, x1, x2), edge(d, y1, y2)) for a, b, c, d in found]
+        if axis_degrees is not None:
+            slack = np.tan(np.radians(axis_degrees))
+            found = [s for s in found if min(abs(s[2] - s[0]), abs(s[3] - s[1])) <= slack * max(abs(s[2] - s[0]), abs(s[3] - s[1]))]
         return [{"sheet_id": row["sheet_id"], "line_ix": k, "x1": a, "y1": b, "x2": c, "y2": d} for k, (a, b, c, d) in enumerate(found)]
 
     return image_stage(each, "sheet_id long, line_ix long, x1 double, y1 double, x2 double, y2 double")

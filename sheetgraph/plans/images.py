@@ -104,6 +104,12 @@ def m05(spark, sf):
     return ln.deduplicated(found, KEY, across=1.0, cell=40.0)
 
 
+@query("m04_level_lines")
+def m04(spark, sf):
+    """Strokes found in the images by growing regions of equal direction."""
+    return r.detect_lines(boxes=False, detector="level_lines", least=12)(im.drawn(spark, sf))
+
+
 @query("m06_red", f", {im.PIXELS} select sheet_id, count(*) filter (red) as red from px group by sheet_id")
 def m06(spark, sf):
     return _each(spark, sf, lambda row: {"red": int(r.red(r.pixels(row)).sum())}, "red long")
