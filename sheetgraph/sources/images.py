@@ -89,7 +89,13 @@ def drawn(spark: SparkSession, sf_dir: str) -> DataFrame:
                 rgb[y[on], x[on]] = colour
         return pd.DataFrame({"sheet_id": [pdf["sheet_id"].iloc[0]], "height": [rgb.shape[0]], "width": [rgb.shape[1]], "pixels": [rgb.tobytes()]})
 
-    return d.segments(spark, sf_dir).select("sheet_id", "line_ix", "axis", "pos", "lo", "hi", "line_type").groupBy("sheet_id").applyInPandas(draw, IMAGE)
+    s = d.segments(spark, sf_dir).select("sheet_id", "line_ix", "axis", "pos", "lo", "hi", "line_type")
+    return _spread(s, "sheet_id").groupBy("sheet_id").applyInPandas(draw, IMAGE)
+
+
+def _spread(df: DataFrame, *key: str) -> DataFrame:
+    """df by key, in as many partitions as shuffles have: its rows are few bytes but much work, so partitions are not to be merged by size."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key)
 
 
 #: Dashed strokes of a full-size sheet: pixels on and off.
@@ -125,7 +131,7 @@ def drawn_tiles(strokes: DataFrame, grid: tiles.Grid) -> DataFrame:
         return pd.DataFrame({"sheet_id": [sheet], "tx": [tx], "ty": [ty], "x": [left], "y": [top], "height": [rgb.shape[0]], "width": [rgb.shape[1]], "pixels": [rgb.tobytes()]})
 
     placed = strokes.where(within).withColumn("tx", F.explode(x)).withColumn("ty", F.explode(y))
-    return placed.groupBy("sheet_id", "tx", "ty").applyInPandas(draw, tiles.TILE)
+    return _spread(placed, "sheet_id", "tx", "ty").groupBy("sheet_id", "tx", "ty").applyInPandas(draw, tiles.TILE)
 
 
 def ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
