@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Patterns that decide what a string is.
-ONE_NUMBER = r"^\s*([0-9]+|[0-9]+/[0-9]+)\s*$"
+ONE_NUMBER = r"^[\s]*([0-9]+|[0-9]+/[0-9]+)[\s]*$"
 SIZE_TIMES_SIZE = r"^([0-9]+|[0-9]+/[0-9]+)[\"|%|*]*[\s]*[xX][\s]*.*([0-9]+|[0-9]+/[0-9]+)[\"|%|*]*.*$"
 ONE_SIZE = r"^([0-9]+|[0-9]+/[0-9]+)[\"%*]+$"
 EQUIPMENT_TAG = r"^[A-Z]{1,5}[ -]?\d{1,5}[A-Z]?$"

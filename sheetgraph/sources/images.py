@@ -108,30 +108,94 @@ def strokes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.segments(spark, sf_dir).select("sheet_id", "axis", "pos", "lo", "hi", (F.col("line_ix") % 3 == 0).alias("red"), F.when(dashed, DASH).alias("dash"), F.when(dashed, GAP).alias("gap"), F.lit(0).cast("long").alias("base"))
 
 
-def drawn_tiles(strokes: DataFrame, grid: tiles.Grid) -> DataFrame:
-    """Strokes drawn at full size, tile by tile: no task holds a sheet. Red lies over black; tiles without a stroke have no row."""
+def _by_tile(strokes: DataFrame, grid: tiles.Grid) -> DataFrame:
+    """Strokes, once for each tile that may show some of them."""
     h = F.col("axis") == "h"
     x = grid.seers(F.when(h, F.col("lo")).otherwise(F.col("pos")), F.when(h, F.col("hi") - 1).otherwise(F.col("pos")), grid.width)
     y = grid.seers(F.when(h, F.col("pos")).otherwise(F.col("lo")), F.when(h, F.col("pos")).otherwise(F.col("hi") - 1), grid.height)
     within = F.when(h, (F.col("pos") >= 0) & (F.col("pos") < grid.height) & (F.col("lo") < grid.width)).otherwise((F.col("pos") >= 0) & (F.col("pos") < grid.width) & (F.col("lo") < grid.height)) & (F.col("hi") > F.greatest("lo", F.lit(0)))
+    return strokes.where(within).withColumn("tx", F.explode(x)).withColumn("ty", F.explode(y))
+
+
+def _stroked(grid: tiles.Grid, key: tuple, own: pd.DataFrame) -> np.ndarray:
+    """A tile's strokes on white."""
+    left, top = grid.start(key[1], grid.width), grid.start(key[2], grid.height)
+    rgb = np.full((min(grid.size, grid.height), min(grid.size, grid.width), 3), 255, np.uint8)
+    own = own.sort_values("red", kind="stable")
+    for axis, pos, lo, hi, is_red, dash, gap, base in zip(*[own[c] for c in ("axis", "pos", "lo", "hi", "red", "dash", "gap", "base")], strict=True):
+        image, across, along = (rgb, top, left) if axis == "h" else (rgb.transpose(1, 0, 2), left, top)
+        if not 0 <= pos - across < image.shape[0]:
+            continue
+        at = np.arange(max(lo - along, 0), min(hi - along, image.shape[1]))
+        if not np.isnan(dash):
+            at = at[(at + along - base) % int(dash + gap) < int(dash)]
+        image[pos - across, at] = (220, 30, 30) if is_red else (0, 0, 0)
+    return rgb
+
+
+def _as_tile(grid: tiles.Grid, key: tuple, rgb: np.ndarray) -> pd.DataFrame:
+    sheet, tx, ty = key
+    return pd.DataFrame({"sheet_id": [sheet], "tx": [tx], "ty": [ty], "x": [grid.start(tx, grid.width)], "y": [grid.start(ty, grid.height)], "height": [rgb.shape[0]], "width": [rgb.shape[1]], "pixels": [rgb.tobytes()]})
+
+
+def drawn_tiles(strokes: DataFrame, grid: tiles.Grid) -> DataFrame:
+    """Strokes drawn at full size, tile by tile: no task holds a sheet. Red lies over black; tiles without a stroke have no row."""
 
     def draw(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
-        sheet, tx, ty = key
-        left, top = grid.start(tx, grid.width), grid.start(ty, grid.height)
-        rgb = np.full((min(grid.size, grid.height), min(grid.size, grid.width), 3), 255, np.uint8)
-        own = own.sort_values("red", kind="stable")
-        for axis, pos, lo, hi, is_red, dash, gap, base in zip(*[own[c] for c in ("axis", "pos", "lo", "hi", "red", "dash", "gap", "base")], strict=True):
-            image, across, along = (rgb, top, left) if axis == "h" else (rgb.transpose(1, 0, 2), left, top)
-            if not 0 <= pos - across < image.shape[0]:
-                continue
-            at = np.arange(max(lo - along, 0), min(hi - along, image.shape[1]))
-            if not np.isnan(dash):
-                at = at[(at + along - base) % int(dash + gap) < int(dash)]
-            image[pos - across, at] = (220, 30, 30) if is_red else (0, 0, 0)
-        return pd.DataFrame({"sheet_id": [sheet], "tx": [tx], "ty": [ty], "x": [left], "y": [top], "height": [rgb.shape[0]], "width": [rgb.shape[1]], "pixels": [rgb.tobytes()]})
-
-    placed = strokes.where(within).withColumn("tx", F.explode(x)).withColumn("ty", F.explode(y))
-    return _spread(placed, "sheet_id", "tx", "ty").groupBy("sheet_id", "tx", "ty").applyInPandas(draw, tiles.TILE)
+        return _as_tile(grid, key, _stroked(grid, key, own))
+
+    return _spread(_by_tile(strokes, grid), *tiles.KEY).groupBy(*tiles.KEY).applyInPandas(draw, tiles.TILE)
+
+
+#: Widths of drawn symbols; a sheet has one of the last three, and every fifth of its symbols the width before.
+WIDTHS = [10, 14, 20, 28]
+CLASSES = ["gate valve", "reducer", "bubble"]
+
+
+def glyph(name: str, width: int) -> np.ndarray:
+    """A symbol's ink in a square of that width: a bow tie between two bars, a wedge or a ring."""
+    at = (2 * np.arange(width) + 1) / width - 1
+    u, v = at[None, :], at[:, None]
+    pen = max(0.16, 2 / width)
+    if name == "gate valve":
+        return (np.abs(u) <= 0.9) & (np.abs(v) <= 0.9) & ((np.abs(np.abs(v) - np.abs(u)) < pen) | (np.abs(u) > 0.9 - pen))
+    if name == "reducer":
+        return (np.abs(u) <= 0.9) & (np.abs(v) <= 0.6 - 0.3 * u)
+    far = np.hypot(u, v)
+    return (far <= 0.95) & (far > 0.95 - 1.3 * pen)
+
+
+def planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived symbols as drawn on sheets of half the size (sheet_id, symbol_id, class, width, x1, y1): two of four are valves."""
+    s = d.symbols(spark, sf_dir)
+    n = F.expr("symbol_id div 3")
+    size = F.lit(1) + F.col("sheet_id") % 3 - F.when(n % 5 == 0, 1).otherwise(0)
+    width = F.element_at(F.array(*map(F.lit, WIDTHS)), (size + 1).cast("int"))
+    name = F.when(n % 4 < 2, CLASSES[0]).when(n % 4 == 2, CLASSES[1]).otherwise(CLASSES[2])
+    corner = lambda c: (F.expr(f"({c} + 20) div 2") - F.expr("width div 2")).cast("long").alias(c)
+    return s.withColumns({"width": width, "class": name}).select("sheet_id", "symbol_id", "class", "width", corner("x1"), corner("y1"))
+
+
+def plates(spark: SparkSession, sf_dir: str, grid: tiles.Grid) -> DataFrame:
+    """Tiles of sheets of half the size: strokes, with symbols in white squares over them (a later one over an earlier one)."""
+    half = lambda c: F.expr(f"{c} div 2").alias(c)
+    lines = strokes(spark, sf_dir).select("sheet_id", "axis", half("pos"), half("lo"), half("hi"), "red", "dash", "gap", "base")
+    s = planted(spark, sf_dir)
+    x, y = (grid.seers(F.col(c), F.col(c) + F.col("width") - 1, along) for c, along in (("x1", grid.width), ("y1", grid.height)))
+    placed = s.withColumn("tx", F.explode(x)).withColumn("ty", F.explode(y))
+
+    def draw(key: tuple, own: pd.DataFrame, symbols: pd.DataFrame) -> pd.DataFrame:
+        rgb = _stroked(grid, key, own)
+        left, top = grid.start(key[1], grid.width), grid.start(key[2], grid.height)
+        symbols = symbols.sort_values("symbol_id", kind="stable")
+        for name, w, x1, y1 in zip(*[symbols[c] for c in ("class", "width", "x1", "y1")], strict=True):
+            a, b, c, e = max(x1 - left, 0), min(x1 - left + w, rgb.shape[1]), max(y1 - top, 0), min(y1 - top + w, rgb.shape[0])
+            if a < b and c < e:
+                part = glyph(name, int(w))[c - (y1 - top) : e - (y1 - top), a - (x1 - left) : b - (x1 - left)]
+                rgb[c:e, a:b] = np.where(part[..., None], np.uint8(0), np.uint8(255))
+        return _as_tile(grid, key, rgb)
+
+    return _spread(_by_tile(lines, grid), *tiles.KEY).groupBy(*tiles.KEY).cogroup(placed.groupBy(*tiles.KEY)).applyInPandas(draw, tiles.TILE)
 
 
 def ruled(spark: SparkSession, sf_dir: str) -> DataFrame:
