@@ -16,6 +16,7 @@ result; other columns are ignored, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from operator import eq
 
 import numpy as np
@@ -78,23 +79,34 @@ _LOWER[65:91] += 32
 #: Buckets of each of the four kinds of n-grams: words, pairs of words, first and last three letters of words.
 BUCKETS, KINDS = 8192, 4
 _P = np.uint64(0x100000001B3)
-_POWERS: list[np.ndarray] = []
+#: Bytes that are hashed at once: a chunk of whole passages, or a part of a word longer than that.
+CHUNK = 1 << 18
 
 
-def _powers(n: int) -> np.ndarray:
-    """The powers of an odd number and of its inverse modulo 2^64, kept for the worker."""
-    if not _POWERS or _POWERS[0].shape[1] < n:
-        inverse = np.uint64(pow(int(_P), -1, 1 << 64))
-        base = np.stack([np.full(2 * n, _P), np.full(2 * n, inverse)])
-        base[:, 0] = 1
-        _POWERS[:] = [np.multiply.accumulate(base, axis=1)]
-    return _POWERS[0]
+@lru_cache(maxsize=1)
+def _powers() -> np.ndarray:
+    """The powers of an odd number and of its inverse modulo 2^64, for one chunk."""
+    inverse = np.uint64(pow(int(_P), -1, 1 << 64))
+    base = np.stack([np.full(CHUNK + 1, _P), np.full(CHUNK + 1, inverse)])
+    base[:, 0] = 1
+    return np.multiply.accumulate(base, axis=1)
+
+
+def _long_hash(part: np.ndarray) -> np.uint64:
+    """The same hash of bytes of any number, part by part."""
+    out, power = 0, 1
+    for at in range(0, len(part), CHUNK):
+        own = _LOWER[part[at : at + CHUNK]].astype(np.uint64)
+        out += power * int((own * _powers()[0, : len(own)]).sum(dtype=np.uint64))
+        power = power * int(_powers()[0, CHUNK]) % (1 << 64)
+    return np.uint64(out % (1 << 64))
 
 
 def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Buckets of the n-grams of all passages, one passage after another; the number in each passage; each text's number of passages.
 
-    A text without words is one passage without n-grams. Hashes come from prefix sums over all bytes at once.
+    A text without words is one passage without n-grams. Hashes come from prefix sums over a chunk of passages at a time, so
+    beside the words' places, only a chunk's numbers are held.
     """
     joined = b" ".join([*texts, b""])
     if not texts:
@@ -106,19 +118,40 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     text_end = np.cumsum([len(t) + 1 for t in texts])
     n_words = np.diff(np.concatenate([[0], np.searchsorted(start, text_end)]))
     passages = np.maximum(1, -(-n_words // PASSAGE))
-    powers = _powers(len(raw))
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(_LOWER[raw].astype(np.uint64) * powers[0, : len(raw)], dtype=np.uint64)])
-    hashed = lambda a, b: (sums[b] - sums[a]) * powers[1, a]
-    word = hashed(start, end)
     nth = np.arange(len(start)) - np.repeat(np.cumsum(n_words) - n_words, n_words)
     of = np.repeat(np.cumsum(passages) - passages, n_words) + nth // PASSAGE
+    first = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]])) if len(of) else np.zeros(0, np.int64)  # each passage's first word
+    last = np.concatenate([first[1:], [len(of)]])
+    ids, counts = [], np.zeros(int(passages.sum()), np.int64)
+    k = 0
+    while k < len(first):  # passages k to m - 1 are a chunk; one too long for it is alone
+        m = max(k + 1, int(np.searchsorted(end[last - 1], start[first[k]] + CHUNK, side="right")))
+        words = slice(int(first[k]), int(last[m - 1]))
+        own, n = _chunk(raw, start[words], end[words], of[words])
+        ids.append(own)
+        counts[of[first[k]] : of[first[m - 1]] + 1] = n  # passages without words between them have none
+        k = m
+    return np.concatenate(ids) if ids else np.zeros(0, np.uint16), counts, passages
+
+
+def _chunk(raw: np.ndarray, start: np.ndarray, end: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of a chunk's passages, and how many each has."""
+    left = int(start[0])
+    if int(end[-1]) - left <= CHUNK:
+        text = raw[left : int(end[-1])]
+        powers = _powers()
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(_LOWER[text].astype(np.uint64) * powers[0, : len(text)], dtype=np.uint64)])
+        hashed = lambda a, b: (sums[b - left] - sums[a - left]) * powers[1, a - left]
+    else:
+        hashed = lambda a, b: np.array([_long_hash(raw[x:y]) for x, y in zip(a.tolist(), b.tolist(), strict=True)], np.uint64)
+    word = hashed(start, end)
     follows = np.flatnonzero(of[1:] == of[:-1]) + 1
     pair = word[follows - 1] * np.uint64(0x9E3779B97F4A7C15) + word[follows]
     kinds = [(word, of), (pair, of[follows]), (hashed(start, np.minimum(start + 3, end)), of), (hashed(np.maximum(end - 3, start), end), of)]
     ids = np.concatenate([((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(51)).astype(np.uint16) + np.uint16(k * BUCKETS) for k, (h, _) in enumerate(kinds)])
-    place = np.concatenate([p for _, p in kinds])
+    place = np.concatenate([p for _, p in kinds]) - of[0]
     order = np.argsort(place, kind="stable")
-    return ids[order], np.bincount(place, minlength=int(passages.sum())), passages
+    return ids[order], np.bincount(place, minlength=int(of[-1] - of[0]) + 1)
 
 
 def bags(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

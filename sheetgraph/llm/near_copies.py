@@ -3,7 +3,7 @@
 Each text has four SimHash fingerprints (256 bits) over its distinct shingles. Two texts meet
 when they agree in all bits of one of `tables` samples of fingerprint bits; the samples'
 width grows with log n, and their number follows from the recall at the threshold. Pairs that
-meet and differ in at most RADIUS of the first 128 bits, told by the bit planes and carry-save
+meet and differ in at most radii()[0] of the first 128 bits, told by the bit planes and carry-save
 counters of the SimHash operator, propose groups, of which only a spanning forest leaves a block. Inside a group, block by block, the sets themselves decide, so
 every link is true; a pair is not compared when other links of its block join it already.
 
@@ -30,8 +30,8 @@ from sheetgraph.llm.common import drop_stash, split_batches, stash, text_bytes
 from sheetgraph.llm.simhash import close_pairs, forest
 from sheetgraph.operators.components import connected_components
 
-#: Fingerprint bits of two sets of Jaccard 0.8 differ with probability 0.151: of 128 bits 19.4 (deviation 4.1), of 256 bits 38.8 (5.7).
-RADIUS, WIDE = 34, 72
+#: How many deviations above their mean the differing bits of a pair at the threshold may lie, of 128 bits (when groups are proposed) and of 256 (before sets are compared).
+SLACK, WIDE_SLACK = 3.6, 5.7
 #: Rows that are compared at once; a larger group is searched from member to member.
 BLOCK = 256
 SIGNS = ["s0", "s1", "s2", "s3"]
@@ -60,14 +60,27 @@ def signature(items: np.ndarray) -> np.ndarray:
     return np.packbits(2 * ones > len(items)).view(np.uint64)
 
 
+def differing(similarity: float) -> float:
+    """The probability that a fingerprint bit of two sets of that Jaccard similarity differs."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def radii(similarity: float = 0.8) -> tuple[int, int]:
+    """The most differing bits of 128 and of 256 that a pair at the threshold shows, but for one in thousands and in millions (0.8: 34 and 72)."""
+    p = differing(similarity)
+    return tuple(math.ceil(n * p + slack * math.sqrt(n * p * (1 - p))) for n, slack in ((128, SLACK), (256, WIDE_SLACK)))
+
+
 def samples(n: int, similarity: float = 0.8, recall: float = 0.995) -> np.ndarray:
     """Rows of bit numbers: as many samples as find a pair at the threshold with that probability, wide enough for n texts."""
     width = max(8, math.ceil(math.log2(max(n, 2))) - 4)
-    differ = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    differ = differing(similarity)
     far = np.arange(257)
     weight = np.array([math.comb(256, int(k)) * differ**k * (1 - differ) ** (256 - k) for k in far])
     meet = np.array([math.comb(256 - int(k), width) / math.comb(256, width) for k in far])
-    tables = next(t for t in range(1, 1 << 12) if (weight * (1 - (1 - meet) ** t)).sum() >= recall)
+    tables = next((t for t in range(1, 1 << 12) if (weight * (1 - (1 - meet) ** t)).sum() >= recall), None)
+    if tables is None:
+        raise ValueError(f"pairs of similarity {similarity} among {n} texts need more than {(1 << 12) - 1} tables")
     rng = np.random.default_rng(5)
     return np.stack([rng.choice(256, width, replace=False) for _ in range(tables)])
 
@@ -77,7 +90,7 @@ def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
 
 
-def spread(signs: np.ndarray, radius: int = RADIUS) -> tuple[list[int], list[int]]:
+def spread(signs: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
     """Links of a spanning forest over the rows within the radius of each other."""
     left, a, b = np.arange(len(signs)), [], []
     while len(left):
@@ -93,7 +106,7 @@ def spread(signs: np.ndarray, radius: int = RADIUS) -> tuple[list[int], list[int
     return a, b
 
 
-def proposed(nodes: DataFrame, bits: np.ndarray) -> DataFrame:
+def proposed(nodes: DataFrame, bits: np.ndarray, radius: int) -> DataFrame:
     """Edges (a, b) that connect all nodes that meet within the radius; b is the least of its links in the block, so the tables repeat edges."""
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,7 +136,7 @@ def proposed(nodes: DataFrame, bits: np.ndarray) -> DataFrame:
         size = np.diff(edge)
         i, j = [], []
         for lo, hi in zip(edge[:-1][size > BLOCK].tolist(), edge[1:][size > BLOCK].tolist(), strict=True):
-            a, b = spread(signs[lo:hi])
+            a, b = spread(signs[lo:hi], radius)
             i.append(np.array(a, np.int64) + lo)
             j.append(np.array(b, np.int64) + lo)
         # small groups are compared together, bit plane by bit plane: what is near in two of them is near as well
@@ -134,7 +147,7 @@ def proposed(nodes: DataFrame, bits: np.ndarray) -> DataFrame:
             stop = min(start + BLOCK, len(small))
             if stop < len(small) and group[stop] == group[stop - 1]:
                 stop = int(np.searchsorted(group, group[stop - 1]))
-            a, b = close_pairs(signs[small[start:stop]], None, RADIUS)
+            a, b = close_pairs(signs[small[start:stop]], None, radius)
             i.append(small[start + a])
             j.append(small[start + b])
             start = stop
@@ -165,10 +178,11 @@ def proposed(nodes: DataFrame, bits: np.ndarray) -> DataFrame:
 
 def classes(sets: list[np.ndarray], similarity: float = 0.8, side: np.ndarray | None = None) -> np.ndarray:
     """For each set the least index that it reaches over pairs of at least that similarity; with `side`, over pairs of different sides."""
+    wide = radii(similarity)[1]
     root, size, signs = np.arange(len(sets)), np.array([len(s) for s in sets]), np.stack([signature(s) for s in sets])
     for i in range(1, len(sets)):
         small, large = np.minimum(size[:i], size[i]), np.maximum(size[:i], size[i])
-        may = (small >= similarity * large) & (distance(signs[:i], signs[i]) <= WIDE)
+        may = (small >= similarity * large) & (distance(signs[:i], signs[i]) <= wide)
         ask = np.flatnonzero(may if side is None else may & (side[:i] != side[i]))
         while len(ask := ask[root[ask] != root[i]]):
             j, ask = int(ask[0]), ask[1:]
@@ -213,6 +227,7 @@ def verified(members: DataFrame, words: int, similarity: float, most: int = 512)
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """docs with one row of each class of near copies: that of the least doc_id, then of the least hash of its text.
 
+    A similarity far below 0.8 takes many tables; where 4095 don't reach the planned recall, that is an error.
     The row itself travels as one column, so no name of docs can clash with those used here.
     """
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"))
@@ -231,7 +246,7 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFr
     marked = stash(own.mapInArrow(mark, schema).withColumn("row", F.monotonically_increasing_id()), "marked")
     best = F.struct(F.col("d.doc_id").isNull().alias("nameless"), F.col("d.doc_id").cast("long").alias("id"), F.xxhash64("d.text").alias("hash"), F.col("row").alias("row"))
     nodes = stash(marked.groupBy("node").agg(F.min(best).alias("best"), *[F.first(c).alias(c) for c in ("size", *SIGNS)]), "nodes")
-    edges = proposed(nodes, samples(nodes.count(), similarity))
+    edges = proposed(nodes, samples(nodes.count(), similarity), radii(similarity)[0])
     groups = stash(connected_components(edges), "groups")
     members = nodes.join(groups, "node").select(F.col("best.row").alias("row"), "node", "component")
     texts = stash(marked.select("row", F.col("d.text").alias("text")).join(members, "row").select("component", "node", "text"), "members")

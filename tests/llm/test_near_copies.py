@@ -1,6 +1,7 @@
 """Near copies against brute force over the sets of shingles."""
 
 import numpy as np
+import pytest
 
 import corpus_pipeline
 from sheetgraph.llm import near_copies
@@ -72,3 +73,26 @@ def test_groups_are_cut_into_blocks(spark):
             lo, hi = sorted((root[a], root[b]))
             root = {k: lo if r == hi else r for k, r in root.items()}
         assert len(set(root.values())) == n < 40
+
+
+@pytest.mark.parametrize(("similarity", "changed"), [(0.6, range(36, 45)), (0.7, range(25, 30))])
+def test_pairs_just_over_a_lower_threshold_are_found(spark, similarity, changed):
+    rng = np.random.default_rng(8)
+    rows = []
+    for k in range(120):
+        words = [f"w{x}" for x in rng.integers(0, 50_000, 200)]
+        m = changed[k % len(changed)]
+        at = int(rng.integers(0, 200 - m))
+        other = words[:at] + [f"v{x}" for x in rng.integers(0, 50_000, m)] + words[at + m :]
+        a, b = ({tuple(w[i : i + 5]) for i in range(196)} for w in (words, other))
+        assert similarity <= len(a & b) / len(a | b) < similarity + 0.09
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    got = near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), similarity=similarity).collect()
+    assert len(got) <= 121 and {r.doc_id for r in got} >= set(range(0, 240, 2))
+
+
+def test_radii_follow_the_similarity():
+    assert near_copies.radii(0.8) == (34, 72)
+    assert near_copies.radii(0.6) > near_copies.radii(0.7) > near_copies.radii(0.8)
+    with pytest.raises(ValueError):
+        near_copies.samples(10**9, 0.3)
