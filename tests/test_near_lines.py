@@ -39,3 +39,18 @@ def test_near_lines_are_those_of_all_pairs(spark):
     rounded = lambda df: sorted((r[0], r[1], r[2], *[round(v, 9) for v in r[3:]]) for r in df.collect())
     assert len(rounded(every)) > 100
     assert rounded(got) == rounded(every)
+
+
+def test_lists_of_near_lines_are_folded_where_they_are_made(spark):
+    rng = random.Random(8)
+    point = lambda: (rng.randrange(40) / 40, rng.randrange(40) / 40)
+    lines = spark.createDataFrame([(1, k, x, y, x + 0.1 * (k % 2), y + 0.1 * (1 - k % 2)) for k in range(160) for x, y in [point()]], LINE)
+    boxes = lambda n, name: spark.createDataFrame([(1, k, x, y, x + 0.01, y + 0.01) for k in range(n) for x, y in [point()]], f"sheet_id long, {name} long, x1 double, y1 double, x2 double, y2 double")
+    symbols, texts = boxes(20, "symbol_id"), boxes(20, "text_ix")
+    found = c.candidates(lines, symbols, texts, 4000.0)
+    assert "collect_list" not in found._jdf.queryExecution().executedPlan().toString()
+    holders = c.first_holders(c.near_boxes(lines, symbols, "symbol_id", "symbol", 0, 0.003, 0.00125, 0.2, 0.025), c.near_boxes(lines, texts, "text_ix", "text", 1, 0.00125, 0.00125, 0.2, 0.025))
+    folded = c.fold_lines(holders, c.near_lines(lines, 0.0125, 0.00125, 0.2, 0.025), lines, 0.0125, 0.0005)
+    expected = {(r.line_ix, s): r[s].asDict() for r in folded.collect() for s in ("start", "end") if r[s].node is not None}
+    got = {(r.line_ix, r.side): {"node": r.node, "type": r.type, "distance": r.distance, "intersection": r.intersection} for r in found.where("type <> 'symbol'").collect()}
+    assert len(got) > 20 and got == {k: v for k, v in expected.items() if v["type"] != "symbol"}
