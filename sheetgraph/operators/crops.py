@@ -16,14 +16,15 @@ def nearest_symbol(texts: DataFrame, symbols: DataFrame, key: list[str], default
     """texts with `symbol_distance`.
 
     Rings of growing reach are searched by cells; a text is done with the first ring that
-    holds a symbol within its reach. Each minimum is a partial aggregate.
+    holds a symbol within its reach. Each minimum is a partial aggregate. Joins are of sorted sides: a symbol lies in
+    several cells, so its table is larger than it is taken for, and the driver need not hold it.
     """
-    s = symbols.select(*key, *[F.col(c).cast("double").alias(f"_s{c}") for c in ("x1", "y1", "x2", "y2")])
-    left = texts.select(*key, "text_ix", *[F.col(c).cast("double").alias(f"_t{c}") for c in ("x1", "y1", "x2", "y2")]).join(s.select(*key).distinct(), key, "left_semi")
+    s = symbols.select(*key, *[F.col(c).cast("double").alias(f"_s{c}") for c in ("x1", "y1", "x2", "y2")]).hint("merge")
+    left = texts.select(*key, "text_ix", *[F.col(c).cast("double").alias(f"_t{c}") for c in ("x1", "y1", "x2", "y2")]).join(s.select(*key).distinct().hint("merge"), key, "left_semi")
     t, q = g.box("_t"), g.box("_s")
     each = lambda todo, reach: box_join(todo, s, key, tuple(t), tuple(q), reach, reach).groupBy(*key, "text_ix").agg(F.min(g.gap(t, q)).alias("symbol_distance"))
     found = _rings(left, [*key, "text_ix"], each, "symbol_distance", first)
-    return texts.join(found, [*key, "text_ix"], "left").withColumn("symbol_distance", F.coalesce("symbol_distance", F.lit(default)))
+    return texts.join(found.hint("merge"), [*key, "text_ix"], "left").withColumn("symbol_distance", F.coalesce("symbol_distance", F.lit(default)))
 
 
 def _rings(todo: DataFrame, item: list[str], each: Callable[[DataFrame, float], DataFrame], distance: str, reach: float) -> DataFrame:
@@ -32,7 +33,7 @@ def _rings(todo: DataFrame, item: list[str], each: Callable[[DataFrame, float],
     while True:
         near = stash(each(todo, reach).where(F.col(distance) <= reach), "ring")
         done.append(near)
-        rest = stash(todo.join(near.select(*item), item, "left_anti"), "todo")
+        rest = stash(todo.join(near.select(*item).hint("merge"), item, "left_anti"), "todo")
         drop_stash(todo)
         todo = rest
         if todo.isEmpty():
