@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from sheetgraph.operators import raster as r
+from sheetgraph.operators import templates as tm
 from sheetgraph.operators import tiles as tl
 from sheetgraph.plans.all import QUERIES
 from sheetgraph.sources import images as im
@@ -56,3 +57,19 @@ def test_white_and_gray_pixels_are_told_alike():
     rgb[10:20] = rgb[10:20, :, :1]
     assert (r.gray(rgb) == np.rint(rgb @ np.array([0.299, 0.587, 0.114])).astype(np.uint8)).all()
     assert not r.red(rgb)[:20].any() and r.red(rgb)[20:].any()
+
+
+def test_plates_and_crops_as_stored(spark):
+    """Symbols, and crops over several tiles, at the sheet's edge and on paper, of tiles drawn where they are read."""
+    sf, grid = "/root/testdata/sf0.001", tl.Grid(1500, 2000, 512, 64)
+    stored, drawn = im.plates(spark, sf, grid).cache(), im.plates_on_reading(spark, sf, grid)
+    assert "pixels" not in str(drawn.rows.schema)
+    sheet = stored.agg({"sheet_id": "min"}).first()[0]
+    boxes = spark.createDataFrame([(sheet, 7, 400, 400, 530, 520), (sheet, 8, -30, -30, 20, 20), (sheet, 9, 1990, 1490, 1999, 1499), (sheet, 10, 900, 900, 1000, 980), (-5, 11, 0, 0, 9, 9)], "sheet_id long, crop_id long, x1 long, y1 long, x2 long, y2 long")
+    whole = tm.crops(stored, boxes, grid, 128)
+    made = tl.over(tm.crops(drawn, boxes, grid, 128), lambda t: [t | {"pixels": t["pixels"].tobytes()}], "sheet_id long, crop_id long, x int, y int, height int, width int, pixels binary")
+    a, b = ({r.crop_id: tuple(r) for r in df.collect()} for df in (whole, made))
+    assert a == b and sorted(a) == [7, 8, 9, 10, 11]
+    widths = spark.createDataFrame([(sheet, 14)], "sheet_id long, template int")
+    found = [sorted(map(tuple, tm.detect(tl.told(t, widths, "template", 28), grid, im.glyph, im.CLASSES, "template", 0.85).collect())) for t in (stored, drawn)]
+    assert found[0] == found[1] and found[0]
