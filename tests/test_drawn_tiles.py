@@ -67,7 +67,7 @@ def test_plates_and_crops_as_stored(spark):
     sheet = stored.agg({"sheet_id": "min"}).first()[0]
     boxes = spark.createDataFrame([(sheet, 7, 400, 400, 530, 520), (sheet, 8, -30, -30, 20, 20), (sheet, 9, 1990, 1490, 1999, 1499), (sheet, 10, 900, 900, 1000, 980), (-5, 11, 0, 0, 9, 9)], "sheet_id long, crop_id long, x1 long, y1 long, x2 long, y2 long")
     whole = tm.crops(stored, boxes, grid, 128)
-    made = tl.over(tm.crops(drawn, boxes, grid, 128), lambda t: [t | {"pixels": t["pixels"].tobytes()}], "sheet_id long, crop_id long, x int, y int, height int, width int, pixels binary")
+    made = tm.crops(drawn, boxes, grid, 128).over(lambda t: [t | {"pixels": t["pixels"].tobytes()}], "sheet_id long, crop_id long, x int, y int, height int, width int, pixels binary")
     a, b = ({r.crop_id: tuple(r) for r in df.collect()} for df in (whole, made))
     assert a == b and sorted(a) == [7, 8, 9, 10, 11]
     widths = spark.createDataFrame([(sheet, 14)], "sheet_id long, template int")
